@@ -1,0 +1,3 @@
+"""No streaming jobs: every workload this library covers is a batch job over files
+or tables. Late group assignments are a batch re-run, see
+``cohortwise.operators.experiment.latest_assignment``."""
