@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from cohortwise.functions.columns import flag_sum, ratio
 from cohortwise.operators.ordering import exact_quantiles
-from cohortwise.operators.timeline import CHUNK, carried, with_chunk
+from cohortwise.operators.timeline import CHUNK, Carry, carried, with_chunk
+from cohortwise.session import materialised
 
 
 def event_reach(events: DataFrame, seen: str, started: str) -> DataFrame:
@@ -86,27 +87,28 @@ def time_to_step(events: DataFrame, start: str, attempt: str, goal: str) -> Data
         .select("user_id", F.lit(1).cast("long").alias("n"))
     )
     attempts = earlier.unionByName(same).groupBy("user_id").agg(F.sum("n").alias("attempts"))
-    per_user = done.join(attempts, "user_id", "left").select(
-        F.lit("all").alias("scope"),
+    # One row per user, read by the means and by both medians.
+    per_user = materialised(done.join(attempts, "user_id", "left").select(
         (F.timestamp_diff("MICROSECOND", F.col("t0"), F.col("t1")) / F.lit(1e6)).alias("seconds"),
         F.coalesce("attempts", F.lit(0)).alias("attempts"),
-    )
-    means = per_user.groupBy("scope").agg(
+    ))
+    medians = [
+        exact_quantiles(per_user, [], c, {"median": 0.5}).scalar().alias(f"median_{c}")
+        for c in ("seconds", "attempts")
+    ]
+    return per_user.agg(
         F.count("*").alias("users"),
         F.avg("seconds").alias("mean_seconds"),
         F.avg("attempts").alias("mean_attempts"),
-    )
-    for column in ("seconds", "attempts"):
-        means = means.join(
-            exact_quantiles(per_user, ["scope"], column, {f"median_{column}": 0.5}), "scope"
-        )
-    return means.drop("scope")
+    ).select("*", *medians)
 
 
 def user_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     """Per user and day: sessions started (a pause longer than the gap starts one) and events."""
     timed = with_chunk(events.select("user_id", "time", "event_id"), "time")
-    previous = carried(timed, "user_id", ["time", "event_id"], "previous", F.col("time"))
+    previous = carried(
+        timed, "user_id", ["time", "event_id"], [Carry("previous", F.col("time"))]
+    )
     pause = F.timestamp_diff("MICROSECOND", F.col("previous"), F.col("time"))
     starts = F.col("previous").isNull() | (pause > gap_minutes * 60 * 1_000_000)
     return previous.groupBy("user_id", F.to_date("time").alias("date")).agg(
@@ -200,14 +202,22 @@ def rollback_events(events: DataFrame, level: str) -> DataFrame:
         "time",
     )
     stamp = F.struct("time", "event_id", "level")
-    steps = carried(steps, "user_id", order, "before", stamp)
-    steps = carried(steps, "user_id", order, "best", F.col("level"))
+    steps = carried(
+        steps, "user_id", order,
+        [
+            Carry("before", stamp),
+            Carry("best", F.col("level")),
+            Carry("next_time", F.col("time"), highest=False, before=False),
+        ],
+    )
     peak = F.coalesce(F.col("level") >= F.col("best"), F.lit(True))
     peak_time = F.when(peak, F.col("time"))
-    steps = carried(steps, "user_id", order, "recovered_at", peak_time, highest=False, before=False)
-    steps = carried(steps, "user_id", order, "next_time", F.col("time"), highest=False, before=False)
+    steps = carried(
+        steps, "user_id", order, [Carry("recovered_at", peak_time, highest=False, before=False)]
+    )
     return steps.select(
         "user_id", *order, "level",
+        F.col("before.time").alias("previous_time"),
         F.col("before.level").alias("previous_level"), "recovered_at", "next_time",
     )
 
@@ -218,33 +228,31 @@ def rollback_metrics(events: DataFrame, level: str, horizons: Sequence[int] = (1
     Churn after N days counts rollbacks that can be observed for N days before the last
     event of the table and are followed by no event within them.
     """
-    steps = rollback_events(events, level)
-    change = F.col("level") - F.col("previous_level")
-    per_day = steps.groupBy("user_id", F.to_date("time").alias("date")).agg(F.sum(change).alias("net"))
-    progress = per_day.agg(ratio(F.sum("net"), F.count("*")).alias("net_progress_per_day"))
-    lost = steps.where(change < 0).withColumn("depth", -change)
     end = events.agg(F.max("time")).scalar()
+    change = F.col("level") - F.col("previous_level")
+    day = F.to_date("time")
+    steps = rollback_events(events, level).withColumn("end", end).withColumn("change", change)
+    lost = F.coalesce(F.col("change") < 0, F.lit(False))
+    depth = F.when(lost, -F.col("change"))
     wait = F.timestamp_diff("MICROSECOND", F.col("time"), F.col("recovered_at")) / F.lit(1e6)
+    # The first event of a user on a day marks an active user-day.
+    opens_day = F.col("previous_time").isNull() | (F.to_date("previous_time") < day)
     churn = []
     for n in horizons:
         due = F.col("time") + F.expr(f"interval {n} day")
+        observable = lost & (due <= F.col("end"))
         silent = F.col("next_time").isNull() | (F.col("next_time") > due)
         churn.append(
-            ratio(F.count_if((due <= F.col("end")) & silent), F.count_if(due <= F.col("end"))).alias(f"churn_{n}d")
+            ratio(F.count_if(observable & silent), F.count_if(observable)).alias(f"churn_{n}d")
         )
-    scope = lost.withColumn("scope", F.lit("all")).withColumn("end", end)
-    reduced = scope.groupBy("scope").agg(
-        F.count("*").alias("rollbacks"),
-        F.avg("depth").alias("mean_depth"),
-        ratio(F.count("recovered_at"), F.count("*")).alias("recovered_share"),
-        F.avg(wait).alias("mean_seconds_to_recover"),
+    # Levels are whole numbers of a fixed range, so the exact percentile counts few values.
+    return steps.agg(
+        F.count_if(lost).alias("rollbacks"),
+        F.avg(depth).alias("mean_depth"),
+        F.percentile(depth, F.lit(0.95)).alias("p95_depth"),
+        ratio(F.count(F.when(lost, F.col("recovered_at"))), F.count_if(lost)).alias("recovered_share"),
+        F.avg(F.when(lost, wait)).alias("mean_seconds_to_recover"),
         *churn,
-    )
-    depth = exact_quantiles(scope.select("scope", "depth"), ["scope"], "depth", {"p95_depth": 0.95})
-    moves = steps.agg(F.count("previous_level").alias("moves")).scalar()
-    return (
-        reduced.join(depth, "scope")
-        .withColumn("frequency", ratio(F.col("rollbacks"), moves))
-        .withColumn("net_progress_per_day", progress.scalar())
-        .drop("scope")
+        ratio(F.count_if(lost), F.count("change")).alias("frequency"),
+        ratio(F.sum("change"), F.count_if(opens_day)).alias("net_progress_per_day"),
     )

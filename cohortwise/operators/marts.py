@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from cohortwise.functions.columns import age_band, flag_sum, in_period, ratio
 
@@ -39,17 +39,17 @@ def daily_mart(
         F.sum("views").alias("views"),
     )
     # The post pass answers both post questions: viewed on the day, and first day ever.
+    # A post has at most one row per day here, so its window is as long as the calendar.
     posts = kept.where(F.col("post_id").isNotNull()).groupBy(day, "post_id").agg(
         F.max((F.col("action") == view).cast("int")).alias("viewed")
     )
-    viewed = posts.groupBy("date").agg(
-        F.sum(F.coalesce("viewed", F.lit(0))).cast("long").alias("unique_viewed_posts")
+    first_day = F.min("date").over(W.partitionBy("post_id"))
+    by_day = posts.withColumn("is_new", F.col("date") == first_day).groupBy("date").agg(
+        F.coalesce(F.sum("viewed"), F.lit(0)).alias("unique_viewed_posts"),
+        flag_sum(F.col("is_new")).alias("new_posts"),
     )
-    first = posts.groupBy("post_id").agg(F.min("date").alias("date"))
-    new = first.groupBy("date").agg(F.count("*").alias("new_posts"))
     return (
-        daily.join(viewed, "date", "left")
-        .join(new, "date", "left")
+        daily.join(by_day, "date", "left")
         .select(
             "date",
             "dau",

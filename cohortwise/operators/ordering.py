@@ -32,10 +32,9 @@ def cut_points(df: DataFrame, value: str, slices: int) -> list[float]:
 
 def sliced(df: DataFrame, value: str, points: Sequence[float]) -> DataFrame:
     """Add the slice number of each value."""
-    if not points:
-        return df.withColumn(SLICE, F.lit(0.0))
     splits = [float("-inf"), *points, float("inf")]
-    return Bucketizer(splits=splits, inputCol=value, outputCol=SLICE).transform(df)
+    placed = Bucketizer(splits=splits, inputCol=value, outputCol=SLICE).transform(df)
+    return placed.withColumn(SLICE, F.col(SLICE).cast("int"))
 
 
 def running_counts(
@@ -45,6 +44,7 @@ def running_counts(
     """Per key and distinct value: ``n`` rows, ``running`` rows up to it, ``total`` rows.
 
     ``extra`` adds aggregates per distinct value. Null keys and missing values are left out.
+    One slice is for values known to have few distinct ones: it needs no cutting.
     """
     keys = list(keys)
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -52,13 +52,19 @@ def running_counts(
     for key in keys:
         known = known & F.col(key).isNotNull()
     present = df.where(known)
-    counts = sliced(
-        present.groupBy(*keys, value).agg(
-            F.count("*").alias("n"), *[column.alias(name) for name, column in (extra or {}).items()]
-        ),
-        value,
-        cut_points(present, value, slices),
+    names = [*keys, value, "n", "running", "total", *(extra or {})]
+    counts = present.groupBy(*keys, value).agg(
+        F.count("*").alias("n"), *[column.alias(name) for name, column in (extra or {}).items()]
     )
+    points = cut_points(present, value, slices)
+    if not points:
+        upto = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+        return counts.select(
+            "*",
+            F.sum("n").over(upto).alias("running"),
+            F.sum("n").over(W.partitionBy(*keys)).alias("total"),
+        ).select(*names)
+    counts = sliced(counts, value, points)
     place = [*keys, SLICE]
     # One row per key and slice from here on.
     earlier = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
@@ -72,7 +78,7 @@ def running_counts(
         counts.withColumn("_inside", F.sum("n").over(inside))
         .join(offsets, place)
         .withColumn("running", F.col("_offset") + F.col("_inside"))
-        .select(*keys, value, "n", "running", "total", *(extra or {}))
+        .select(*names)
     )
 
 
@@ -102,6 +108,7 @@ def exact_quantiles(
     """Exact quantiles per key, one named column each.
 
     Linear interpolation by default; ``by_index`` takes the element at index floor(q * n).
+    Without keys the result is one row.
     """
     rule = at_index if by_index else interpolated
     counted = running_counts(df, keys, value, slices=slices)

@@ -46,12 +46,12 @@ def exact_duplicates(df: DataFrame, tag: str, key: str) -> DataFrame:
 def orphan_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Rows and distinct keys of ``left`` without a partner in ``right``.
 
-    Unlike NOT IN an anti join keeps its meaning when the right side holds nulls. The left
-    side is reduced to one row per key first.
+    Unlike NOT IN an anti join keeps its meaning when the right side holds nulls. Both
+    sides are reduced to one row per key before they are shuffled for the join.
     """
     keys = list(keys)
     per_key = left.groupBy(*keys).agg(F.count("*").alias("n"))
-    lonely = per_key.join(right.select(*keys), keys, "left_anti")
+    lonely = per_key.join(right.select(*keys).distinct(), keys, "left_anti")
     return lonely.agg(
         F.lit(name).alias("check"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),

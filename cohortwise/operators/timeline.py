@@ -2,44 +2,68 @@
 
 A window over all events of a user would put a hot user into one task. Events are
 therefore ordered inside (user, chunk) and a summary row per chunk - at most one per
-hour of history - carries the value across chunks.
+hour of history - carries the values across chunks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 CHUNK = "_chunk"
 
 
+class Carry(NamedTuple):
+    """Highest (or lowest) ``value`` among the user's events strictly before (or after) a row.
+
+    With a struct that starts with the ordering columns, "highest before" is the previous
+    event and "lowest after" the next one.
+    """
+
+    name: str
+    value: Column
+    highest: bool = True
+    before: bool = True
+
+    def pick(self, column: Column) -> Column:
+        return F.max(column) if self.highest else F.min(column)
+
+    def combine(self, a: Column, b: Column) -> Column:
+        return F.greatest(a, b) if self.highest else F.least(a, b)
+
+    def over(self, keys: Sequence[str], order: Sequence[str]):
+        """Frame of the earlier rows; "after" is "before" on the reversed order.
+
+        So every frame starts at the partition edge and is computed in one sweep.
+        """
+        columns = [F.col(c).asc() if self.before else F.col(c).desc() for c in order]
+        return W.partitionBy(*keys).orderBy(*columns).rowsBetween(W.unboundedPreceding, -1)
+
+
 def with_chunk(df: DataFrame, ts: str, unit: str = "hour") -> DataFrame:
     return df.withColumn(CHUNK, F.date_trunc(unit, F.col(ts)))
 
 
-def carried(
-    df: DataFrame, user: str, order: Sequence[str], name: str, value: Column,
-    highest: bool = True, before: bool = True,
-) -> DataFrame:
-    """Add the highest (or lowest) ``value`` among the user's events before (or after) the row.
+def carried(df: DataFrame, user: str, order: Sequence[str], carries: Sequence[Carry]) -> DataFrame:
+    """Add one column per carry. Needs the column of ``with_chunk``.
 
-    With a struct that starts with the ordering columns, "highest before" is the previous
-    event and "lowest after" the next one. Needs the column of ``with_chunk``. "After" is
-    computed on the reversed order, so that the frame always starts at the partition edge.
+    All carries of one call share the window partitioning, one summary and one join.
     """
-    pick: Callable[[Column], Column] = F.max if highest else F.min
-    combine = F.greatest if highest else F.least
-    frame = (W.unboundedPreceding, -1)
-    direction = (lambda c: F.col(c).asc()) if before else (lambda c: F.col(c).desc())
-    inside = W.partitionBy(user, CHUNK).orderBy(*map(direction, order)).rowsBetween(*frame)
-    across = W.partitionBy(user).orderBy(direction(CHUNK)).rowsBetween(*frame)
-    summary = df.groupBy(user, CHUNK).agg(pick(value).alias("_summary")).select(
-        user, CHUNK, pick("_summary").over(across).alias("_outside")
+    place = [user, CHUNK]
+    summary = df.groupBy(*place).agg(*[c.pick(c.value).alias(f"_s_{c.name}") for c in carries])
+    outside = summary.select(
+        *place,
+        *[
+            c.pick(F.col(f"_s_{c.name}")).over(c.over([user], [CHUNK])).alias(f"_o_{c.name}")
+            for c in carries
+        ],
+    )
+    inside = df.select(
+        "*", *[c.pick(c.value).over(c.over(place, order)).alias(f"_i_{c.name}") for c in carries]
     )
-    return (
-        df.withColumn("_inside", pick(value).over(inside))
-        .join(summary, [user, CHUNK])
-        .withColumn(name, combine(F.col("_inside"), F.col("_outside")))
-        .drop("_inside", "_outside")
+    return inside.join(outside, place).select(
+        *df.columns,
+        *[c.combine(F.col(f"_i_{c.name}"), F.col(f"_o_{c.name}")).alias(c.name) for c in carries],
     )

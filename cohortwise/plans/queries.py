@@ -14,7 +14,7 @@ from cohortwise.operators import (
     quality, rank_tests, retention, segments,
 )
 from cohortwise.plans import inputs
-from cohortwise.session import configure
+from cohortwise.session import configure, materialised
 from cohortwise.sources.readers import parse_delimited, tag_union
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +223,11 @@ def feed_users(spark, folder) -> DataFrame:
     return ctr.user_ctr(inputs.feed(spark, folder), CTR_START, CTR_END, [1, 2])
 
 
+def kept_feed_users(spark, folder) -> DataFrame:
+    """The same, computed once for jobs that read the user table more than once."""
+    return materialised(feed_users(spark, folder))
+
+
 @query("user_ctr")
 def user_ctr(spark, folder):
     return tidy(feed_users(spark, folder))
@@ -230,7 +235,7 @@ def user_ctr(spark, folder):
 
 @query("ctr_summary")
 def ctr_summary(spark, folder):
-    return tidy(ctr.ctr_summary(feed_users(spark, folder)))
+    return tidy(ctr.ctr_summary(kept_feed_users(spark, folder)))
 
 
 @query("ctr_effect")
@@ -240,22 +245,22 @@ def ctr_effect(spark, folder):
 
 @query("ctr_distribution")
 def ctr_distribution(spark, folder):
-    return tidy(ctr.ctr_distribution(feed_users(spark, folder), 0.8, 1.25))
+    return tidy(ctr.ctr_distribution(kept_feed_users(spark, folder), 0.8, 1.25))
 
 
 @query("ctr_smoothed")
 def ctr_smoothed(spark, folder):
-    return tidy(ctr.smoothed_ctr(feed_users(spark, folder)))
+    return tidy(ctr.smoothed_ctr(kept_feed_users(spark, folder)))
 
 
 @query("ctr_buckets")
 def ctr_buckets(spark, folder):
-    return tidy(ctr.bucket_ctr(feed_users(spark, folder), BUCKETS, method="md5"))
+    return tidy(ctr.bucket_ctr(kept_feed_users(spark, folder), BUCKETS, method="md5"))
 
 
 @query("ctr_bucket_summary")
 def ctr_bucket_summary(spark, folder):
-    return tidy(ctr.bucket_summary(ctr.bucket_ctr(feed_users(spark, folder), BUCKETS, method="md5")))
+    return tidy(ctr.bucket_summary(ctr.bucket_ctr(kept_feed_users(spark, folder), BUCKETS, method="md5")))
 
 
 # ---- marts and dashboard -------------------------------------------------------------------
@@ -363,7 +368,7 @@ def dq_chronology(spark, folder):
         "l_returnflag", F.date_format("o_orderdate", "yyyy-MM-dd").alias("joined_at"), text.alias("paid_at")
     )
     return tidy(quality.chronology(
-        journal, "l_returnflag", F.col("joined_at"), F.col("paid_at"), "yyyy-MM-dd"
+        journal, "l_returnflag", F.col("joined_at"), F.col("paid_at")
     ))
 
 
@@ -502,18 +507,24 @@ def chi2_balance(spark, folder):
 FEATURES = ("age", "attraction_coeff", "views_count")
 
 
-def _feature_ranks(spark, folder) -> DataFrame:
-    long = rank_tests.unpivot_metrics(inputs.experiment_users(spark, folder), ["group"], FEATURES)
-    return rank_tests.rank_sums(long, "group", inputs.ARMS)
+def _feature_ranks(people: DataFrame) -> DataFrame:
+    return rank_tests.rank_sums(
+        rank_tests.unpivot_metrics(people, ["group"], FEATURES), "group", inputs.ARMS
+    )
+
+
+def kept_people(spark, folder) -> DataFrame:
+    """Experiment users, computed once for jobs that read them more than once."""
+    return materialised(inputs.experiment_users(spark, folder))
 
 
 @query("kruskal")
 def kruskal(spark, folder):
-    return tidy(rank_tests.kruskal_test(_feature_ranks(spark, folder), 3), 6, ties=0, rank_sum_0=1, rank_sum_1=1, rank_sum_2=1)
+    return tidy(rank_tests.kruskal_test(_feature_ranks(kept_people(spark, folder)), 3), 6, ties=0, rank_sum_0=1, rank_sum_1=1, rank_sum_2=1)
 
 
 def _ctr_ranks(spark, folder) -> DataFrame:
-    users = feed_users(spark, folder)
+    users = kept_feed_users(spark, folder)
     return rank_tests.rank_sums(rank_tests.unpivot_metrics(users, ["exp_group"], ["ctr", "views"]), "exp_group", [1, 2])
 
 
@@ -524,10 +535,10 @@ def mann_whitney(spark, folder):
 
 @query("balance")
 def balance(spark, folder):
-    people = inputs.experiment_users(spark, folder)
+    people = kept_people(spark, folder)
     cells = contingency.cell_counts(people, "group", inputs.ARMS, ["country", "gender"])
     categories = contingency.chi2_test(cells, 3).select("feature", "p_value")
-    numbers = rank_tests.kruskal_test(_feature_ranks(spark, folder), 3).select(
+    numbers = rank_tests.kruskal_test(_feature_ranks(people), 3).select(
         F.col("metric").alias("feature"), "p_value"
     )
     both = categories.unionByName(numbers)
@@ -577,7 +588,7 @@ def poisson_boot_mean(spark, folder):
 @query("test_summary")
 def test_summary(spark, folder):
     """p of the six tests of the click-through experiment."""
-    users = ctr.smoothed_ctr(feed_users(spark, folder))
+    users = ctr.smoothed_ctr(kept_feed_users(spark, folder))
     buckets = ctr.bucket_ctr(users, BUCKETS, method="md5")
     by_user = effects.welch_test(effects.pair(effects.summarise(
         users, "exp_group", {"Welch user CTR": F.col("ctr"), "Welch smoothed CTR": F.col("smoothed_ctr")}
@@ -645,12 +656,12 @@ def intervention_daily(spark, folder):
 
 @query("hist_density")
 def hist_density(spark, folder):
-    return tidy(charts.histogram(feed_users(spark, folder), "exp_group", "ctr", 50))
+    return tidy(charts.histogram(kept_feed_users(spark, folder), "exp_group", "ctr", 50))
 
 
 @query("ecdf")
 def ecdf(spark, folder):
-    return tidy(charts.ecdf(feed_users(spark, folder), "exp_group", "ctr"))
+    return tidy(charts.ecdf(kept_feed_users(spark, folder), "exp_group", "ctr"))
 
 
 @query("box_stats")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
+    # A hot join key is split into several tasks even where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -28,9 +32,27 @@ def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8) -> Sp
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """Compute a reduced table once for the several jobs that read it.
+
+    The table goes to the shared folder named by ``spark.checkpoint.dir``, so a lost
+    executor costs nothing and the raw events are scanned once. Only where that setting is
+    absent, as in a local test, is a folder chosen here.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="cohortwise-"))
+    return df.checkpoint(eager=True)
