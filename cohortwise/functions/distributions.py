@@ -51,19 +51,27 @@ def _chi2_tail_one(x: float, dof: float) -> float:
 
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Continued fraction of the incomplete beta function, bottom up.
+    """Continued fraction of the incomplete beta function, all elements at once.
 
-    With 1 / (1 + d1 / (1 + d2 / ...)) the even and odd coefficients are the classic
-    ones. The number of terms needed grows with the root of the larger parameter.
+    The value 1 + d1 / (1 + d2 / (1 + ...)) is built from the front as a product of ratios
+    and stops when no element moves any more. The number of terms needed grows with the
+    root of the larger parameter.
     """
-    value = np.ones_like(x)
-    depth = 200 + int(5 * math.sqrt(max(a.max(initial=0.0), b.max(initial=0.0))))
-    for m in range(depth, 0, -1):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        value = 1.0 + even / (1.0 + odd / value)
-    first = -(a + b) * x / (a + 1.0)
-    return 1.0 / (1.0 + first / value)
+    limit = 200 + int(5 * math.sqrt(max(a.max(initial=0.0), b.max(initial=0.0))))
+    upper, lower, value = np.ones_like(x), np.zeros_like(x), np.ones_like(x)
+    for j in range(1, 2 * limit):
+        m = j // 2
+        if j % 2:
+            d = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        else:
+            d = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        upper = 1.0 + d / upper
+        lower = 1.0 / (1.0 + d * lower)
+        step = upper * lower
+        value = value * step
+        if np.all(np.abs(step - 1.0) < 1e-15):
+            break
+    return 1.0 / value
 
 
 def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -99,21 +107,36 @@ def t_tails(t: np.ndarray, dof: np.ndarray) -> np.ndarray:
     return out
 
 
+def _t_density(t: np.ndarray, dof: np.ndarray) -> np.ndarray:
+    log_gamma = np.vectorize(math.lgamma, otypes=[float])
+    scale = np.exp(log_gamma((dof + 1.0) / 2.0) - log_gamma(dof / 2.0)) / np.sqrt(dof * math.pi)
+    return scale * np.exp(-(dof + 1.0) / 2.0 * np.log1p(t * t / dof))
+
+
 def t_quantile(q: np.ndarray, dof: np.ndarray) -> np.ndarray:
-    """Upper quantiles (q > 0.5) of the t distribution, by bisection."""
+    """Upper quantiles (q > 0.5) of the t distribution.
+
+    Newton steps from the normal quantile, replaced by halving whenever a step leaves the
+    bracket that is known to hold the answer.
+    """
     q, dof = np.asarray(q, dtype=float), np.asarray(dof, dtype=float)
-    low, high = np.zeros(q.shape), np.ones(q.shape)
-    tail = 2.0 * (1.0 - q)
+    out = np.full(q.shape, np.nan)
+    ok = (dof > 0) & ~np.isnan(dof)
+    target, dof = 2.0 * (1.0 - q[ok]), dof[ok]
+    low, high = np.zeros(dof.shape), np.full(dof.shape, np.inf)
+    t = np.array([normal_quantile(v) for v in q[ok]], dtype=float)
     for _ in range(200):
-        short = t_tails(high, dof) > tail
-        if not short.any():
+        excess = t_tails(t, dof) - target
+        low, high = np.where(excess > 0, t, low), np.where(excess > 0, high, t)
+        new = t + excess / (2.0 * _t_density(t, dof))
+        outside = ~((new > low) & (new < high))
+        middle = np.where(np.isinf(high), 2.0 * t + 1.0, (low + high) / 2.0)
+        new = np.where(outside & (excess != 0), middle, np.where(excess == 0, t, new))
+        moved, t = np.abs(new - t), new
+        if np.all(moved <= 1e-13 * np.abs(t)):
             break
-        high = np.where(short, high * 2.0, high)
-    for _ in range(100):
-        middle = (low + high) / 2.0
-        above = t_tails(middle, dof) > tail
-        low, high = np.where(above, middle, low), np.where(above, high, middle)
-    return np.where(np.isfinite(dof) & (dof > 0), (low + high) / 2.0, np.nan)
+    out[ok] = t
+    return out
 
 
 def _nullable(values: np.ndarray) -> pd.Series:

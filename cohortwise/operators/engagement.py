@@ -16,19 +16,36 @@ from cohortwise.operators.timeline import CHUNK, Carry, carried, with_chunk
 from cohortwise.session import materialised
 
 
-def event_reach(events: DataFrame, seen: str, started: str) -> DataFrame:
-    """Per day: active users, users who saw and who started the event, and the shares."""
+def event_reach(events: DataFrame, seen: str, started: str, month: int = 30) -> DataFrame:
+    """Per day: users who saw and who started the event, as shares of DAU and of MAU."""
     flags = events.groupBy(F.to_date("time").alias("date"), "user_id").agg(
         F.max((F.col("event_type") == seen).cast("int")).alias("saw"),
         F.max((F.col("event_type") == started).cast("int")).alias("began"),
     )
-    return flags.groupBy("date").agg(
-        F.count("*").alias("dau"),
+    daily = flags.groupBy("date").agg(
         F.sum("saw").alias("seen_users"),
         F.sum("began").alias("started_users"),
-        ratio(F.sum("saw"), F.count("*")).alias("reach"),
-        ratio(F.sum("began"), F.count("*")).alias("participation"),
-        ratio(F.sum(F.col("saw") * F.col("began")), F.sum("saw")).alias("seen_to_started"),
+        F.sum(F.col("saw") * F.col("began")).alias("_both"),
+    )
+    # Both sides have one row per day.
+    return daily.join(stickiness(events, month), "date").select(
+        "date",
+        "dau",
+        "mau",
+        "seen_users",
+        "started_users",
+        ratio(F.col("seen_users"), F.col("dau")).alias("reach"),
+        ratio(F.col("started_users"), F.col("dau")).alias("participation"),
+        ratio(F.col("started_users"), F.col("mau")).alias("participation_of_mau"),
+        ratio(F.col("_both"), F.col("seen_users")).alias("seen_to_started"),
+    )
+
+
+def first_participation(events: DataFrame, kind: str) -> DataFrame:
+    """First event of a kind per user, in the form of a registration table."""
+    first = events.where(F.col("event_type") == kind).groupBy("user_id").agg(F.min("time").alias("t"))
+    return first.select(
+        F.unix_seconds(F.col("t").cast("timestamp")).alias("reg_ts"), F.col("user_id").alias("uid")
     )
 
 

@@ -88,11 +88,16 @@ def mean_effect(
     )
 
 
+# Default prior of the published structural time-series method for causal impact: the daily
+# step of the level is about 1 % of the series' deviation, with the weight of 32 observations.
+LEVEL_STEP, PRIOR_WEIGHT = 0.01, 32.0
+
+
 def _filter_level(values: np.ndarray, ratios: np.ndarray):
     """Kalman filter of a random walk plus noise for many variance ratios at once.
 
-    Variances are in units of the noise variance, which is estimated from the scaled
-    one-step errors. Returns log-likelihood, level, its variance and the noise variance.
+    Variances are in units of the noise variance. Returns the scaled squared one-step
+    errors, the sum of log scales, the last level and its variance.
     """
     level = np.full(ratios.shape, values[0])
     spread = np.ones(ratios.shape)
@@ -105,21 +110,40 @@ def _filter_level(values: np.ndarray, ratios: np.ndarray):
         spread = predicted / scale
         squares += error**2 / scale
         logs += np.log(scale)
-    n = len(values) - 1
-    noise = np.maximum(squares / n, 1e-300)
-    return -0.5 * (n * np.log(noise) + logs), level, spread, noise
+    return squares, logs, level, spread
+
 
+class _Level:
+    """Posterior of the level at the end of the earlier period.
+
+    The ratio of step to noise variance runs over a logarithmic grid; the noise variance is
+    integrated out in closed form (it is inverse-gamma given the ratio).
+    """
 
-def _best_level(values: np.ndarray):
-    """Variance ratio of highest likelihood: a wide grid, then two finer ones."""
-    low, high = -8.0, 4.0
-    for _ in range(3):
-        grid = np.linspace(low, high, 121)
-        likelihood, level, spread, noise = _filter_level(values, 10.0**grid)
-        best = int(np.argmax(likelihood))
-        step = grid[1] - grid[0]
-        low, high = grid[best] - step, grid[best] + step
-    return 10.0 ** grid[best], level[best], spread[best], noise[best]
+    def __init__(self, values: np.ndarray):
+        self.centre, self.unit = values.mean(), values.std(ddof=1) or 1.0
+        log_ratio = np.linspace(-8.0, 4.0, 1201) * np.log(10.0)
+        self.ratio = np.exp(log_ratio)
+        squares, logs, self.level, self.spread = _filter_level(
+            (values - self.centre) / self.unit, self.ratio
+        )
+        shape = (len(values) - 1 + PRIOR_WEIGHT) / 2.0
+        rate = (squares + PRIOR_WEIGHT * LEVEL_STEP**2 / self.ratio) / 2.0
+        self.noise = rate / (shape - 1.0)
+        log_weight = -shape * np.log(rate) - logs / 2.0 - PRIOR_WEIGHT / 2.0 * log_ratio
+        weight = np.exp(log_weight - log_weight.max())
+        self.weight = weight / weight.sum()
+        self.mean = float((self.weight * self.level).sum())
+
+    @property
+    def predicted(self) -> float:
+        return self.centre + self.unit * self.mean
+
+    def deviation(self, steps: float, observations: float) -> float:
+        """Deviation of a forecast error: ``steps`` step variances, ``observations`` noise ones."""
+        inside = self.noise * (self.spread + steps * self.ratio + observations)
+        between = (self.level - self.mean) ** 2
+        return self.unit * float(np.sqrt((self.weight * (inside + between)).sum()))
 
 
 def _level_forecast(series: pd.DataFrame, pre, post, z: float) -> pd.DataFrame:
@@ -132,14 +156,14 @@ def _level_forecast(series: pd.DataFrame, pre, post, z: float) -> pd.DataFrame:
     columns = ["date", "actual", "predicted", "low", "high", "effect", "ci_low", "ci_high"]
     if len(before) < 3 or later.empty:
         return pd.DataFrame(columns=columns)
-    signal, level, spread, noise = _best_level(before)
+    model = _Level(before)
     ahead = (pd.to_datetime(later["date"]) - pd.Timestamp(pre[1])).dt.days.to_numpy(dtype=float)
-    deviation = np.sqrt(noise * (spread + ahead * signal + 1.0))
-    # Forecast errors share the level's path: cov(h, k) = spread + min(h, k) * signal.
-    shared = spread + np.minimum.outer(ahead, ahead) * signal
+    deviation = np.array([model.deviation(h, 1.0) for h in ahead])
+    # Forecast errors share the level's path: days h and k have min(h, k) steps in common.
     m = len(ahead)
-    mean_deviation = np.sqrt(noise * (shared.sum() / m**2 + 1.0 / m))
+    mean_deviation = model.deviation(np.minimum.outer(ahead, ahead).sum() / m**2, 1.0 / m)
     actual = later["value"].to_numpy(dtype=float)
+    level = model.predicted
     effect = float(actual.mean() - level)
     return pd.DataFrame(
         {

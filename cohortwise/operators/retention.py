@@ -40,7 +40,7 @@ def _cohorts(registrations: DataFrame, by: Sequence[str], start, end) -> DataFra
     """
     once = registrations.groupBy("uid").agg(
         F.count("*").alias("_rows"), F.min("reg_ts").alias("reg_ts"),
-        F.count("reg_ts").alias("_known"), *[F.max(c).alias(c) for c in by],
+        *[F.max(c).alias(c) for c in by],
     )
     day = (
         F.when(F.col("_rows") > 1, _fail("uid must occur exactly once in registrations", "date"))

@@ -107,6 +107,10 @@ def _countries(spark: SparkSession, folder: str) -> DataFrame:
     return customers.join(nations, customers.c_nationkey == nations.n_nationkey)
 
 
+def customer_countries(spark: SparkSession, folder: str) -> DataFrame:
+    return _countries(spark, folder).select(F.col("c_custkey").alias("uid"), F.col("n_name").alias("country"))
+
+
 def experiment_users(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with arm, features known before the start, and revenue since the start."""
     orders = table(spark, folder, "orders")

@@ -570,10 +570,15 @@ SELECT testgroup, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) A
 
 # ---- event engagement ----------------------------------------------------------------------
 
-ORACLE["event_reach"] = """WITH f AS (SELECT CAST(ts AS DATE) AS date, user_id, bool_or(event_type = 'view') AS saw, bool_or(event_type = 'click') AS began FROM events GROUP BY ALL)
-SELECT date, count(*) AS dau, count(*) FILTER (WHERE saw) AS seen_users, count(*) FILTER (WHERE began) AS started_users,
-  round(count(*) FILTER (WHERE saw) / count(*), 6) AS reach, round(count(*) FILTER (WHERE began) / count(*), 6) AS participation,
-  round(count(*) FILTER (WHERE saw AND began) / nullif(count(*) FILTER (WHERE saw), 0), 6) AS seen_to_started FROM f GROUP BY date"""
+ORACLE["event_reach"] = """WITH f AS (SELECT CAST(ts AS DATE) AS date, user_id, bool_or(event_type = 'view') AS saw, bool_or(event_type = 'click') AS began FROM events GROUP BY ALL),
+d AS (SELECT date, count(*) AS dau, count(*) FILTER (WHERE saw) AS seen_users, count(*) FILTER (WHERE began) AS started_users,
+  count(*) FILTER (WHERE saw AND began) AS both_users FROM f GROUP BY date),
+m AS (SELECT d.date, count(DISTINCT user_id) AS mau FROM d JOIN f ON f.date BETWEEN d.date - 29 AND d.date GROUP BY d.date)
+SELECT date, dau, mau, seen_users, started_users, round(seen_users / dau, 6) AS reach, round(started_users / dau, 6) AS participation,
+  round(started_users / mau, 6) AS participation_of_mau, round(both_users / nullif(seen_users, 0), 6) AS seen_to_started FROM d JOIN m USING (date)"""
+ORACLE["retention_event"] = f"""WITH {REG.replace("'purchase'", "'click'")}, {retention(None, None, 14)}
+SELECT day, CAST(sum(cohort_size) AS BIGINT) AS users, round(sum(share * cohort_size) / sum(cohort_size), 6) AS weighted_retention
+FROM grid WHERE share IS NOT NULL AND day IN (1, 7, 14) GROUP BY day"""
 FIRST = """f AS (SELECT user_id, min(ts) FILTER (WHERE event_type = 'view') AS t0, min(ts) FILTER (WHERE event_type = 'click') AS t1,
   min(ts) FILTER (WHERE event_type = 'purchase') AS t2 FROM events GROUP BY user_id)"""
 ORACLE["funnel"] = f"""WITH {FIRST}, c AS (SELECT count(t0) AS c0, count(*) FILTER (WHERE t1 >= t0) AS c1, count(*) FILTER (WHERE t1 >= t0 AND t2 >= t1) AS c2 FROM f)

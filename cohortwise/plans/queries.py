@@ -158,8 +158,9 @@ def price_payment(spark, folder):
 
 @query("price_country")
 def price_country(spark, folder):
-    people = inputs.experiment_users(spark, folder).select("uid", "country")
-    bought = inputs.experiment_transactions(spark, folder).join(people, "uid")
+    bought = inputs.experiment_transactions(spark, folder).join(
+        inputs.customer_countries(spark, folder), "uid"
+    )
     prices = experiment.price_by_country(experiment.pooled(bought))
     return tidy(prices, 4).orderBy(F.desc_nulls_last("price_ratio"))
 
@@ -432,8 +433,8 @@ def dq_contract(spark, folder):
 
 @query("srm")
 def srm(spark, folder):
-    people = inputs.experiment_users(spark, folder)
-    return tidy(contingency.sample_ratio(people, "gender", {"AUTOMOBILE": 1, "BUILDING": 1, "MACHINERY": 1}))
+    people = inputs.table(spark, folder, "customer")
+    return tidy(contingency.sample_ratio(people, "c_mktsegment", {"AUTOMOBILE": 1, "BUILDING": 1, "MACHINERY": 1}))
 
 
 # ---- statistics ----------------------------------------------------------------------------
@@ -597,16 +598,17 @@ def test_summary(spark, folder):
         buckets, "exp_group", {"Welch bucket CTR": F.col("bucket_ctr")}
     ), "exp_group", 1, 2))
 
-    def ranked(df, column, name):
+    def ranked(df, column, name, slices=None):
         long = df.select("exp_group", F.lit(name).alias("metric"), F.col(column).alias("value"))
-        return rank_tests.mann_whitney_test(rank_tests.rank_sums(long, "exp_group", [1, 2]))
+        sums = rank_tests.rank_sums(long, "exp_group", [1, 2], slices=slices)
+        return rank_tests.mann_whitney_test(sums)
 
     boot = bootstrap.poisson_bootstrap(
         users, "exp_group", 1, 2, "likes", "views", "user_id", REPLICATES, method="md5"
     ).withColumn("metric", F.lit("Poisson bootstrap"))
     parts = [
         by_user, by_bucket, ranked(users, "ctr", "Mann-Whitney user CTR"),
-        ranked(buckets, "bucket_ctr", "Mann-Whitney bucket CTR"), boot,
+        ranked(buckets, "bucket_ctr", "Mann-Whitney bucket CTR", slices=1), boot,
     ]
     out = None
     for part in parts:
@@ -680,6 +682,16 @@ def event_reach(spark, folder):
     return tidy(engagement.event_reach(inputs.activity(spark, folder), "view", "click"))
 
 
+@query("retention_event")
+def retention_event(spark, folder):
+    """Retention after the first participation, here the first click."""
+    activity = inputs.activity(spark, folder)
+    long = retention.calculate_retention(
+        engagement.first_participation(activity, "click"), inputs.authorizations(spark, folder), max_days=14
+    )
+    return tidy(retention.weighted_retention(long, [1, 7, 14]))
+
+
 @query("funnel")
 def funnel(spark, folder):
     return tidy(engagement.funnel(inputs.activity(spark, folder), FUNNEL))
