@@ -101,6 +101,27 @@ def hash_bucket(key: Column, buckets: int, method: str = "xxhash64") -> Column:
     raise ValueError(f"unknown hash method {method!r}")
 
 
+def poisson_from_hex(word: Column) -> Column:
+    """Poisson(1) weight of a uniform 32-bit number given as eight hexadecimal digits.
+
+    Digits of equal length compare like the numbers, so the bounds are text as well.
+    """
+    weight, largest = None, 0
+    for k, bound in enumerate(poisson_one_cdf()):
+        limit = math.ceil(bound * 2**32)
+        if limit >= 2**32:
+            break
+        below = word < F.lit(f"{limit:08x}")
+        weight = F.when(below, k) if weight is None else weight.when(below, k)
+        largest = k
+    return weight.otherwise(largest + 1)
+
+
+def poisson_digest(key: Column, block: Column, seed: int) -> Column:
+    """md5 digest whose four 8-digit words weigh the replicates 4 * block .. 4 * block + 3."""
+    return F.md5(F.concat_ws("|", key.cast("string"), block.cast("string"), F.lit(str(seed))))
+
+
 def poisson_weight(key: Column, replicate: Column, seed: int, method: str = "xxhash64") -> Column:
     """Poisson(1) weight that depends only on (key, replicate, seed).
 
@@ -108,14 +129,11 @@ def poisson_weight(key: Column, replicate: Column, seed: int, method: str = "xxh
     it into a count, so the weight is the same on every retry and partitioning.
     """
     if method == "md5":
-        word = _md5_word(
-            F.concat_ws("|", key.cast("string"), replicate.cast("string"), F.lit(str(seed)))
-        )
-    elif method == "xxhash64":
-        word = F.pmod(F.xxhash64(key, replicate, F.lit(seed)), F.lit(2**32))
-    else:
+        digest = poisson_digest(key, F.floor(replicate / 4), seed)
+        return poisson_from_hex(F.substr(digest, F.pmod(replicate, F.lit(4)) * 8 + 1, F.lit(8)))
+    if method != "xxhash64":
         raise ValueError(f"unknown hash method {method!r}")
-    uniform = word / F.lit(4294967296.0)
+    uniform = F.pmod(F.xxhash64(key, replicate, F.lit(seed)), F.lit(2**32)) / F.lit(4294967296.0)
     bounds = poisson_one_cdf()
     weight = F.when(uniform < bounds[0], 0)
     for k, bound in enumerate(bounds[1:], start=1):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortwise.functions.columns import poisson_weight, ratio
+from cohortwise.functions.columns import poisson_digest, poisson_from_hex, poisson_weight, ratio
 
 
 def replicate_ratios(
@@ -21,10 +21,21 @@ def replicate_ratios(
     """
     parts = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     even = users.select(group, user, numerator, denominator).repartition(parts, user)
-    drawn = even.withColumn(
-        "replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))
-    )
-    weight = poisson_weight(F.col(user), F.col("replicate"), seed, method)
+    if method == "md5":
+        # One digest serves four replicates.
+        blocks = even.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // 4))))
+        drawn = (
+            blocks.withColumn("_digest", poisson_digest(F.col(user), F.col("_block"), seed))
+            .withColumn("_word", F.explode(F.sequence(F.lit(0), F.lit(3))))
+            .withColumn("replicate", F.col("_block") * 4 + F.col("_word"))
+            .where(F.col("replicate") < replicates)
+        )
+        weight = poisson_from_hex(F.substr("_digest", F.col("_word") * 8 + 1, F.lit(8)))
+    else:
+        drawn = even.withColumn(
+            "replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))
+        )
+        weight = poisson_weight(F.col(user), F.col("replicate"), seed, method)
     return (
         drawn.withColumn("_w", weight)
         .groupBy("replicate", group)

@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from cohortwise.functions.columns import flag_sum, ratio
 from cohortwise.operators.ordering import exact_quantiles
-from cohortwise.operators.timeline import CHUNK, Carry, carried, with_chunk
+from cohortwise.operators.timeline import (
+    BUSY_EVENTS, BUSY_USERS, CHUNK, carried, highest_before, lowest_after, next_time, previous,
+    with_busy_chunk, with_chunk,
+)
 from cohortwise.session import materialised
 
 
@@ -120,15 +123,21 @@ def time_to_step(events: DataFrame, start: str, attempt: str, goal: str) -> Data
     ).select("*", *medians)
 
 
-def user_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
+def user_sessions(
+    events: DataFrame, gap_minutes: int = 30,
+    busy_events: int = BUSY_EVENTS, busy_users: int = BUSY_USERS,
+) -> DataFrame:
     """Per user and day: sessions started (a pause longer than the gap starts one) and events."""
-    timed = with_chunk(events.select("user_id", "time", "event_id"), "time")
-    previous = carried(
-        timed, "user_id", ["time", "event_id"], [Carry("previous", F.col("time"))]
+    timed = with_busy_chunk(
+        events.select("user_id", "time", "event_id"), "user_id", "time",
+        busy_events=busy_events, busy_users=busy_users,
+    )
+    known = carried(
+        timed, "user_id", ["time", "event_id"], [highest_before("previous", F.col("time"))]
     )
     pause = F.timestamp_diff("MICROSECOND", F.col("previous"), F.col("time"))
     starts = F.col("previous").isNull() | (pause > gap_minutes * 60 * 1_000_000)
-    return previous.groupBy("user_id", F.to_date("time").alias("date")).agg(
+    return known.groupBy("user_id", F.to_date("time").alias("date")).agg(
         flag_sum(starts).alias("sessions"), F.count("*").alias("events")
     )
 
@@ -206,7 +215,9 @@ def stickiness(events: DataFrame, days: int = 30) -> DataFrame:
     )
 
 
-def rollback_events(events: DataFrame, level: str) -> DataFrame:
+def rollback_events(
+    events: DataFrame, level: str, busy_events: int = BUSY_EVENTS, busy_users: int = BUSY_USERS
+) -> DataFrame:
     """Progress events with the level before, the best level before and the next events.
 
     A rollback is a level below the previous one. It is recovered at the first later event
@@ -214,32 +225,31 @@ def rollback_events(events: DataFrame, level: str) -> DataFrame:
     best level so far; until recovery no event does, so the next peak is the recovery.
     """
     order = ["time", "event_id"]
-    steps = with_chunk(
+    steps = with_busy_chunk(
         events.where(F.col(level).isNotNull()).select("user_id", *order, F.col(level).alias("level")),
-        "time",
+        "user_id", "time", busy_events=busy_events, busy_users=busy_users,
     )
-    stamp = F.struct("time", "event_id", "level")
     steps = carried(
         steps, "user_id", order,
         [
-            Carry("before", stamp),
-            Carry("best", F.col("level")),
-            Carry("next_time", F.col("time"), highest=False, before=False),
+            previous("previous_level", "level", order),
+            highest_before("previous_time", F.col("time")),
+            highest_before("best", F.col("level")),
+            next_time("next_time", "time"),
         ],
     )
     peak = F.coalesce(F.col("level") >= F.col("best"), F.lit(True))
     peak_time = F.when(peak, F.col("time"))
-    steps = carried(
-        steps, "user_id", order, [Carry("recovered_at", peak_time, highest=False, before=False)]
-    )
+    steps = carried(steps, "user_id", order, [lowest_after("recovered_at", peak_time)])
     return steps.select(
-        "user_id", *order, "level",
-        F.col("before.time").alias("previous_time"),
-        F.col("before.level").alias("previous_level"), "recovered_at", "next_time",
+        "user_id", *order, "level", "previous_time", "previous_level", "recovered_at", "next_time",
     )
 
 
-def rollback_metrics(events: DataFrame, level: str, horizons: Sequence[int] = (1, 3, 7)) -> DataFrame:
+def rollback_metrics(
+    events: DataFrame, level: str, horizons: Sequence[int] = (1, 3, 7),
+    busy_events: int = BUSY_EVENTS, busy_users: int = BUSY_USERS,
+) -> DataFrame:
     """Frequency, mean and p95 depth, recovered share, time to recover, net progress, churn.
 
     Churn after N days counts rollbacks that can be observed for N days before the last
@@ -248,7 +258,7 @@ def rollback_metrics(events: DataFrame, level: str, horizons: Sequence[int] = (1
     end = events.agg(F.max("time")).scalar()
     change = F.col("level") - F.col("previous_level")
     day = F.to_date("time")
-    steps = rollback_events(events, level).withColumn("end", end).withColumn("change", change)
+    steps = rollback_events(events, level, busy_events, busy_users).withColumn("end", end).withColumn("change", change)
     lost = F.coalesce(F.col("change") < 0, F.lit(False))
     depth = F.when(lost, -F.col("change"))
     wait = F.timestamp_diff("MICROSECOND", F.col("time"), F.col("recovered_at")) / F.lit(1e6)

@@ -1,67 +1,111 @@
 """Values carried along a user's ordered events, cut into time chunks.
 
-A window over all events of a user would put a hot user into one task. Events are
-therefore ordered inside (user, chunk) and a summary row per chunk - at most one per
-hour of history - carries the values across chunks.
+A window over all events of a user would put a hot user into one task. The
+events of such users are therefore ordered inside (user, chunk) and a summary row per
+chunk - at most one per hour of history - carries the values across chunks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from cohortwise.session import materialised
+
 CHUNK = "_chunk"
 
 
 class Carry(NamedTuple):
-    """Highest (or lowest) ``value`` among the user's events strictly before (or after) a row.
+    """What a row takes from the user's other events.
 
-    With a struct that starts with the ordering columns, "highest before" is the previous
-    event and "lowest after" the next one.
+    ``inside`` is the window function among the rows of the same chunk, ``summary`` the
+    aggregate of a chunk and ``outside`` the window function over the summaries.
     """
 
     name: str
-    value: Column
-    highest: bool = True
-    before: bool = True
+    inside: Column
+    summary: Column
+    outside: Callable[[Column], Column]
+    combine: Callable[[Column, Column], Column]
+    backwards: bool = False
+    frame: bool = False
+
+    def over(self, column: Column, keys: Sequence[str], order: Sequence[str]) -> Column:
+        columns = [F.col(c).desc() if self.backwards else F.col(c).asc() for c in order]
+        window = W.partitionBy(*keys).orderBy(*columns)
+        return column.over(window.rowsBetween(W.unboundedPreceding, -1) if self.frame else window)
+
+
+def previous(name: str, value: str, order: Sequence[str]) -> Carry:
+    """Value at the event before."""
+    return Carry(name, F.lag(value), F.max_by(value, F.struct(*order)), F.lag, F.coalesce)
+
+
+def next_time(name: str, time: str) -> Carry:
+    """Time of the event after; ``time`` is the first ordering column."""
+    return Carry(name, F.lead(time), F.min(time), F.lead, F.coalesce)
 
-    def pick(self, column: Column) -> Column:
-        return F.max(column) if self.highest else F.min(column)
 
-    def combine(self, a: Column, b: Column) -> Column:
-        return F.greatest(a, b) if self.highest else F.least(a, b)
+def highest_before(name: str, value: Column) -> Carry:
+    return Carry(name, F.max(value), F.max(value), F.max, F.greatest, frame=True)
 
-    def over(self, keys: Sequence[str], order: Sequence[str]):
-        """Frame of the earlier rows; "after" is "before" on the reversed order.
 
-        So every frame starts at the partition edge and is computed in one sweep.
-        """
-        columns = [F.col(c).asc() if self.before else F.col(c).desc() for c in order]
-        return W.partitionBy(*keys).orderBy(*columns).rowsBetween(W.unboundedPreceding, -1)
+def lowest_after(name: str, value: Column) -> Carry:
+    """Computed as "before" on the reversed order, so the frame starts at the partition edge."""
+    return Carry(name, F.min(value), F.min(value), F.min, F.least, backwards=True, frame=True)
 
 
 def with_chunk(df: DataFrame, ts: str, unit: str = "hour") -> DataFrame:
     return df.withColumn(CHUNK, F.date_trunc(unit, F.col(ts)))
 
 
+# A user with at most this many events fits one window; more busy users than the second
+# number are not broadcast.
+BUSY_EVENTS, BUSY_USERS = 100_000, 1_000_000
+
+
+def with_busy_chunk(
+    df: DataFrame, user: str, ts: str, unit: str = "hour",
+    busy_events: int = BUSY_EVENTS, busy_users: int = BUSY_USERS,
+) -> DataFrame:
+    """Chunk only the timelines of busy users; all others stay whole.
+
+    Short timelines are much cheaper to order in one piece. The busy users are counted
+    first: there can be no more of them than rows / ``busy_events``. Their list is
+    broadcast when the count confirms that it is small; beyond that every user is chunked.
+    """
+    counts = df.groupBy(user).agg(F.count("*").alias("_n"))
+    busy = materialised(counts.where(F.col("_n") > busy_events).select(user, F.lit(True).alias("_busy")))
+    found = busy.count()
+    whole = F.lit("1970-01-01 00:00:00").cast(df.schema[ts].dataType)
+    if not found:
+        return df.withColumn(CHUNK, whole)
+    if found > busy_users:
+        return with_chunk(df, ts, unit)
+    chunk = F.when(F.col("_busy"), F.date_trunc(unit, F.col(ts)).cast(df.schema[ts].dataType))
+    return df.join(F.broadcast(busy), user, "left").withColumn(
+        CHUNK, chunk.otherwise(whole)
+    ).drop("_busy")
+
+
 def carried(df: DataFrame, user: str, order: Sequence[str], carries: Sequence[Carry]) -> DataFrame:
-    """Add one column per carry. Needs the column of ``with_chunk``.
+    """Add one column per carry. Needs the column of ``with_chunk`` or ``with_busy_chunk``.
 
     All carries of one call share the window partitioning, one summary and one join.
     """
     place = [user, CHUNK]
-    summary = df.groupBy(*place).agg(*[c.pick(c.value).alias(f"_s_{c.name}") for c in carries])
+    summary = df.groupBy(*place).agg(*[c.summary.alias(f"_s_{c.name}") for c in carries])
     outside = summary.select(
         *place,
         *[
-            c.pick(F.col(f"_s_{c.name}")).over(c.over([user], [CHUNK])).alias(f"_o_{c.name}")
+            c.over(c.outside(F.col(f"_s_{c.name}")), [user], [CHUNK]).alias(f"_o_{c.name}")
             for c in carries
         ],
     )
     inside = df.select(
-        "*", *[c.pick(c.value).over(c.over(place, order)).alias(f"_i_{c.name}") for c in carries]
+        "*", *[c.over(c.inside, place, order).alias(f"_i_{c.name}") for c in carries]
     )
     return inside.join(outside, place).select(
         *df.columns,

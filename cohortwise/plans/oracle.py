@@ -83,8 +83,9 @@ buckets AS (
 
 
 def weight(key: str) -> str:
-    """Poisson(1) weight of (key, replicate b)."""
-    uniform = f"({WORD.format(t=f'{key} || chr(124) || b || chr(124) || 42')} / CAST(4294967296 AS DOUBLE))"
+    """Poisson(1) weight of (key, replicate b): word b % 4 of the digest of block b // 4."""
+    digest = f"md5({key} || '|' || (b // 4) || '|42')"
+    uniform = f"(CAST('0x' || substr({digest}, 1 + 8 * (b % 4), 8) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
     cases = " ".join(
         f"WHEN u < CAST('{bound!r}' AS DOUBLE) THEN {k}" for k, bound in enumerate(poisson_one_cdf())
     )

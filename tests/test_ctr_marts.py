@@ -81,3 +81,13 @@ def test_bootstrap_ignores_partitioning_and_centres_on_the_ratio(spark):
     r = {x.g: x.l / x.v for x in users.groupBy("g").agg(F.sum("likes").alias("l"), F.sum("views").alias("v")).collect()}
     assert first.mean_difference == pytest.approx(r[1] - r[0], abs=0.01)
     assert first.ci_low < first.mean_difference < first.ci_high and 0 < first.p_value <= 1
+
+
+def test_digest_words_give_the_same_weights_in_blocks(spark):
+    users = spark.range(40).selectExpr("id as user_id", "1 as g", "id as a", "1L as b")
+    got = bootstrap.replicate_ratios(users, "g", "a", "b", "user_id", 10, 42, "md5").collect()
+    crossed = users.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(9))))
+    want = crossed.withColumn("w", poisson_weight(F.col("user_id"), F.col("r"), 42, "md5")).groupBy("r").agg(
+        F.sum(F.col("w") * F.col("a")).alias("n"), F.sum(F.col("w")).alias("d")
+    ).collect()
+    assert {(x.replicate, x.weighted_numerator, x.weighted_denominator) for x in got} == {(x.r, x.n, x.d) for x in want}

@@ -28,16 +28,22 @@ def log(spark):
     return pdf.sort_values(["user_id", "time", "event_id"]), df
 
 
+# No user is busy, only the hot one is, or there are too many busy users to list.
+CHUNKINGS = [{}, {"busy_events": 100}, {"busy_events": 5, "busy_users": 2}]
+
+
+@pytest.mark.parametrize("chunking", CHUNKINGS)
 @pytest.mark.parametrize("gap", [20, 90, 600])
-def test_sessions(log, gap):
+def test_sessions(log, gap, chunking):
     pdf, df = log
     pause = pdf.groupby("user_id")["time"].diff()
     starts = (pause.isna() | (pause > pd.Timedelta(minutes=gap))).groupby(pdf["user_id"]).sum()
-    got = engagement.user_sessions(df, gap).groupBy("user_id").sum("sessions").toPandas()
+    got = engagement.user_sessions(df, gap, **chunking).groupBy("user_id").sum("sessions").toPandas()
     assert dict(zip(got["user_id"], got["sum(sessions)"])) == dict(starts)
 
 
-def test_rollbacks(log):
+@pytest.mark.parametrize("chunking", CHUNKINGS)
+def test_rollbacks(log, chunking):
     pdf, df = log
     events = []
     for user, part in pdf.groupby("user_id"):
@@ -49,7 +55,7 @@ def test_rollbacks(log):
                 events.append((levels[i - 1] - levels[i], (back - times[i]).total_seconds() if back else None))
     depth = np.array([d for d, _ in events])
     waits = [w for _, w in events if w is not None]
-    row = engagement.rollback_metrics(df, "level").first()
+    row = engagement.rollback_metrics(df, "level", **chunking).first()
     assert row.rollbacks == len(events) and row.mean_depth == pytest.approx(depth.mean())
     assert row.p95_depth == pytest.approx(np.quantile(depth, 0.95))
     assert row.recovered_share == pytest.approx(len(waits) / len(events))
