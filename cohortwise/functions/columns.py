@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 # The six age bands of the message report, as (upper bound, label).
-AGE_BANDS = ((18, "<18"), (25, "18-24"), (35, "25-34"), (45, "35-44"), (55, "45-54"))
+AGE_BANDS = ((18, "до 18"), (25, "18–24"), (35, "25–34"), (45, "35–44"), (55, "45–54"))
 OLDEST_BAND = "55+"
 
 def poisson_one_cdf(terms: int = 13) -> list[float]:
@@ -71,6 +71,11 @@ def age_band(age: Column) -> Column:
     return band.when(age.isNotNull(), OLDEST_BAND)
 
 
+def fixed_order(value: Column, categories: Sequence[str]) -> Column:
+    """Position of a category in a fixed list, 0 for others: a sort key for tables and charts."""
+    return F.array_position(F.array(*[F.lit(c) for c in categories]), value)
+
+
 def recode(value: Column, mapping: dict[str, str]) -> Column:
     """Replace listed values, keep all others."""
     out = value

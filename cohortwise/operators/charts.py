@@ -13,7 +13,8 @@ def histogram(df: DataFrame, group: str, value: str, bins: int) -> DataFrame:
 
     The top edge belongs to the last bin; empty bins are listed with zero.
     """
-    known = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
+    number = F.col(value).cast("double")
+    known = df.where(number.isNotNull() & ~F.isnan(number) & F.col(group).isNotNull())
     edges = known.agg(
         F.struct(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"))
         .alias("edges")

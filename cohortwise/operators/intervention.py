@@ -21,7 +21,8 @@ from cohortwise.functions.distributions import t_critical
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-GROWTH, DECLINE, UNCLEAR = "increase", "decrease", "no convincing change"
+# The verdicts growth, decline and no convincing change.
+GROWTH, DECLINE, UNCLEAR = "рост", "снижение", "нет убедительного изменения"
 
 
 def long_series(mart: DataFrame, day: str, metrics: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from cohortwise.functions.columns import age_band, flag_sum, in_period, ratio
+from cohortwise.functions.columns import (
+    AGE_BANDS, OLDEST_BAND, age_band, fixed_order, flag_sum, in_period, ratio,
+)
 
 
 def period(df: DataFrame, ts: str, start=None, end=None) -> DataFrame:
@@ -92,11 +94,12 @@ def messages_by_gender(messages: DataFrame) -> DataFrame:
 
 
 def messages_by_age(messages: DataFrame) -> DataFrame:
-    """Messages sent per age band."""
+    """Messages sent per age band, with the position of the band."""
     banded = messages.select(age_band(F.col("age")).alias("age_band"))
+    labels = [label for _, label in AGE_BANDS] + [OLDEST_BAND]
     return banded.where(F.col("age_band").isNotNull()).groupBy("age_band").agg(
         F.count("*").alias("messages")
-    )
+    ).withColumn("position", fixed_order(F.col("age_band"), labels))
 
 
 def messages_per_sender(messages: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ totals - a few per group - supply the offset.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -27,7 +28,8 @@ def cut_points(df: DataFrame, value: str, slices: int) -> list[float]:
     if slices < 2:
         return []
     probabilities = [i / slices for i in range(1, slices)]
-    return sorted(set(df.approxQuantile(value, probabilities, 0.25 / slices)))
+    found = df.approxQuantile(value, probabilities, 0.25 / slices)
+    return sorted({point for point in found if math.isfinite(point)})
 
 
 def sliced(df: DataFrame, value: str, points: Sequence[float]) -> DataFrame:
@@ -92,7 +94,8 @@ def interpolated(value: str, q: float) -> Column:
     position = F.lit(q) * (F.col("total") - 1)
     low = _first_beyond(value, F.floor(position))
     high = _first_beyond(value, F.ceil(position))
-    return low + (high - low) * F.max(position - F.floor(position))
+    between = low + (high - low) * F.max(position - F.floor(position))
+    return F.when(low == high, low).otherwise(between)
 
 
 def at_index(value: str, q: float) -> Column:

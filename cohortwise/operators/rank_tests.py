@@ -42,7 +42,8 @@ def kruskal_statistic(sums: DataFrame, n_arms: int) -> DataFrame:
         squares = squares + ratio(F.pow(F.col(f"rank_sum_{i}"), F.lit(2.0)), F.col(f"n_{i}"))
     plain = ratio(12 * squares, total * (total + 1)) - 3 * (total + 1)
     correction = 1 - ratio(F.col("ties"), total * total * total - total)
-    return sums.withColumn("h", ratio(plain, correction)).withColumn(
+    # Rounding can leave a tiny negative number where the groups are equal.
+    return sums.withColumn("h", F.greatest(ratio(plain, correction), F.lit(0.0))).withColumn(
         "dof", F.lit(n_arms - 1).cast("long")
     )
 

@@ -230,9 +230,9 @@ FEATURE_RANKS = f"""{PEOPLE}, long AS (
   {" UNION ALL ".join(f'SELECT "group", {chr(39)}{m}{chr(39)} AS metric, {m} AS value FROM people' for m in FEATURES)}),
 {ranks('long', '"group"', ["'control_1'", "'control_2'", "'test'"])},
 kw AS (
-  SELECT *, (12 * (rank_sum_0 * rank_sum_0 / n_0 + rank_sum_1 * rank_sum_1 / n_1 + rank_sum_2 * rank_sum_2 / n_2)
+  SELECT *, greatest(0, (12 * (rank_sum_0 * rank_sum_0 / n_0 + rank_sum_1 * rank_sum_1 / n_1 + rank_sum_2 * rank_sum_2 / n_2)
              / (CAST(users AS DOUBLE) * (users + 1)) - 3 * (users + 1))
-            / (1 - ties / (CAST(users AS DOUBLE) * users * users - users)) AS h
+            / (1 - ties / (CAST(users AS DOUBLE) * users * users - users))) AS h
   FROM sums)"""
 MANN_WHITNEY = """mw AS (
   SELECT *, rank_sum_0 - n_0 * (n_0 + 1) / 2 AS u,
@@ -292,7 +292,7 @@ def mean_effects(keys: str) -> str:
 limits AS (SELECT *, effect - {t_upper('dof')} * se AS lo, effect + {t_upper('dof')} * se AS hi FROM eff)
 SELECT {keys}, n_pre, n_post, round(actual, 4) AS actual, round(predicted, 4) AS predicted, round(effect, 4) AS effect,
        round(se, 4) AS se, dof, round(lo, 4) AS ci_low, round(hi, 4) AS ci_high,
-       CASE WHEN lo <= 0 AND hi >= 0 THEN 'no convincing change' WHEN effect > 0 THEN 'increase' ELSE 'decrease' END AS result
+       CASE WHEN lo <= 0 AND hi >= 0 THEN 'нет убедительного изменения' WHEN effect > 0 THEN 'рост' ELSE 'снижение' END AS result
 FROM limits"""
 
 
@@ -315,7 +315,7 @@ ORACLE["ab_metrics"] = f"""WITH {AB} SELECT testgroup, count(*) AS users, count(
   round(sum(revenue), 2) AS revenue, round(count(*) FILTER (WHERE revenue > 0) / count(*), 6) AS cr,
   round(sum(revenue) / count(*), 4) AS arpu, round(sum(revenue) / nullif(count(*) FILTER (WHERE revenue > 0), 0), 4) AS arppu
 FROM ab GROUP BY testgroup"""
-ORACLE["exp_user"] = f"""WITH {EXPERIMENT} SELECT "group", uid, age, attraction_coeff, country, gender, views_count,
+ORACLE["exp_user"] = f"""WITH {EXPERIMENT} SELECT "group", uid, age, round(attraction_coeff, 2) AS attraction_coeff, country, gender, views_count,
   round(total_revenue, 2) AS total_revenue, round(premium_revenue, 2) AS premium_revenue, premium_transactions,
   trial_buyer, payer, premium_buyer FROM experiment"""
 ORACLE["exp_union"] = """SELECT o_orderkey, o_custkey, o_totalprice,
@@ -426,8 +426,10 @@ m AS (SELECT DISTINCT user_id FROM services WHERE service = 'messenger')
 SELECT count(*) AS base_users, count(m.user_id) AS both_users, round(count(m.user_id) / count(*), 6) AS overlap
 FROM f LEFT JOIN m USING (user_id)"""
 ORACLE["msgs_gender"] = f"WITH {MESSAGES} SELECT gender, count(*) AS messages FROM messages WHERE gender IS NOT NULL GROUP BY gender"
-ORACLE["msgs_age"] = f"""WITH {MESSAGES} SELECT CASE WHEN age < 18 THEN '<18' WHEN age <= 24 THEN '18-24' WHEN age <= 34 THEN '25-34'
-  WHEN age <= 44 THEN '35-44' WHEN age <= 54 THEN '45-54' ELSE '55+' END AS age_band, count(*) AS messages FROM messages GROUP BY age_band"""
+ORACLE["msgs_age"] = f"""WITH {MESSAGES}, b AS (SELECT CASE WHEN age < 18 THEN 1 WHEN age <= 24 THEN 2 WHEN age <= 34 THEN 3
+  WHEN age <= 44 THEN 4 WHEN age <= 54 THEN 5 ELSE 6 END AS position FROM messages)
+SELECT ['до 18', '18–24', '25–34', '35–44', '45–54', '55+'][position] AS age_band, count(*) AS messages, CAST(position AS BIGINT) AS position
+FROM b GROUP BY position"""
 ORACLE["msgs_per_sender"] = f"""WITH {MESSAGES} SELECT date, count(*) AS messages, count(DISTINCT user_id) AS senders,
   round(count(*) / count(DISTINCT user_id), 6) AS messages_per_sender FROM messages GROUP BY date"""
 
@@ -482,11 +484,10 @@ ORACLE["dq_contract"] = """SELECT 'events' AS table_name, count(*) AS rows, TRUE
 UNION ALL SELECT 'customer', count(*), TRUE, TRUE, TRUE FROM customer
 UNION ALL SELECT 'nation', count(*), TRUE, FALSE, count(*) = 25 FROM nation
 UNION ALL SELECT 'region', count(*), FALSE, FALSE, count(*) = 5 FROM region"""
-ORACLE["srm"] = f"""WITH c AS (SELECT count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE') AS n_0, count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS n_1,
-  count(*) FILTER (WHERE c_mktsegment = 'MACHINERY') AS n_2 FROM customer),
-x AS (SELECT *, n_0 + n_1 + n_2 AS users, (pow(n_0 - (n_0 + n_1 + n_2) / 3, 2) + pow(n_1 - (n_0 + n_1 + n_2) / 3, 2)
-  + pow(n_2 - (n_0 + n_1 + n_2) / 3, 2)) / ((n_0 + n_1 + n_2) / 3) AS chi2 FROM c)
-SELECT n_0, n_1, n_2, users, round(chi2, 6) AS chi2, CAST(2 AS BIGINT) AS dof, round({chi2_tail('chi2', '2')}, 6) AS p_value FROM x"""
+ORACLE["srm"] = f"""WITH s AS (SELECT c_mktsegment AS arm, count(*) AS n FROM customer GROUP BY c_mktsegment),
+x AS (SELECT {", ".join(f"max(n) FILTER (WHERE arm = '{arm}') AS n_{i}" for i, arm in enumerate(("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")))},
+  CAST(sum(n) AS BIGINT) AS users, sum(pow(n - (SELECT sum(n) FROM s) / 5, 2)) / (sum(n) / 5) AS chi2 FROM s)
+SELECT n_0, n_1, n_2, n_3, n_4, users, round(chi2, 6) AS chi2, CAST(4 AS BIGINT) AS dof, round({chi2_tail('chi2', '4')}, 6) AS p_value FROM x"""
 
 # ---- statistics ----------------------------------------------------------------------------
 
@@ -635,3 +636,41 @@ pairs AS ({paired(repr('control'), repr('test'), 'country,')}), {WELCH},
 r AS (SELECT metric, count(*) AS strata, sum((n_c + n_t) * diff) / sum(n_c + n_t) AS diff, sqrt(sum(pow((n_c + n_t) * se, 2))) / sum(n_c + n_t) AS se
   FROM welch GROUP BY metric), x AS (SELECT *, diff / se AS z FROM r)
 SELECT metric, strata, round(diff, 4) AS diff, round(se, 4) AS se, round(z, 4) AS z, round({normal_tails('z')}, 6) AS p_value FROM x"""
+
+LEVEL_MODEL = f"""series AS (
+  SELECT event_type, CAST(ts AS DATE) AS date, 'events' AS metric, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY ALL
+  UNION ALL SELECT event_type, CAST(ts AS DATE), 'value_sum', sum(value) FROM events GROUP BY ALL),
+pre AS (SELECT *, row_number() OVER (PARTITION BY event_type, metric ORDER BY date) AS i FROM series
+  WHERE date BETWEEN DATE '{PRE[0]}' AND DATE '{PRE[1]}'),
+stat AS (SELECT event_type, metric, avg(value) AS centre, stddev_samp(value) AS unit, count(*) AS n FROM pre GROUP BY ALL),
+scaled AS (SELECT event_type, metric, i, (value - centre) / unit AS v FROM pre JOIN stat USING (event_type, metric)),
+ratios AS (SELECT g, (-8 + CAST(12 AS DOUBLE) * g / 1200) * ln(10) AS lr, exp((-8 + CAST(12 AS DOUBLE) * g / 1200) * ln(10)) AS q FROM range(0, 1201) r(g)),
+filtered AS (
+  SELECT event_type, metric, g, q, lr, i, v AS level, CAST(1 AS DOUBLE) AS spread, CAST(0 AS DOUBLE) AS squares, CAST(0 AS DOUBLE) AS logs
+  FROM scaled CROSS JOIN ratios WHERE i = 1
+  UNION ALL
+  SELECT f.event_type, f.metric, g, q, lr, s.i, level + (spread + q) / (spread + q + 1) * (s.v - level), (spread + q) / (spread + q + 1),
+         squares + pow(s.v - level, 2) / (spread + q + 1), logs + ln(spread + q + 1)
+  FROM filtered f JOIN scaled s ON s.event_type = f.event_type AND s.metric = f.metric AND s.i = f.i + 1),
+ends AS (SELECT f.*, centre, unit, CAST(n - 1 + 32 AS DOUBLE) / 2 AS shape, (squares + 32 * CAST(0.0001 AS DOUBLE) / q) / 2 AS rate
+  FROM filtered f JOIN stat USING (event_type, metric) WHERE i = n),
+logged AS (SELECT *, -shape * ln(rate) - logs / 2 - 16 * lr AS lw FROM ends),
+weighted AS (SELECT *, exp(lw - max(lw) OVER (PARTITION BY event_type, metric)) AS w FROM logged),
+posterior AS (SELECT *, sum(w * level) OVER (PARTITION BY event_type, metric) / sum(w) OVER (PARTITION BY event_type, metric) AS mean FROM weighted),
+later AS (SELECT event_type, metric, date, value, date - DATE '{PRE[1]}' AS h FROM series WHERE date BETWEEN DATE '{POST[0]}' AND DATE '{POST[1]}')"""
+ORACLE["intervention_daily"] = f"""WITH RECURSIVE {LEVEL_MODEL},
+f AS (SELECT event_type, metric, date, any_value(value) AS actual, any_value(centre + unit * mean) AS predicted,
+  any_value(unit) * sqrt(sum(w * (rate / (shape - 1) * (spread + h * q + 1) + pow(level - mean, 2))) / sum(w)) AS deviation
+  FROM later JOIN posterior USING (event_type, metric) GROUP BY event_type, metric, date)
+SELECT event_type, metric, date, round(actual, 4) AS actual, round(predicted, 4) AS predicted,
+  round(predicted - {Z} * deviation, 4) AS low, round(predicted + {Z} * deviation, 4) AS high FROM f"""
+ORACLE["intervention_level"] = f"""WITH RECURSIVE {LEVEL_MODEL},
+days AS (SELECT event_type, metric, count(*) AS m, avg(value) AS actual FROM later GROUP BY ALL),
+steps AS (SELECT a.event_type, a.metric, avg(CAST(least(a.h, b.h) AS DOUBLE)) AS s FROM later a JOIN later b USING (event_type, metric) GROUP BY ALL),
+f AS (SELECT event_type, metric, any_value(m) AS m, any_value(actual) AS actual, any_value(centre + unit * mean) AS predicted,
+  any_value(unit) * sqrt(sum(w * (rate / (shape - 1) * (spread + s * q + CAST(1 AS DOUBLE) / m) + pow(level - mean, 2))) / sum(w)) AS deviation
+  FROM days JOIN steps USING (event_type, metric) JOIN posterior USING (event_type, metric) GROUP BY event_type, metric),
+e AS (SELECT *, actual - predicted AS effect, actual - predicted - {Z} * deviation AS lo, actual - predicted + {Z} * deviation AS hi FROM f)
+SELECT event_type, metric, m AS n_post, round(actual, 4) AS actual, round(predicted, 4) AS predicted, round(effect, 4) AS effect,
+  round(lo, 4) AS ci_low, round(hi, 4) AS ci_high,
+  CASE WHEN lo <= 0 AND hi >= 0 THEN 'нет убедительного изменения' WHEN effect > 0 THEN 'рост' ELSE 'снижение' END AS result FROM e"""

@@ -295,7 +295,7 @@ def msgs_gender(spark, folder):
 
 @query("msgs_age")
 def msgs_age(spark, folder):
-    return tidy(marts.messages_by_age(inputs.messages(spark, folder)))
+    return tidy(marts.messages_by_age(inputs.messages(spark, folder))).orderBy("position")
 
 
 @query("msgs_per_sender")
@@ -434,7 +434,8 @@ def dq_contract(spark, folder):
 @query("srm")
 def srm(spark, folder):
     people = inputs.table(spark, folder, "customer")
-    return tidy(contingency.sample_ratio(people, "c_mktsegment", {"AUTOMOBILE": 1, "BUILDING": 1, "MACHINERY": 1}))
+    shares = {name: 1 for name in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")}
+    return tidy(contingency.sample_ratio(people, "c_mktsegment", shares))
 
 
 # ---- statistics ----------------------------------------------------------------------------

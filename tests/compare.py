@@ -15,6 +15,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in sorted(glob.glob(f"{folder}/*.parquet")):
         name = os.path.splitext(os.path.basename(path))[0]
+        if os.path.isdir(path):
+            path += "/*.parquet"
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
     return con
 

@@ -54,7 +54,7 @@ def test_daily_mart(feed, rows):
 def test_age_bands(spark):
     df = spark.createDataFrame([(a,) for a in (17, 18, 24, 25, 34, 35, 44, 45, 54, 55, None)], "age int")
     got = [r[0] for r in df.select(age_band(F.col("age"))).collect()]
-    assert got == ["<18", "18-24", "18-24", "25-34", "25-34", "35-44", "35-44", "45-54", "45-54", "55+", None]
+    assert got == ["до 18", "18–24", "18–24", "25–34", "25–34", "35–44", "35–44", "45–54", "45–54", "55+", None]
 
 
 def test_service_overlap(spark):

@@ -25,14 +25,14 @@ def test_mean_effect(series):
     got = {r.metric: r for r in intervention.mean_effect(df, PRE, POST).collect()}
     assert (got["jump"].n_pre, got["jump"].n_post) == (41, 7)
     assert got["jump"].effect == pytest.approx(pdf["jump"][41:48].mean() - pdf["jump"][:41].mean())
-    assert got["jump"].result == "increase" and got["flat"].result == "no convincing change"
+    assert got["jump"].result == intervention.GROWTH and got["flat"].result == intervention.UNCLEAR
 
 
 def test_level_effect(series):
     _, df = series
     forecast = intervention.level_forecast(df, PRE, POST)
     got = {r.metric: r for r in intervention.level_effect(forecast).collect()}
-    assert got["jump"].result == "increase" and 20 < got["jump"].effect < 30
+    assert got["jump"].result == intervention.GROWTH and 20 < got["jump"].effect < 30
     assert got["flat"].ci_low < 0 < got["flat"].ci_high
     width = {m: r.ci_high - r.ci_low for m, r in got.items()}
     assert width["drift"] > width["flat"]

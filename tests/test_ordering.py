@@ -122,3 +122,9 @@ def test_box_numbers(skewed):
     row = got.loc["hot"]
     assert (row.whisker_low, row.whisker_high) == (values[inside].min(), values[inside].max())
     assert row.outliers == (~inside).sum()
+
+
+def test_infinite_values_do_not_break_the_slicing(spark):
+    df = spark.range(40).selectExpr("1 as g", "if(id < 20, double('inf'), id * 1.0D) as x")
+    row = exact_quantiles(df, ["g"], "x", {"q": 0.25, "top": 1.0}, slices=8).first()
+    assert row.q == 29.75 and row.top == float("inf")
