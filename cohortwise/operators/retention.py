@@ -38,7 +38,10 @@ def _cohorts(registrations: DataFrame, by: Sequence[str], start, end) -> DataFra
 
     The uniqueness check rides on the shuffle by uid that the join needs anyway.
     """
-    once = registrations.groupBy("uid").agg(
+    uid = F.coalesce("uid", _fail("uid must not be null", registrations.schema["uid"].dataType.simpleString()))
+    # The explicit filter keeps the two uses of this table alike, so its shuffle is reused.
+    named = registrations.withColumn("uid", uid).where(F.col("uid").isNotNull())
+    once = named.groupBy("uid").agg(
         F.count("*").alias("_rows"), F.min("reg_ts").alias("reg_ts"),
         *[F.max(c).alias(c) for c in by],
     )
