@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortwise.llm import bpe, exact
+from cohortwise.llm import bpe, exact, secrets
 from cohortwise.llm.common import documents
 
 
@@ -16,12 +16,17 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(documents(spark, sf_dir))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(documents(spark, sf_dir)).drop("tie")
 
 
 QUERIES = {
     "op4_bpe": op4_bpe,
+    "op9_secrets": op9_secrets,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
