@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortwise.llm import bpe, exact, packing, secrets
+from cohortwise.llm import bpe, exact, packing, quality, secrets
 from cohortwise.llm.common import documents
 
 
@@ -13,6 +13,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    )
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_texts(
         documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -30,6 +36,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
     "op4_bpe": op4_bpe,
     "op9_secrets": op9_secrets,
     "op10_exact_dedup": op10_exact_dedup,
