@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortwise.llm import bpe, exact, langid, packing, quality, secrets
+from cohortwise.llm import bpe, exact, langid, packing, quality, secrets, simhash
 from cohortwise.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(documents(spark, sf_dir)).drop("kept", "tie")
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
     "op4_bpe": op4_bpe,
+    "op5_simhash": op5_simhash,
     "op7_langid": op7_langid,
     "op9_secrets": op9_secrets,
     "op10_exact_dedup": op10_exact_dedup,
