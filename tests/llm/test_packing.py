@@ -1,6 +1,7 @@
 """Packing: every id in exactly one piece, gapless windows, little padding."""
 
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -94,7 +95,10 @@ def test_level_choice_is_the_least_sum_of_squares(window):
         assert (counts == packer.levels).all()
 
 
-def test_words_give_the_ids_of_the_whole():
-    words = packing.WordCache(FILE)
-    for _ in range(2):
-        assert words.encode(ODD) == [ids.tobytes() for ids in words.whole(ODD)]
+def test_both_ways_give_the_same_ids(spark):
+    encoder = packing.Encoder(FILE)
+    texts = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    single = ["".join(chr(c) for c in (k, k, 32, k, 97, k, 49, k, 32, 32, k)) for k in range(0x250)]
+    for text in texts + single + [t for t in ODD if encoder.plain(t)]:
+        assert encoder.encode(text) == array("I", encoder.whole(text)).tobytes()
+    assert not encoder.plain(ODD[10])
