@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: Shuffle files of a query that is checkpointed are of no use once it has run.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -32,7 +36,13 @@ def kept(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="llm-checkpoints-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        # A new plan over the same query, so that the option above holds for it.
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def tasks(spark: SparkSession) -> int:

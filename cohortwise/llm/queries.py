@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortwise.llm import bpe, exact, langid, packing, quality, secrets, simhash
+from cohortwise.llm import bpe, exact, langid, packing, quality, secrets, simhash, suffix
 from cohortwise.llm.common import documents
 
 
@@ -19,6 +19,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.substring_dedup(documents(spark, sf_dir)).drop("tie")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_texts(
         documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -45,6 +49,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
     "op7_langid": op7_langid,
