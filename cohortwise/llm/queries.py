@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortwise.llm import bpe, exact, langid, packing, quality, secrets, simhash, suffix
+from cohortwise.llm import bpe, exact, langid, packing, quality, secrets, simhash, substring, suffix
 from cohortwise.llm.common import documents
 
 
@@ -38,6 +38,10 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op8_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.word_dedup(documents(spark, sf_dir)).drop("tie")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(documents(spark, sf_dir))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
     "op7_langid": op7_langid,
+    "op8_fm_dedup": op8_fm_dedup,
     "op9_secrets": op9_secrets,
     "op10_exact_dedup": op10_exact_dedup,
 }
