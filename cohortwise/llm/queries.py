@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwise.llm import bpe, exact, langid, packing, quality, secrets, simhash, substring, suffix
+from cohortwise.llm import ann, bpe, exact, langid, packing, quality, secrets, simhash, substring, suffix
 from cohortwise.llm.common import documents
 
 
@@ -34,6 +34,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(documents(spark, sf_dir)).drop("kept", "tie")
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ann.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -56,6 +61,7 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
+    "op6_ann": op6_ann,
     "op7_langid": op7_langid,
     "op8_fm_dedup": op8_fm_dedup,
     "op9_secrets": op9_secrets,
