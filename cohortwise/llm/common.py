@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Helpers travel inside the serialised tasks, so executors need no installed package.
@@ -20,14 +22,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """Compute a reduced table once and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
 
-    It goes to the folder named by ``spark.checkpoint.dir``, which driver and executors
-    share, so a lost executor loses nothing. Only a local session without the setting, as
-    in tests, gets a folder chosen here.
+    Only a local session without the setting, as in tests, gets a folder chosen here.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -36,6 +35,16 @@ def kept(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="llm-checkpoints-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Compute a reduced table once, in the shared folder, and cut its lineage.
+
+    A lost executor loses nothing.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
     try:
@@ -45,6 +54,27 @@ def kept(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEANUP, before)
 
 
+def place(docs: DataFrame) -> Column:
+    """A number for each row that stays the same however the input is split, also on retries.
+
+    Rows of files are named by file and position. Tables without files, as in tests, are
+    numbered by partition; a table that is computed should be stored first.
+    """
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table to the shared folder as Parquet and read it again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

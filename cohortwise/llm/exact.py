@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwise.llm.common import kept
+from cohortwise.llm.common import kept, place
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -156,8 +156,8 @@ def exact_dedup(
     id range is the history and the rest the incoming batch. The groups do not depend on it.
 
     Null text is the empty text. Of equal texts the largest id stays; rows that also share the
-    id are told apart by their place in the input (``tie``), so exactly one row of each group
-    is kept. A null id loses to any other; a group of null ids has a null keep_id and still
+    id are told apart by ``tie``, which names their place in the input, so exactly one row of
+    each group is kept. A null id loses to any other; a group of null ids has a null keep_id and still
     keeps one row. An empty table gives no rows. Other columns of ``docs`` play no part.
     """
     digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
@@ -167,7 +167,7 @@ def exact_dedup(
         historical = F.col(doc_id) <= middle
     base = kept(docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id), F.lit(NO_ID)).alias("id"),
-        F.monotonically_increasing_id().alias("tie"), digest.alias("digest"),
+        place(docs).alias("tie"), digest.alias("digest"),
         F.coalesce(historical, F.lit(False)).alias("old"),
     ))
     shards = max(1, math.ceil(docs.count() / SHARD_DIGESTS))

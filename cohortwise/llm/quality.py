@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
@@ -70,7 +71,7 @@ def statistics(text: str) -> np.ndarray:
 
 
 def described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, held_out, tie and the statistics of every row."""
+    """doc_id, fold and the statistics of every row."""
     schema = pa.schema([
         ("doc_id", pa.int64()), ("fold", pa.int64()), ("stats", pa.list_(pa.float32())),
     ])
@@ -238,6 +239,30 @@ def score_quality(
     """
     stats = kept(described(docs, doc_id, text))
     model = fit(stats, labels, doc_id, quality)
+    return predicted(stats, model)
+
+
+def accepted(
+    docs: DataFrame, labels: DataFrame, least: float = 0.5, doc_id: str = "doc_id",
+    text: str = "text", quality: str = "quality",
+) -> DataFrame:
+    """Rows of ``docs`` whose score is at least ``least``, with all their columns.
+
+    The model is that of :func:`score_quality`. The statistics are computed once more where
+    the rows are, which is cheaper than to move every text to its score.
+    """
+    model = fit(kept(described(docs, doc_id, text)), labels, doc_id, quality)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        found = [statistics(t or "") for t in texts]
+        return pd.Series(model.score(np.float32(found).astype(float)) if found else [], dtype=float)
+
+    return docs.where(score(F.coalesce(F.col(text), F.lit(""))) >= least)
+
+
+def predicted(stats: DataFrame, model: Model) -> DataFrame:
+    """Scores from statistics."""
     schema = pa.schema([
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()),
         ("predicted", pa.int32()),

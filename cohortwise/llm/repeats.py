@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from cohortwise.llm.common import tasks
+from cohortwise.llm.common import place, tasks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -345,7 +345,7 @@ def settled(found: DataFrame) -> DataFrame:
 def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """tie (place of the row), doc (its rank: the id, null last), doc_id and data, the bytes."""
     return docs.select(
-        F.monotonically_increasing_id().alias("tie"),
+        place(docs).alias("tie"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.col(doc_id).cast("long").alias("doc_id"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("data"),

@@ -127,8 +127,8 @@ def sequences(texts: DataFrame, places: DataFrame) -> DataFrame:
         if rows or settled:
             yield from deal(rows + settled)
 
-    return texts.join(places.hint("shuffle_hash"), "tie").select(
-        "tie", texts["doc"], "doc_id", "data", "covers", "opens"
+    return texts.join(places.hint("shuffle_hash"), ["tie", "doc"]).select(
+        "tie", "doc", "doc_id", "data", "covers", "opens"
     ).mapInArrow(run, ROWS)
 
 
@@ -253,8 +253,8 @@ def remainders(texts: DataFrame, places: DataFrame) -> DataFrame:
                 [f.split()[0] for f in REPORT.split(", ")],
             )
 
-    return texts.join(places.hint("shuffle_hash"), "tie", "left").select(
-        "tie", texts["doc"], "doc_id", "data", "covers"
+    return texts.join(places.hint("shuffle_hash"), ["tie", "doc"], "left").select(
+        "tie", "doc", "doc_id", "data", "covers"
     ).mapInArrow(run, REPORT)
 
 
@@ -269,7 +269,7 @@ def word_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """
     n = tasks(docs.sparkSession)
     texts = repeats.numbered(docs, doc_id, text)
-    places = kept(repeats.settled(repeats.first_pass(texts, units, ANCHOR))).drop("doc")
+    places = kept(repeats.settled(repeats.first_pass(texts, units, ANCHOR)))
     rows = sequences(texts, places)
     for final in (False, True):
         rows = rows.repartition(n, "name").sortWithinPartitions("name", "kind", "doc").mapInArrow(
@@ -279,4 +279,4 @@ def word_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     done = covers.repartition(n, "tie").sortWithinPartitions("tie").mapInArrow(
         repeats.gather, "tie long, doc long, covers binary, opens binary"
     )
-    return remainders(texts, done.select("tie", "covers"))
+    return remainders(texts, done.select("tie", "doc", "covers"))
