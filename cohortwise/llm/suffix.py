@@ -73,8 +73,8 @@ def longer_prefixes(texts: DataFrame, places: DataFrame, k: int) -> DataFrame:
             yield from passed()
         yield from passed()
 
-    return texts.join(places.hint("shuffle_hash"), "tie").select(
-        "tie", texts["doc"], "doc_id", "data", "covers", "opens"
+    return texts.join(places.hint("shuffle_hash"), ["tie", "doc"]).select(
+        "tie", "doc", "doc_id", "data", "covers", "opens"
     ).mapInArrow(run, repeats.ROWS)
 
 
@@ -100,8 +100,8 @@ def remainders(texts: DataFrame, places: DataFrame) -> DataFrame:
                 [f.split()[0] for f in REPORT.split(", ")],
             )
 
-    return texts.join(places.hint("shuffle_hash"), "tie", "left").select(
-        "tie", texts["doc"], "doc_id", "data", "covers"
+    return texts.join(places.hint("shuffle_hash"), ["tie", "doc"], "left").select(
+        "tie", "doc", "doc_id", "data", "covers"
     ).mapInArrow(run, REPORT)
 
 
@@ -117,7 +117,8 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Names are 64-bit hashes of pairs of names, two of them for each run of windows.
     """
     texts = repeats.numbered(docs, doc_id, text)
-    places = kept(repeats.settled(repeats.first_pass(texts, units, LENGTHS[0])))
+    places = repeats.settled(repeats.first_pass(texts, units, LENGTHS[0]))
     for k in LENGTHS[1:]:
-        places = repeats.settled(longer_prefixes(texts, places.drop("doc"), k))
-    return remainders(texts, places.drop("doc"))
+        # A level's shuffle files go before the next one writes its own.
+        places = repeats.settled(longer_prefixes(texts, kept(places), k))
+    return remainders(texts, places)
