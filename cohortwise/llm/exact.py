@@ -35,13 +35,21 @@ def words(digests: np.ndarray) -> np.ndarray:
     return digests.view("<u8").reshape(-1, 4)
 
 
+def moved(first: np.ndarray, second: np.ndarray, tries: np.ndarray, slots: int) -> np.ndarray:
+    """A slot for every number of tries, unrelated from one try to the next."""
+    x = (first + tries * np.uint64(0x9E3779B97F4A7C15)) * (second | np.uint64(1))
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return (x % np.uint64(slots)).astype(np.int64)
+
+
 def slot_of(keys: np.ndarray, displacements: np.ndarray, slots: int) -> np.ndarray:
     """Slot of each digest. A negative displacement names the slot of a bucket with one digest."""
     w = words(keys)
     d = displacements[(w[:, 0] % np.uint64(len(displacements))).astype(np.int64)]
-    step = np.maximum(d, 0).astype(np.uint64)
-    moved = ((w[:, 1] + step * (w[:, 2] | np.uint64(1))) % np.uint64(slots)).astype(np.int64)
-    return np.where(d < 0, -d - 1, moved)
+    chosen = moved(w[:, 1], w[:, 2], np.maximum(d, 0).astype(np.uint64), slots)
+    return np.where(d < 0, -d - 1, chosen)
 
 
 def displace(keys: np.ndarray) -> np.ndarray:
@@ -60,10 +68,10 @@ def displace(keys: np.ndarray) -> np.ndarray:
         if sizes[b] < 2:
             break
         own = order[starts[b]:starts[b + 1]]
-        first, step = w[own, 1][:, None], (w[own, 2] | np.uint64(1))[:, None]
+        first, second = w[own, 1][:, None], w[own, 2][:, None]
         base = np.uint64(0)
         while True:
-            slots = ((first + (tries + base) * step) % np.uint64(n)).astype(np.int64)
+            slots = moved(first, second, tries + base, n)
             free = ~taken[slots].any(axis=0)
             ordered = np.sort(slots, axis=0)
             free &= (ordered[1:] != ordered[:-1]).all(axis=0)
