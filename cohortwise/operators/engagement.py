@@ -8,15 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cohortwise.functions.columns import flag_sum, ratio
 from cohortwise.operators.ordering import exact_quantiles
 from cohortwise.operators.timeline import (
-    BUSY_EVENTS, BUSY_USERS, CHUNK, carried, highest_before, lowest_after, next_time, previous,
-    with_busy_chunk, with_chunk,
+    CHUNK, carried, highest_before, lowest_after, next_time, previous, with_slice,
 )
-from cohortwise.session import materialised
 
 
 def event_reach(events: DataFrame, seen: str, started: str, month: int = 30) -> DataFrame:
@@ -52,26 +50,41 @@ def first_participation(events: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def first_times(events: DataFrame, steps: Sequence[str]) -> DataFrame:
-    """First time of each step per user, as columns ``t0, t1, ...``; one partial aggregate."""
-    step = F.col("event_type")
-    return events.where(step.isin(list(steps))).groupBy("user_id").agg(
-        *[F.min(F.when(step == s, F.col("time"))).alias(f"t{i}") for i, s in enumerate(steps)]
+def _ordered(events: DataFrame, steps: Sequence[str], slices: int | None) -> DataFrame:
+    """Per user and time slice the events of the steps as sorted (time, step number).
+
+    A list is no longer than a slice, whatever a user does. Of equal times the earlier step
+    comes first, so a step may follow at the very time of the one before it.
+    """
+    number = F.coalesce(*[F.when(F.col("event_type") == s, F.lit(i)) for i, s in enumerate(steps)])
+    known = events.where(F.col("event_type").isin(list(steps)) & F.col("time").isNotNull())
+    cut = with_slice(known.select("user_id", "time", number.alias("step")), "time", slices)
+    return cut.groupBy("user_id", CHUNK).agg(
+        F.array_sort(F.collect_list(F.struct("time", "step"))).alias("events")
     )
 
 
-def funnel(events: DataFrame, steps: Sequence[str]) -> DataFrame:
+def funnel(events: DataFrame, steps: Sequence[str], slices: int | None = None) -> DataFrame:
     """Users per step, conversion from the step before and from the start, and drop-off.
 
-    A step counts when its first time is not before the first time of the step before it.
+    A step is reached at its first event at or after the time the step before it was reached.
+    Every slice of a user's time maps the steps done before it to the steps done after it;
+    the maps of a user, one per slice, are then applied in order.
     """
-    times = first_times(events, steps)
-    reached, flags = F.col("t0").isNotNull(), []
-    for i in range(len(steps)):
-        if i:
-            reached = reached & F.coalesce(F.col(f"t{i}") >= F.col(f"t{i - 1}"), F.lit(False))
-        flags.append(reached)
-    counts = times.agg(*[F.count_if(f).alias(f"c{i}") for i, f in enumerate(flags)])
+    count = len(steps)
+    if len(set(steps)) < count:
+        raise ValueError("steps of a funnel are distinct")
+    entered = F.sequence(F.lit(0), F.lit(count))
+    done = F.aggregate(
+        "events", entered,
+        lambda state, e: F.transform(state, lambda s: s + (s == e["step"]).cast("int")),
+    )
+    maps = _ordered(events, steps, slices).select("user_id", CHUNK, done.alias("map"))
+    ordered = maps.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct(CHUNK, "map"))).alias("maps"))
+    reached = ordered.select(
+        F.aggregate("maps", F.lit(0), lambda s, m: F.element_at(m["map"], s + 1)).alias("reached")
+    )
+    counts = reached.agg(*[F.count_if(F.col("reached") > i).alias(f"c{i}") for i in range(count)])
     rows = F.array(
         *[
             F.struct(
@@ -88,32 +101,61 @@ def funnel(events: DataFrame, steps: Sequence[str]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def time_to_step(events: DataFrame, start: str, attempt: str, goal: str) -> DataFrame:
+def time_to_step(
+    events: DataFrame, start: str, attempt: str, goal: str, slices: int | None = None,
+) -> DataFrame:
     """Users who reach the goal: median and mean seconds from start, median and mean attempts.
 
-    Attempts are those up to the goal. Whole hours before it are counted from hourly sums;
-    only the hour of the goal is compared row by row, so a busy user never meets a join
-    with all of their events.
+    The goal is the first one at or after the first start. Attempts are those up to the goal.
+    A slice of a user's time says when it starts, where its first goal lies - anywhere, and
+    after its first start - and how many attempts come before; the slices are then read in
+    order. Raw events meet no join.
     """
-    times = first_times(events, [start, goal]).where(F.col("t1") >= F.col("t0"))
-    done = with_chunk(times, "t1").select("user_id", "t0", "t1", F.col(CHUNK).alias("_goal_chunk"))
-    tries = with_chunk(events.where(F.col("event_type") == attempt), "time")
-    hourly = tries.groupBy("user_id", CHUNK).agg(F.count("*").alias("n"))
-    earlier = hourly.join(done, "user_id").where(F.col(CHUNK) < F.col("_goal_chunk")).select("user_id", "n")
-    same = (
-        tries.select("user_id", "time", F.col(CHUNK).alias("_goal_chunk"))
-        .join(done.select("user_id", "t1", "_goal_chunk"), ["user_id", "_goal_chunk"])
-        .where(F.col("time") <= F.col("t1"))
-        .select("user_id", F.lit(1).cast("long").alias("n"))
+    ordered = _ordered(events, [start, attempt, goal], slices)
+
+    def first(step: int, since: Column | None = None) -> Column:
+        later = lambda e: (e["step"] == step) & (F.lit(True) if since is None else e["time"] >= since)
+        return F.get(F.filter("events", later), F.lit(0))["time"]
+
+    def tries(until: Column) -> Column:
+        return F.size(F.filter("events", lambda e: (e["step"] == 1) & (e["time"] <= until))).cast("long")
+
+    parts = ordered.select("user_id", CHUNK, "events", first(0).alias("t0"), first(2).alias("any_goal"))
+    parts = parts.select("*", first(2, F.col("t0")).alias("own_goal")).select(
+        "user_id",
+        F.struct(
+            CHUNK, "t0", "any_goal", tries(F.col("any_goal")).alias("any_tries"), "own_goal",
+            tries(F.col("own_goal")).alias("own_tries"),
+            F.size(F.filter("events", lambda e: e["step"] == 1)).cast("long").alias("tries"),
+        ).alias("part"),
+    )
+    kind = parts.schema["part"].dataType["t0"].dataType
+    nothing = F.struct(
+        F.lit(None).cast(kind).alias("t0"), F.lit(None).cast(kind).alias("goal"),
+        F.lit(0).cast("long").alias("seen"), F.lit(0).cast("long").alias("attempts"),
     )
-    attempts = earlier.unionByName(same).groupBy("user_id").agg(F.sum("n").alias("attempts"))
-    # One row per user, read by the means and by both medians.
-    per_user = materialised(done.join(attempts, "user_id", "left").select(
-        (F.timestamp_diff("MICROSECOND", F.col("t0"), F.col("t1")) / F.lit(1e6)).alias("seconds"),
-        F.coalesce("attempts", F.lit(0)).alias("attempts"),
-    ))
+
+    def read(state: Column, p: Column) -> Column:
+        began = state["t0"].isNotNull()
+        goal = F.when(began, p["any_goal"]).otherwise(p["own_goal"])
+        here = F.when(began, p["any_tries"]).otherwise(p["own_tries"])
+        fresh = state["goal"].isNull() & goal.isNotNull()
+        return F.struct(
+            F.coalesce(state["t0"], p["t0"]).alias("t0"), F.coalesce(state["goal"], goal).alias("goal"),
+            (state["seen"] + p["tries"]).alias("seen"),
+            F.when(fresh, state["seen"] + here).otherwise(state["attempts"]).alias("attempts"),
+        )
+
+    users = parts.groupBy("user_id").agg(F.array_sort(F.collect_list("part")).alias("parts")).select(
+        F.aggregate("parts", nothing, read).alias("u")
+    ).where(F.col("u.goal").isNotNull())
+    per_user = users.select(
+        (F.timestamp_diff("MICROSECOND", F.col("u.t0"), F.col("u.goal")) / F.lit(1e6)).alias("seconds"),
+        F.col("u.attempts").alias("attempts"),
+    )
+    # Counts per distinct value, so the medians need no cut points.
     medians = [
-        exact_quantiles(per_user, [], c, {"median": 0.5}).scalar().alias(f"median_{c}")
+        exact_quantiles(per_user, [], c, {"median": 0.5}, slices=1).scalar().alias(f"median_{c}")
         for c in ("seconds", "attempts")
     ]
     return per_user.agg(
@@ -124,14 +166,10 @@ def time_to_step(events: DataFrame, start: str, attempt: str, goal: str) -> Data
 
 
 def user_sessions(
-    events: DataFrame, gap_minutes: int = 30,
-    busy_events: int = BUSY_EVENTS, busy_users: int = BUSY_USERS,
+    events: DataFrame, gap_minutes: int = 30, slices: int | None = None,
 ) -> DataFrame:
     """Per user and day: sessions started (a pause longer than the gap starts one) and events."""
-    timed = with_busy_chunk(
-        events.select("user_id", "time", "event_id"), "user_id", "time",
-        busy_events=busy_events, busy_users=busy_users,
-    )
+    timed = with_slice(events.select("user_id", "time", "event_id"), "time", slices)
     known = carried(
         timed, "user_id", ["time", "event_id"], [highest_before("previous", F.col("time"))]
     )
@@ -164,7 +202,8 @@ def churn_after(
     day = F.to_date("time")
     last = F.lit(end).cast("date")
     took_part = (F.col("event_type") == participation) & day.between(F.lit(start).cast("date"), last)
-    per_user = events.groupBy("user_id").agg(
+    seen = events.where(day.between(F.lit(start).cast("date"), F.date_add(last, max(horizons))))
+    per_user = seen.groupBy("user_id").agg(
         F.max(took_part.cast("int")).alias("took_part"),
         F.min(F.when(day > last, day)).alias("returned"),
     ).where(F.col("took_part") == 1)
@@ -215,9 +254,7 @@ def stickiness(events: DataFrame, days: int = 30) -> DataFrame:
     )
 
 
-def rollback_events(
-    events: DataFrame, level: str, busy_events: int = BUSY_EVENTS, busy_users: int = BUSY_USERS
-) -> DataFrame:
+def rollback_events(events: DataFrame, level: str, slices: int | None = None) -> DataFrame:
     """Progress events with the level before, the best level before and the next events.
 
     A rollback is a level below the previous one. It is recovered at the first later event
@@ -225,9 +262,9 @@ def rollback_events(
     best level so far; until recovery no event does, so the next peak is the recovery.
     """
     order = ["time", "event_id"]
-    steps = with_busy_chunk(
+    steps = with_slice(
         events.where(F.col(level).isNotNull()).select("user_id", *order, F.col(level).alias("level")),
-        "user_id", "time", busy_events=busy_events, busy_users=busy_users,
+        "time", slices,
     )
     steps = carried(
         steps, "user_id", order,
@@ -247,8 +284,7 @@ def rollback_events(
 
 
 def rollback_metrics(
-    events: DataFrame, level: str, horizons: Sequence[int] = (1, 3, 7),
-    busy_events: int = BUSY_EVENTS, busy_users: int = BUSY_USERS,
+    events: DataFrame, level: str, horizons: Sequence[int] = (1, 3, 7), slices: int | None = None,
 ) -> DataFrame:
     """Frequency, mean and p95 depth, recovered share, time to recover, net progress, churn.
 
@@ -258,7 +294,7 @@ def rollback_metrics(
     end = events.agg(F.max("time")).scalar()
     change = F.col("level") - F.col("previous_level")
     day = F.to_date("time")
-    steps = rollback_events(events, level, busy_events, busy_users).withColumn("end", end).withColumn("change", change)
+    steps = rollback_events(events, level, slices).withColumn("end", end).withColumn("change", change)
     lost = F.coalesce(F.col("change") < 0, F.lit(False))
     depth = F.when(lost, -F.col("change"))
     wait = F.timestamp_diff("MICROSECOND", F.col("time"), F.col("recovered_at")) / F.lit(1e6)
@@ -272,14 +308,16 @@ def rollback_metrics(
         churn.append(
             ratio(F.count_if(observable & silent), F.count_if(observable)).alias(f"churn_{n}d")
         )
-    # Levels are whole numbers of a fixed range, so the exact percentile counts few values.
+    # Counted per distinct depth first, so no buffer holds all of them.
+    p95 = exact_quantiles(
+        steps.where(lost).select(depth.alias("depth")), [], "depth", {"p95": 0.95}, slices=1
+    ).scalar()
     return steps.agg(
         F.count_if(lost).alias("rollbacks"),
         F.avg(depth).alias("mean_depth"),
-        F.percentile(depth, F.lit(0.95)).alias("p95_depth"),
         ratio(F.count(F.when(lost, F.col("recovered_at"))), F.count_if(lost)).alias("recovered_share"),
         F.avg(F.when(lost, wait)).alias("mean_seconds_to_recover"),
         *churn,
         ratio(F.count_if(lost), F.count("change")).alias("frequency"),
         ratio(F.sum("change"), F.count_if(opens_day)).alias("net_progress_per_day"),
-    )
+    ).select("*", p95.cast("double").alias("p95_depth"))

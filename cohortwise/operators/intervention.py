@@ -94,17 +94,18 @@ def mean_effect(
 LEVEL_STEP, PRIOR_WEIGHT = 0.01, 32.0
 
 
-def _filter_level(values: np.ndarray, ratios: np.ndarray):
+def _filter_level(values: np.ndarray, gaps: np.ndarray, ratios: np.ndarray):
     """Kalman filter of a random walk plus noise for many variance ratios at once.
 
+    ``gaps`` are the days since the value before; a missing day is a step without an update.
     Variances are in units of the noise variance. Returns the scaled squared one-step
     errors, the sum of log scales, the last level and its variance.
     """
     level = np.full(ratios.shape, values[0])
     spread = np.ones(ratios.shape)
     squares, logs = np.zeros(ratios.shape), np.zeros(ratios.shape)
-    for value in values[1:]:
-        predicted = spread + ratios
+    for value, gap in zip(values[1:], gaps):
+        predicted = spread + gap * ratios
         scale = predicted + 1.0
         error = value - level
         level = level + predicted / scale * error
@@ -115,18 +116,18 @@ def _filter_level(values: np.ndarray, ratios: np.ndarray):
 
 
 class _Level:
-    """Posterior of the level at the end of the earlier period.
+    """Posterior of the level at the last observed day of the earlier period.
 
     The ratio of step to noise variance runs over a logarithmic grid; the noise variance is
     integrated out in closed form (it is inverse-gamma given the ratio).
     """
 
-    def __init__(self, values: np.ndarray):
+    def __init__(self, values: np.ndarray, gaps: np.ndarray):
         self.centre, self.unit = values.mean(), values.std(ddof=1) or 1.0
         log_ratio = np.linspace(-8.0, 4.0, 1201) * np.log(10.0)
         self.ratio = np.exp(log_ratio)
         squares, logs, self.level, self.spread = _filter_level(
-            (values - self.centre) / self.unit, self.ratio
+            (values - self.centre) / self.unit, gaps, self.ratio
         )
         shape = (len(values) - 1 + PRIOR_WEIGHT) / 2.0
         rate = (squares + PRIOR_WEIGHT * LEVEL_STEP**2 / self.ratio) / 2.0
@@ -148,17 +149,26 @@ class _Level:
 
 
 def _level_forecast(series: pd.DataFrame, pre, post, z: float) -> pd.DataFrame:
-    """Per-day forecast of one series over the later period, with the mean effect repeated."""
+    """Per-day forecast of one series over the later period, with the mean effect repeated.
+
+    A series with fewer than three earlier values keeps its days without a forecast; one
+    without later values keeps one row without a date.
+    """
     series = series.sort_values("date")
     dates = pd.to_datetime(series["date"])
     inside = lambda p: (dates >= pd.Timestamp(p[0])) & (dates <= pd.Timestamp(p[1]))
-    before = series.loc[inside(pre).to_numpy(), "value"].dropna().to_numpy(dtype=float)
+    earlier = series.loc[inside(pre).to_numpy()].dropna(subset=["value"])
+    before = earlier["value"].to_numpy(dtype=float)
+    days = pd.to_datetime(earlier["date"])
     later = series.loc[inside(post).to_numpy()].dropna(subset=["value"])
     columns = ["date", "actual", "predicted", "low", "high", "effect", "ci_low", "ci_high"]
-    if len(before) < 3 or later.empty:
-        return pd.DataFrame(columns=columns)
-    model = _Level(before)
-    ahead = (pd.to_datetime(later["date"]) - pd.Timestamp(pre[1])).dt.days.to_numpy(dtype=float)
+    if later.empty:
+        return pd.DataFrame({c: [None] for c in columns})
+    if len(before) < 3:
+        kept = pd.DataFrame({"date": later["date"], "actual": later["value"]})
+        return kept.reindex(columns=columns).astype({c: float for c in columns[2:]})
+    model = _Level(before, np.diff(days.to_numpy()) / np.timedelta64(1, "D"))
+    ahead = (pd.to_datetime(later["date"]) - days.iloc[-1]).dt.days.to_numpy(dtype=float)
     deviation = np.array([model.deviation(h, 1.0) for h in ahead])
     # Forecast errors share the level's path: days h and k have min(h, k) steps in common.
     m = len(ahead)
@@ -205,7 +215,7 @@ def level_forecast(
 def level_effect(forecast: DataFrame, keys: Sequence[str] = ("metric",)) -> DataFrame:
     """One row per series: mean fact, mean forecast, effect, interval and verdict."""
     return forecast.groupBy(*keys).agg(
-        F.count("*").alias("n_post"),
+        F.count("actual").alias("n_post"),
         F.avg("actual").alias("actual"),
         F.avg("predicted").alias("predicted"),
         F.first("effect").alias("effect"),

@@ -33,7 +33,9 @@ def cut_points(df: DataFrame, value: str, slices: int) -> list[float]:
 
 
 def sliced(df: DataFrame, value: str, points: Sequence[float]) -> DataFrame:
-    """Add the slice number of each value."""
+    """Add the slice number of each value; without cut points there is one slice."""
+    if not points:
+        return df.withColumn(SLICE, F.lit(0))
     splits = [float("-inf"), *points, float("inf")]
     placed = Bucketizer(splits=splits, inputCol=value, outputCol=SLICE).transform(df)
     return placed.withColumn(SLICE, F.col(SLICE).cast("int"))
@@ -58,15 +60,14 @@ def running_counts(
     counts = present.groupBy(*keys, value).agg(
         F.count("*").alias("n"), *[column.alias(name) for name, column in (extra or {}).items()]
     )
-    points = cut_points(present, value, slices)
-    if not points:
+    if slices == 1:
         upto = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
         return counts.select(
             "*",
             F.sum("n").over(upto).alias("running"),
             F.sum("n").over(W.partitionBy(*keys)).alias("total"),
         ).select(*names)
-    counts = sliced(counts, value, points)
+    counts = sliced(counts, value, cut_points(present, value, slices))
     place = [*keys, SLICE]
     # One row per key and slice from here on.
     earlier = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)

@@ -1,8 +1,8 @@
 """Values carried along a user's ordered events, cut into time chunks.
 
-A window over all events of a user would put a hot user into one task. The
-events of such users are therefore ordered inside (user, chunk) and a summary row per
-chunk - at most one per hour of history - carries the values across chunks.
+A window over all events of a user would put a hot user into one task. The time axis is
+therefore cut into slices of about equal row counts, events are ordered inside (user, slice)
+and one summary row per user and slice carries the values across slices.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from cohortwise.session import materialised
+from cohortwise.operators.ordering import SLICE, cut_points, sliced
 
 CHUNK = "_chunk"
 
@@ -57,45 +57,27 @@ def lowest_after(name: str, value: Column) -> Carry:
     return Carry(name, F.min(value), F.min(value), F.min, F.least, backwards=True, frame=True)
 
 
-def with_chunk(df: DataFrame, ts: str, unit: str = "hour") -> DataFrame:
-    return df.withColumn(CHUNK, F.date_trunc(unit, F.col(ts)))
+def with_slice(df: DataFrame, ts: str, slices: int | None = None) -> DataFrame:
+    """Cut the time axis into slices of about equal row counts.
 
-
-# A user with at most this many events fits one window; more busy users than the second
-# number are not broadcast.
-BUSY_EVENTS, BUSY_USERS = 100_000, 1_000_000
-
-
-def with_busy_chunk(
-    df: DataFrame, user: str, ts: str, unit: str = "hour",
-    busy_events: int = BUSY_EVENTS, busy_users: int = BUSY_USERS,
-) -> DataFrame:
-    """Chunk only the timelines of busy users; all others stay whole.
-
-    Short timelines are much cheaper to order in one piece. The busy users are counted
-    first: there can be no more of them than rows / ``busy_events``. Their list is
-    broadcast when the count confirms that it is small; beyond that every user is chunked.
+    A user's part of a slice is bounded whatever the user does, at any size of the table. The
+    cut points come from approximate quantiles and decide only where the axis is cut.
     """
-    counts = df.groupBy(user).agg(F.count("*").alias("_n"))
-    busy = materialised(counts.where(F.col("_n") > busy_events).select(user, F.lit(True).alias("_busy")))
-    found = busy.count()
-    whole = F.lit("1970-01-01 00:00:00").cast(df.schema[ts].dataType)
-    if not found:
-        return df.withColumn(CHUNK, whole)
-    if found > busy_users:
-        return with_chunk(df, ts, unit)
-    chunk = F.when(F.col("_busy"), F.date_trunc(unit, F.col(ts)).cast(df.schema[ts].dataType))
-    return df.join(F.broadcast(busy), user, "left").withColumn(
-        CHUNK, chunk.otherwise(whole)
-    ).drop("_busy")
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("double")
+    timed = df.withColumn("_micros", micros)
+    points = cut_points(timed, "_micros", slices)
+    return sliced(timed, "_micros", points).withColumnRenamed(SLICE, CHUNK).drop("_micros")
 
 
 def carried(df: DataFrame, user: str, order: Sequence[str], carries: Sequence[Carry]) -> DataFrame:
-    """Add one column per carry. Needs the column of ``with_chunk`` or ``with_busy_chunk``.
+    """Add one column per carry. Needs the column of ``with_slice``.
 
-    All carries of one call share the window partitioning, one summary and one join.
+    All carries of one call share the window partitioning, one summary and one join; the
+    summary and the windows read the same exchange.
     """
     place = [user, CHUNK]
+    df = df.repartition(*place)
     summary = df.groupBy(*place).agg(*[c.summary.alias(f"_s_{c.name}") for c in carries])
     outside = summary.select(
         *place,

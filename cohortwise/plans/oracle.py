@@ -335,12 +335,10 @@ ORACLE["whale_share"] = f"""WITH {AB} SELECT testgroup, count(*) FILTER (WHERE r
   round(count(*) FILTER (WHERE revenue >= 400) / nullif(count(*) FILTER (WHERE revenue > 0), 0), 6) AS payer_share,
   round(coalesce(sum(revenue) FILTER (WHERE revenue >= 400), 0) / nullif(sum(revenue) FILTER (WHERE revenue > 0), 0), 6) AS revenue_share
 FROM ab GROUP BY testgroup"""
-ORACLE["pay_spike"] = """WITH paid AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS testgroup, value
-  FROM events WHERE event_type = 'purchase')
-SELECT testgroup, count(*) FILTER (WHERE value > 0) AS payers,
-  count(*) FILTER (WHERE value > 0 AND round_even(value, 0) = 10) AS spike_payers,
-  round(count(*) FILTER (WHERE value > 0 AND round_even(value, 0) = 10) / nullif(count(*) FILTER (WHERE value > 0), 0), 6) AS spike_share
-FROM paid GROUP BY testgroup"""
+ORACLE["pay_spike"] = f"""WITH {AB} SELECT testgroup, count(*) FILTER (WHERE revenue > 0) AS payers,
+  count(*) FILTER (WHERE revenue > 0 AND round_even(revenue, 0) = 400) AS spike_payers,
+  round(count(*) FILTER (WHERE revenue > 0 AND round_even(revenue, 0) = 400) / nullif(count(*) FILTER (WHERE revenue > 0), 0), 6) AS spike_share
+FROM ab GROUP BY testgroup"""
 ORACLE["payer_stats"] = f"""WITH {AB} SELECT testgroup, count(*) AS payers, round(avg(revenue), 4) AS mean, round(min(revenue), 4) AS min,
   round(max(revenue), 4) AS max, round(median(revenue), 4) AS median FROM ab WHERE revenue > 0 GROUP BY testgroup"""
 ORACLE["price_payment"] = f"""WITH {TX} SELECT "group", payment_system, count(*) AS purchases, count(DISTINCT uid) AS buyers,
@@ -348,7 +346,8 @@ ORACLE["price_payment"] = f"""WITH {TX} SELECT "group", payment_system, count(*)
 FROM tx WHERE product_type = 'premium_no_trial' GROUP BY ALL"""
 ORACLE["price_country"] = f"""WITH {TX}, bought AS (
   SELECT n_name AS country, uid, revenue, CASE WHEN "group" LIKE 'control%' THEN 'control' ELSE 'test' END AS arm
-  FROM tx JOIN customer ON c_custkey = uid JOIN nation ON n_nationkey = c_nationkey),
+  FROM tx JOIN customer ON c_custkey = uid JOIN nation ON n_nationkey = c_nationkey
+  WHERE product_type = 'premium_no_trial' AND payment_system = 'O'),
 wide AS (
   SELECT country, median(revenue) FILTER (WHERE arm = 'control') AS control_median,
          count(DISTINCT uid) FILTER (WHERE arm = 'control') AS control_buyers,
@@ -563,7 +562,7 @@ FROM s CROSS JOIN range(0, 50) r(i) CROSS JOIN e LEFT JOIN k ON k.exp_group = s.
 ORACLE["ecdf"] = f"""WITH {UCTR} SELECT exp_group, round(ctr, 6) AS ctr, count(*) AS n,
   round(sum(count(*)) OVER (PARTITION BY exp_group ORDER BY u.ctr) / sum(count(*)) OVER (PARTITION BY exp_group), 6) AS share
 FROM uctr u WHERE u.ctr IS NOT NULL GROUP BY exp_group, u.ctr"""
-ORACLE["box_stats"] = """WITH p AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS testgroup, value FROM events WHERE event_type = 'purchase'),
+ORACLE["box_stats"] = f"""WITH {AB}, p AS (SELECT testgroup, revenue AS value FROM ab WHERE revenue > 0),
 q AS (SELECT testgroup, quantile_cont(value, 0.25) AS q1, median(value) AS median, quantile_cont(value, 0.75) AS q3 FROM p GROUP BY testgroup),
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
 SELECT testgroup, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
@@ -581,14 +580,17 @@ SELECT date, dau, mau, seen_users, started_users, round(seen_users / dau, 6) AS
 ORACLE["retention_event"] = f"""WITH {REG.replace("'purchase'", "'click'")}, {retention(None, None, 14)}
 SELECT day, CAST(sum(cohort_size) AS BIGINT) AS users, round(sum(share * cohort_size) / sum(cohort_size), 6) AS weighted_retention
 FROM grid WHERE share IS NOT NULL AND day IN (1, 7, 14) GROUP BY day"""
-FIRST = """f AS (SELECT user_id, min(ts) FILTER (WHERE event_type = 'view') AS t0, min(ts) FILTER (WHERE event_type = 'click') AS t1,
-  min(ts) FILTER (WHERE event_type = 'purchase') AS t2 FROM events GROUP BY user_id)"""
-ORACLE["funnel"] = f"""WITH {FIRST}, c AS (SELECT count(t0) AS c0, count(*) FILTER (WHERE t1 >= t0) AS c1, count(*) FILTER (WHERE t1 >= t0 AND t2 >= t1) AS c2 FROM f)
+ORACLE["funnel"] = """WITH a AS (SELECT user_id, min(ts) AS t0 FROM events WHERE event_type = 'view' GROUP BY user_id),
+b AS (SELECT a.user_id, t0, min(ts) AS t1 FROM a LEFT JOIN events e ON e.user_id = a.user_id AND event_type = 'click' AND ts >= t0 GROUP BY ALL),
+d AS (SELECT b.user_id, t0, t1, min(ts) AS t2 FROM b LEFT JOIN events e ON e.user_id = b.user_id AND event_type = 'purchase' AND ts >= t1 GROUP BY ALL),
+c AS (SELECT count(t0) AS c0, count(t1) AS c1, count(t2) AS c2 FROM d)
 SELECT CAST(1 AS BIGINT) AS step, 'view' AS name, c0 AS users, 1.0 AS from_previous, 1.0 AS from_start, CAST(0 AS BIGINT) AS dropped FROM c
 UNION ALL SELECT 2, 'click', c1, round(c1 / c0, 6), round(c1 / c0, 6), c0 - c1 FROM c
 UNION ALL SELECT 3, 'purchase', c2, round(c2 / c1, 6), round(c2 / c0, 6), c1 - c2 FROM c"""
-ORACLE["time_to_step"] = f"""WITH {FIRST}, d AS (SELECT user_id, (epoch_us(t2) - epoch_us(t0)) / 1e6 AS seconds,
-  (SELECT count(*) FROM events e WHERE e.user_id = f.user_id AND event_type = 'click' AND ts <= t2) AS attempts FROM f WHERE t2 >= t0)
+ORACLE["time_to_step"] = """WITH a AS (SELECT user_id, min(ts) AS t0 FROM events WHERE event_type = 'view' GROUP BY user_id),
+f AS (SELECT a.user_id, t0, min(ts) AS t2 FROM a JOIN events e ON e.user_id = a.user_id AND event_type = 'purchase' AND ts >= t0 GROUP BY ALL),
+d AS (SELECT user_id, (epoch_us(t2) - epoch_us(t0)) / 1e6 AS seconds,
+  (SELECT count(*) FROM events e WHERE e.user_id = f.user_id AND event_type = 'click' AND ts <= t2) AS attempts FROM f)
 SELECT count(*) AS users, round(avg(seconds), 2) AS mean_seconds, round(avg(attempts), 2) AS mean_attempts,
   round(median(seconds), 2) AS median_seconds, round(median(attempts), 2) AS median_attempts FROM d"""
 SESSIONS = """s AS (SELECT user_id, CAST(ts AS DATE) AS date, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 10800000000 THEN 0 ELSE 1 END AS start

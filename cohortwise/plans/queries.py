@@ -137,12 +137,8 @@ def whale_share(spark, folder):
 
 @query("pay_spike")
 def pay_spike(spark, folder):
-    """Purchases that round to 10, per arm."""
-    paid = inputs.events(spark, folder).where(F.col("event_type") == "purchase").select(
-        F.when(F.pmod("user_id", F.lit(2)) == 0, "a").otherwise("b").alias("testgroup"),
-        F.col("value").alias("revenue"),
-    )
-    return tidy(experiment.payment_spike(paid, "testgroup", "revenue", 10.0))
+    """Users whose revenue rounds to 400, per arm."""
+    return tidy(experiment.payment_spike(inputs.ab_users(spark, folder), "testgroup", "revenue", 400.0))
 
 
 @query("payer_stats")
@@ -158,9 +154,10 @@ def price_payment(spark, folder):
 
 @query("price_country")
 def price_country(spark, folder):
-    bought = inputs.experiment_transactions(spark, folder).join(
-        inputs.customer_countries(spark, folder), "uid"
-    )
+    """Premium prices in one payment system, so that the ratio compares like with like."""
+    bought = inputs.experiment_transactions(spark, folder).where(
+        (F.col("product_type") == experiment.PREMIUM) & (F.col("payment_system") == "O")
+    ).join(inputs.customer_countries(spark, folder), "uid")
     prices = experiment.price_by_country(experiment.pooled(bought))
     return tidy(prices, 4).orderBy(F.desc_nulls_last("price_ratio"))
 
@@ -669,10 +666,9 @@ def ecdf(spark, folder):
 
 @query("box_stats")
 def box_stats(spark, folder):
-    paid = inputs.events(spark, folder).where(F.col("event_type") == "purchase").select(
-        F.when(F.pmod("user_id", F.lit(2)) == 0, "a").otherwise("b").alias("testgroup"), "value"
-    )
-    return tidy(charts.box_numbers(paid, "testgroup", "value"), 4)
+    """Revenue per paying user."""
+    payers = inputs.ab_users(spark, folder).where(F.col("revenue") > 0)
+    return tidy(charts.box_numbers(payers, "testgroup", "revenue"), 4)
 
 
 # ---- event engagement ----------------------------------------------------------------------

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -45,14 +43,14 @@ def materialised(df: DataFrame) -> DataFrame:
     """Compute a reduced table once for the several jobs that read it.
 
     The table goes to the shared folder named by ``spark.checkpoint.dir``, so a lost
-    executor costs nothing and the raw events are scanned once. Only where that setting is
-    absent, as in a local test, is a folder chosen here.
+    executor costs nothing and the raw events are scanned once. Where that setting is absent
+    the table is cached; what a lost executor held is then computed again.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="cohortwise-"))
+        if folder is None:
+            return df.persist()
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

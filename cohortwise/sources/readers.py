@@ -86,9 +86,14 @@ def jdbc_options(
 
 def read_sql_store(
     spark: SparkSession, url: str, query: str,
-    partition: tuple[str, object, object, int] | None = None, **extra,
+    partition: tuple[str, object, object, int] | None = None, single_task: bool = False, **extra,
 ) -> DataFrame:
-    """Rows of a query on a remote SQL store (ClickHouse, Postgres) over JDBC."""
+    """Rows of a query on a remote SQL store (ClickHouse, Postgres) over JDBC.
+
+    Without a partition the whole result passes one task, so that has to be asked for.
+    """
+    if partition is None and not single_task:
+        raise ValueError("give a partition, or single_task=True for a small result")
     return spark.read.format("jdbc").options(
         **jdbc_options(url, query, partition, **extra)
     ).load()

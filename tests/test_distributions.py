@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -46,3 +48,17 @@ def test_poisson_probabilities():
     cdf = poisson_one_cdf()
     assert cdf[:5] == pytest.approx([0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153], abs=1e-9)
     assert all(a < b for a, b in zip(cdf, cdf[1:])) and cdf[-1] <= 1.0
+
+
+@pytest.mark.parametrize("dof", [1e5, 1e6, 1.001e6, 1e7, 1e9])
+def test_t_approaches_the_normal_without_a_jump(dof):
+    t = np.array([0.1, 1.0, 1.96, 4.0])
+    # Second term of the expansion of the tail in 1 / dof.
+    density = np.exp(-t * t / 2) / np.sqrt(2 * np.pi)
+    wanted = d.normal_tails(t) + 2 * density * (t + t**3) / (4 * dof)
+    assert d.t_tails(t, np.full(4, dof)) == pytest.approx(wanted, rel=30 / dof + 1e-12)
+
+
+def test_half_step_of_log_gamma():
+    for a in (0.05, 0.5, 3.7, 40.0, 500.0):
+        assert d.log_gamma_step(np.array([a]))[0] == pytest.approx(math.lgamma(a + 0.5) - math.lgamma(a), abs=1e-12)

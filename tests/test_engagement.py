@@ -6,7 +6,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from cohortwise.operators import engagement
+from cohortwise.operators import engagement, timeline
+from cohortwise.plans import inputs
 
 
 @pytest.fixture(scope="module")
@@ -28,8 +29,7 @@ def log(spark):
     return pdf.sort_values(["user_id", "time", "event_id"]), df
 
 
-# No user is busy, only the hot one is, or there are too many busy users to list.
-CHUNKINGS = [{}, {"busy_events": 100}, {"busy_events": 5, "busy_users": 2}]
+CHUNKINGS = [{"slices": 1}, {}, {"slices": 40}]
 
 
 @pytest.mark.parametrize("chunking", CHUNKINGS)
@@ -65,6 +65,29 @@ def test_rollbacks(log, chunking):
     assert row.net_progress_per_day == pytest.approx(net / days)
 
 
+def test_all_events_of_a_user_in_one_hour(spark):
+    df = spark.range(5000).selectExpr(
+        "id as event_id", "if(id % 5 = 0, id, 7) as user_id", "'view' as event_type",
+        "cast(timestamp_micros(1704067200000000 + id * 700000) as timestamp_ntz) as time",
+    )
+    got = {r.user_id: (r.sessions, r.events) for r in engagement.user_sessions(df, 30, slices=16).collect()}
+    assert got[7] == (1, 4000) and len(got) == 1001
+
+
+def test_slices_are_bounded(spark):
+    df = spark.range(5000).selectExpr("7 as user_id", "timestamp_micros(id * id) as time")
+    sizes = [r["count"] for r in timeline.with_slice(df, "time", 16).groupBy(timeline.CHUNK).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 5000 / 16
+
+
+def test_one_scan_for_each_pass(spark):
+    events = inputs.activity(spark, "/root/testdata/sf0.01")
+    df = engagement.user_sessions(events, 180)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") <= 2
+
+
 def test_stickiness(log):
     pdf, df = log
     seen = pdf.assign(day=pdf["time"].dt.date)[["user_id", "day"]].drop_duplicates()
@@ -74,13 +97,46 @@ def test_stickiness(log):
         assert got[day] == ((seen["day"] == day).sum(), window["user_id"].nunique())
 
 
-def test_funnel_uses_first_times(spark):
-    df = spark.sql("""select u as user_id, cast(t as timestamp_ntz) as time, e as event_type from values
-        (1L, '2024-01-01 00:00:00', 'view'), (1L, '2024-01-01 01:00:00', 'click'), (1L, '2024-01-01 02:00:00', 'purchase'),
-        (2L, '2024-01-01 00:00:00', 'click'), (2L, '2024-01-01 01:00:00', 'view'),
-        (3L, '2024-01-01 00:00:00', 'view'), (3L, '2024-01-01 01:00:00', 'purchase') as t(u, t, e)""")
-    got = engagement.funnel(df, ("view", "click", "purchase")).collect()
-    assert [(r.step, r.users, r.dropped) for r in got] == [(1, 3, 0), (2, 1, 2), (3, 1, 0)]
+FUNNEL_ROWS = """select u as user_id, cast(t as timestamp_ntz) as time, e as event_type from values
+    (1L, '2024-01-01 00:00:00', 'view'), (1L, '2024-01-01 01:00:00', 'click'), (1L, '2024-01-01 02:00:00', 'purchase'),
+    (2L, '2024-01-01 00:00:00', 'click'), (2L, '2024-01-01 01:00:00', 'view'),
+    (3L, '2024-01-01 00:00:00', 'view'), (3L, '2024-01-01 01:00:00', 'purchase'),
+    (4L, '2024-01-01 00:00:00', 'click'), (4L, '2024-01-01 01:00:00', 'view'), (4L, '2024-01-01 02:00:00', 'click'),
+    (4L, '2024-01-01 03:00:00', 'purchase'),
+    (5L, '2024-01-01 00:00:00', 'purchase'), (5L, '2024-01-01 00:00:00', 'click'), (5L, '2024-01-01 00:00:00', 'view')
+    as t(u, t, e)"""
+
+
+@pytest.mark.parametrize("slices", [1, 3, 20])
+def test_funnel_follows_the_order(spark, slices):
+    got = engagement.funnel(spark.sql(FUNNEL_ROWS), ("view", "click", "purchase"), slices).collect()
+    assert [(r.step, r.users, r.dropped) for r in got] == [(1, 5, 0), (2, 3, 2), (3, 3, 0)]
+
+
+@pytest.mark.parametrize("slices", [1, 4, 30])
+def test_funnel_and_time_to_step_against_a_walk(log, slices):
+    pdf, df = log
+    steps = ["view", "click", "purchase"]
+    reached, waits, tries = [0, 0, 0], [], []
+    for _, part in pdf.groupby("user_id"):
+        events = list(zip(part["time"], part["event_type"]))
+        at = min(t for t, e in events)
+        for i, step in enumerate(steps):
+            later = [t for t, e in events if e == step and t >= at]
+            if not later:
+                break
+            at = min(later)
+            reached[i] += 1
+        begin = min((t for t, e in events if e == "view"), default=None)
+        goals = [t for t, e in events if begin is not None and e == "purchase" and t >= begin]
+        if goals:
+            waits.append((min(goals) - begin).total_seconds())
+            tries.append(sum(e == "click" and t <= min(goals) for t, e in events))
+    assert [r.users for r in engagement.funnel(df, steps, slices).collect()] == reached
+    row = engagement.time_to_step(df, *steps, slices=slices).first()
+    assert (row.users, row.median_attempts, row.median_seconds) == (
+        len(waits), np.median(tries), pytest.approx(np.median(waits)))
+    assert (row.mean_seconds, row.mean_attempts) == (pytest.approx(np.mean(waits)), pytest.approx(np.mean(tries)))
 
 
 def test_time_to_step_counts_attempts_up_to_the_goal(spark):
@@ -88,7 +144,8 @@ def test_time_to_step_counts_attempts_up_to_the_goal(spark):
         (1L, '2024-01-01 00:00:00', 'start'), (1L, '2024-01-01 00:10:00', 'try'), (1L, '2024-01-01 02:10:00', 'try'),
         (1L, '2024-01-01 02:20:00', 'goal'), (1L, '2024-01-01 02:30:00', 'try'), (1L, '2024-01-01 05:00:00', 'try'),
         (2L, '2024-01-01 00:00:00', 'start'), (2L, '2024-01-01 00:00:10', 'goal'),
-        (3L, '2024-01-01 00:00:00', 'start') as t(u, t, e)""")
+        (3L, '2024-01-01 00:00:00', 'start'),
+        (4L, '2024-01-01 00:00:00', 'goal'), (4L, '2024-01-01 00:01:00', 'start') as t(u, t, e)""")
     row = engagement.time_to_step(df, "start", "try", "goal").first()
     assert (row.users, row.mean_attempts, row.median_attempts) == (2, 1.0, 1.0)
     assert row.mean_seconds == pytest.approx((8400 + 10) / 2)

@@ -39,8 +39,19 @@ def test_level_effect(series):
     assert forecast.count() == 21
 
 
-def test_short_or_empty_series_give_no_forecast(spark):
+def test_short_or_empty_series_stay_without_forecast(spark):
     df = spark.createDataFrame([("m", "2024-01-01", 1.0)], "metric string, date string, value double").selectExpr(
         "metric", "cast(date as date) date", "value"
     )
-    assert intervention.level_forecast(df, PRE, POST).count() == 0
+    (row,) = intervention.level_forecast(df, PRE, POST).collect()
+    assert (row.metric, row.date, row.actual, row.predicted) == ("m", None, None, None)
+    (effect,) = intervention.level_effect(intervention.level_forecast(df, PRE, POST)).collect()
+    assert (effect.n_post, effect.effect) == (0, None)
+
+
+def test_missing_days_are_steps():
+    values = np.random.default_rng(1).normal(10, 1, 30)
+    close = intervention._Level(values, np.ones(29))
+    apart = intervention._Level(values, np.r_[np.ones(14), 21.0, np.ones(14)])
+    assert apart.predicted != close.predicted
+    assert apart.deviation(5.0, 1.0) != close.deviation(5.0, 1.0)

@@ -63,3 +63,8 @@ def test_daily_mart_sink_replaces_only_its_days(spark, tmp_path):
     sinks.write_daily_csv(first, str(tmp_path / "csv"))
     back = readers.read_delimited(spark, str(tmp_path / "csv"), schemas.table_schema(date="date", dau="long"), ",")
     assert back.count() == 2
+
+
+def test_sql_store_asks_for_a_partition(spark):
+    with pytest.raises(ValueError, match="partition"):
+        readers.read_sql_store(spark, "jdbc:none", "select 1")
