@@ -95,16 +95,17 @@ class Forest:
         return points @ self.planes.T - self.at
 
     def assign(self, x: np.ndarray) -> np.ndarray:
-        """Leaf of each vector in each tree."""
-        right = self.margins(self.lifted(x)) > 0
+        """Leaf of each vector in each tree, a thousand vectors at a time."""
         out = np.zeros((len(x), len(self.roots)), dtype=np.int64)
         table = np.array(self.children).reshape(-1, 2)
-        for t, root in enumerate(self.roots):
-            node = np.full(len(x), root)
-            while (inside := np.flatnonzero(node >= 0)).size:
-                here = node[inside]
-                node[inside] = table[here, right[inside, here].astype(int)]
-            out[:, t] = -node - 1
+        for at in range(0, len(x), 1000):
+            right = self.margins(self.lifted(x[at:at + 1000])) > 0
+            for t, root in enumerate(self.roots):
+                node = np.full(len(right), root)
+                while (inside := np.flatnonzero(node >= 0)).size:
+                    here = node[inside]
+                    node[inside] = table[here, right[inside, here].astype(int)]
+                out[at:at + 1000, t] = -node - 1
         return out
 
     def leaves_of(self, margin: list[float]) -> Iterator[int]:
@@ -127,9 +128,11 @@ def dense(column: pa.Array) -> np.ndarray:
 def visits_needed(forest: Forest, x: np.ndarray, k: int) -> int:
     """Leaves to visit for the wanted recall of the sample's own nearest neighbours."""
     probes = x[:PROBES]
-    scores = probes @ x.T
-    scores[np.arange(len(probes)), np.arange(len(probes))] = -np.inf
-    wanted = np.argsort(-scores, axis=1, kind="stable")[:, :min(k, len(x) - 1)]
+    wanted = np.zeros((len(probes), min(k, len(x) - 1)), dtype=np.int64)
+    for i, probe in enumerate(probes):
+        scores = x @ probe
+        scores[i] = -np.inf
+        wanted[i] = np.argsort(-scores, kind="stable")[:wanted.shape[1]]
     leaf = forest.assign(x)
     seen = np.zeros(forest.leaves + 1)
     margins = forest.margins(forest.asked(probes))
@@ -250,8 +253,8 @@ def nearest(
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            margins = forest.margins(forest.asked(dense(batch.column(1)))) if batch.num_rows else []
-            for margin in margins:
+            for vector in dense(batch.column(1)) if batch.num_rows else []:
+                margin = forest.margins(forest.asked(vector[None, :]))[0]
                 mine: list[int] = []
                 held = [0] * TREES
                 for number in forest.leaves_of(margin.tolist()):
