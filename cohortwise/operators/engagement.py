@@ -195,6 +195,60 @@ def session_summary(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     )
 
 
+def session_spans(events: DataFrame, gap_minutes: int = 30, slices: int | None = None) -> DataFrame:
+    """One row per session: user, start, end and length in seconds.
+
+    A session starts after a pause longer than the gap and ends before the next one; its end
+    is the first closing event at or after its start.
+    """
+    order = ["time", "event_id"]
+    pause = lambda a, b: F.timestamp_diff("MICROSECOND", a, b) > gap_minutes * 60 * 1_000_000
+    timed = with_slice(events.select("user_id", *order), "time", slices)
+    timed = carried(
+        timed, "user_id", order,
+        [highest_before("previous", F.col("time")), next_time("following", "time")],
+    )
+    opens = F.col("previous").isNull() | pause(F.col("previous"), F.col("time"))
+    closes = F.col("following").isNull() | pause(F.col("time"), F.col("following"))
+    marked = timed.select("user_id", *order, CHUNK, opens.alias("opens"), closes.alias("closes"))
+    closing = F.when(F.col("closes"), F.col("time"))
+    ended = carried(marked, "user_id", order, [lowest_after("later", closing)])
+    return ended.where("opens").select(
+        "user_id",
+        F.col("time").alias("start"),
+        F.coalesce(closing, F.col("later")).alias("end"),
+    ).withColumn("seconds", F.timestamp_diff("MICROSECOND", F.col("start"), F.col("end")) / F.lit(1e6))
+
+
+def session_lengths(events: DataFrame, gap_minutes: int = 30, slices: int | None = None) -> DataFrame:
+    """Per day of the start: sessions, mean and longest length in seconds, sessions of one event."""
+    return session_spans(events, gap_minutes, slices).groupBy(F.to_date("start").alias("date")).agg(
+        F.count("*").alias("sessions"),
+        F.avg("seconds").alias("mean_seconds"),
+        F.max("seconds").alias("longest_seconds"),
+        F.count_if(F.col("seconds") == 0).alias("instant_sessions"),
+    )
+
+
+def participants_by_age(events: DataFrame, started: str) -> DataFrame:
+    """Per day: users who started the event, split into those new that day and returned ones.
+
+    A user is new on the day of their first event of any kind.
+    """
+    daily = events.groupBy("user_id", F.to_date("time").alias("date")).agg(
+        F.max((F.col("event_type") == started).cast("int")).alias("began")
+    )
+    first = events.groupBy("user_id").agg(F.min(F.to_date("time")).alias("first_date"))
+    joined = daily.where("began = 1").join(first, "user_id")
+    new = F.col("date") == F.col("first_date")
+    return joined.groupBy("date").agg(
+        F.count("*").alias("participants"),
+        F.count_if(new).alias("new_participants"),
+        F.count_if(~new).alias("returned_participants"),
+        ratio(F.count_if(new), F.count("*")).alias("new_share"),
+    )
+
+
 def churn_after(
     events: DataFrame, participation: str, start: str, end: str, horizons: Sequence[int] = (1, 3, 7)
 ) -> DataFrame:

@@ -596,6 +596,17 @@ SELECT count(*) AS users, round(avg(seconds), 2) AS mean_seconds, round(avg(atte
 SESSIONS = """s AS (SELECT user_id, CAST(ts AS DATE) AS date, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 10800000000 THEN 0 ELSE 1 END AS start
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"""
 ORACLE["sessions"] = f"WITH {SESSIONS} SELECT user_id, date, CAST(sum(start) AS BIGINT) AS sessions, count(*) AS events FROM s GROUP BY user_id, date"
+ORACLE["session_lengths"] = """WITH s AS (SELECT user_id, ts, event_id, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 10800000000 THEN 0 ELSE 1 END AS start
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+n AS (SELECT user_id, ts, sum(start) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS number FROM s),
+g AS (SELECT user_id, number, min(ts) AS a, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM n GROUP BY ALL)
+SELECT CAST(a AS DATE) AS date, count(*) AS sessions, round(avg(seconds), 2) AS mean_seconds, round(max(seconds), 2) AS longest_seconds,
+  count(*) FILTER (WHERE seconds = 0) AS instant_sessions FROM g GROUP BY 1"""
+ORACLE["participants_by_age"] = """WITH f AS (SELECT user_id, CAST(min(ts) AS DATE) AS born FROM events GROUP BY user_id),
+d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS date FROM events WHERE event_type = 'click')
+SELECT date, count(*) AS participants, count(*) FILTER (WHERE date = born) AS new_participants,
+  count(*) FILTER (WHERE date <> born) AS returned_participants, round(count(*) FILTER (WHERE date = born) / count(*), 6) AS new_share
+FROM d JOIN f USING (user_id) GROUP BY date"""
 ORACLE["session_summary"] = f"""WITH {SESSIONS} SELECT count(DISTINCT user_id) AS users, CAST(sum(start) AS BIGINT) AS sessions,
   count(DISTINCT (user_id, date)) AS active_days, round(sum(start) / count(DISTINCT user_id), 6) AS sessions_per_user,
   round(count(*) / sum(start), 6) AS events_per_session, round(count(DISTINCT (user_id, date)) / count(DISTINCT user_id), 6) AS days_per_user FROM s"""

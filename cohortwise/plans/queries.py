@@ -704,6 +704,16 @@ def sessions(spark, folder):
     return tidy(engagement.user_sessions(inputs.activity(spark, folder), 180))
 
 
+@query("session_lengths")
+def session_lengths(spark, folder):
+    return tidy(engagement.session_lengths(inputs.activity(spark, folder), 180), 2)
+
+
+@query("participants_by_age")
+def participants_by_age(spark, folder):
+    return tidy(engagement.participants_by_age(inputs.activity(spark, folder), "click"))
+
+
 @query("session_summary")
 def session_summary(spark, folder):
     return tidy(engagement.session_summary(inputs.activity(spark, folder), 180))

@@ -65,6 +65,19 @@ def test_rollbacks(log, chunking):
     assert row.net_progress_per_day == pytest.approx(net / days)
 
 
+@pytest.mark.parametrize("chunking", CHUNKINGS)
+def test_session_spans(log, chunking):
+    pdf, df = log
+    want = set()
+    for user, part in pdf.groupby("user_id"):
+        times = part["time"].tolist()
+        cuts = [0] + [i for i in range(1, len(times)) if times[i] - times[i - 1] > pd.Timedelta(minutes=90)]
+        for a, b in zip(cuts, cuts[1:] + [len(times)]):
+            want.add((user, times[a].to_pydatetime(), times[b - 1].to_pydatetime()))
+    got = [(r.user_id, r.start, r.end) for r in engagement.session_spans(df, 90, **chunking).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_all_events_of_a_user_in_one_hour(spark):
     df = spark.range(5000).selectExpr(
         "id as event_id", "if(id % 5 = 0, id, 7) as user_id", "'view' as event_type",
