@@ -544,10 +544,11 @@ long AS (SELECT exp_group, 'Mann-Whitney user CTR' AS metric, ctr AS value FROM
 six AS (SELECT metric AS method, {t_tails('t', 'dof')} AS p FROM welch UNION ALL SELECT metric, {MW_P} FROM mw
   UNION ALL SELECT 'Poisson bootstrap', p_value FROM boot)
 SELECT method, round(p, 6) AS p_value, p < 0.05 AS significant FROM six"""
-ORACLE["intervention"] = f"""WITH {MART}, series AS (
+MART_SERIES = """series AS (
   SELECT date, 'dau' AS metric, CAST(dau AS DOUBLE) AS value FROM mart UNION ALL SELECT date, 'ctr', ctr FROM mart
   UNION ALL SELECT date, 'views', views FROM mart UNION ALL SELECT date, 'new_posts', new_posts FROM mart
-  UNION ALL SELECT date, 'unique_viewed_posts', unique_viewed_posts FROM mart), {mean_effects('metric')}"""
+  UNION ALL SELECT date, 'unique_viewed_posts', unique_viewed_posts FROM mart)"""
+ORACLE["intervention_mean"] = f"WITH {MART}, {MART_SERIES}, {mean_effects('metric')}"
 ORACLE["intervention_segments"] = f"""WITH series AS (
   SELECT event_type, CAST(ts AS DATE) AS date, 'events' AS metric, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY ALL
   UNION ALL SELECT event_type, CAST(ts AS DATE), 'value_sum', sum(value) FROM events GROUP BY ALL), {mean_effects('event_type, metric')}"""
@@ -687,3 +688,10 @@ e AS (SELECT *, actual - predicted AS effect, actual - predicted - {Z} * deviati
 SELECT event_type, metric, m AS n_post, round(actual, 4) AS actual, round(predicted, 4) AS predicted, round(effect, 4) AS effect,
   round(lo, 4) AS ci_low, round(hi, 4) AS ci_high,
   CASE WHEN lo <= 0 AND hi >= 0 THEN 'нет убедительного изменения' WHEN effect > 0 THEN 'рост' ELSE 'снижение' END AS result FROM e"""
+# The same model for the series of the daily mart.
+ORACLE["intervention"] = ORACLE["intervention_level"].replace(
+    LEVEL_MODEL[:LEVEL_MODEL.index("pre AS (SELECT *, row_number()")],
+    f"{MART}, {MART_SERIES.replace('series AS', 'by_metric AS')}, "
+    "series AS (SELECT 'all' AS event_type, * FROM by_metric), ",
+).replace("SELECT event_type, metric, m AS n_post", "SELECT metric, m AS n_post")
+
