@@ -86,8 +86,17 @@ def service_overlap(events: DataFrame, base: str = "feed", other: str = "messeng
     )
 
 
-def messages_by_gender(messages: DataFrame) -> DataFrame:
-    """Messages sent (events, not users) per gender."""
+def messages_by_gender(messages: DataFrame, people: DataFrame | None = None) -> DataFrame:
+    """Messages sent (events, not users) per gender.
+
+    With ``people`` (user_id, gender) the gender comes from there; messages are counted per
+    user before they meet it.
+    """
+    if people is not None:
+        per_user = messages.groupBy("user_id").agg(F.count("*").alias("n"))
+        return per_user.join(people.where(F.col("gender").isNotNull()), "user_id").groupBy("gender").agg(
+            F.sum("n").alias("messages")
+        )
     return messages.where(F.col("gender").isNotNull()).groupBy("gender").agg(
         F.count("*").alias("messages")
     )

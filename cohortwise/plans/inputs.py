@@ -91,14 +91,18 @@ def services(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Purchases as messages; the sender's gender is the market segment of the same key."""
-    people = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("gender")
-    )
+    """Purchases as messages."""
     sent = events(spark, folder).where(F.col("event_type") == "purchase")
     return sent.select(
         F.col("ts").alias("time"), "user_id", (F.pmod("user_id", F.lit(50)) + 15).cast("int").alias("age")
-    ).join(people, "user_id", "left")
+    )
+
+
+def senders(spark: SparkSession, folder: str) -> DataFrame:
+    """Gender of a sender: the market segment of the same key."""
+    return table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("gender")
+    )
 
 
 def _countries(spark: SparkSession, folder: str) -> DataFrame:

@@ -287,7 +287,7 @@ def service_overlap(spark, folder):
 
 @query("msgs_gender")
 def msgs_gender(spark, folder):
-    return tidy(marts.messages_by_gender(inputs.messages(spark, folder)))
+    return tidy(marts.messages_by_gender(inputs.messages(spark, folder), inputs.senders(spark, folder)))
 
 
 @query("msgs_age")
