@@ -301,37 +301,42 @@ def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return first & (np.bitwise_count(differ >> np.uint64(32)) <= CHECK_BITS)
 
 
-def pairs_or_forest(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate links of a bucket: all of them while few, else one from each member inwards.
+def forest_of(left: np.ndarray, right: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Which pairs (left < right) join parts not joined yet; nearest first for each right end.
 
-    The second form reaches members front by front, each from the member that found it first.
+    The same members choose the same partners in every table, so a dense group of copies
+    yields few different pairs, and what the pairs connect stays connected.
     """
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    keep = np.zeros(len(left), dtype=bool)
+    for i in np.lexsort((left, far, right)):
+        a, b = find(int(left[i])), find(int(right[i]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            keep[i] = True
+    return keep
+
+
+def dense_links(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a large bucket whose members are in the order of their ids."""
     left, right = [], []
-    for at in range(0, len(points), 256):
-        i, j = np.nonzero(near(points[at:at + 256, None], points[None, :]))
-        late = j > i + at
-        left.append(i[late] + at)
-        right.append(j[late])
-        if sum(map(len, left)) > 4 * len(points):
-            break
-    else:
-        return np.concatenate(left), np.concatenate(right)
-    left, right = [], []
-    rest = np.arange(len(points))
-    while len(rest) > 1:
-        front, rest = rest[:1], rest[1:]
-        while len(front) and len(rest):
-            found = np.full(len(rest), -1)
-            for at in range(0, len(front), 64):
-                open_ = np.flatnonzero(found < 0)
-                close = near(points[front[at:at + 64], None], points[rest[open_]][None, :])
-                hit = close.any(axis=0)
-                found[open_[hit]] = front[at + close.argmax(axis=0)[hit]]
-            reached = found >= 0
-            left.append(found[reached])
-            right.append(rest[reached])
-            front, rest = rest[reached], rest[~reached]
-    return np.concatenate(left), np.concatenate(right)
+    part = np.arange(len(points))
+    for j in range(1, len(points)):
+        i = np.flatnonzero(near(points[:j], points[j]))
+        while len(i):
+            nearest = i[np.argmin(np.bitwise_count(points[i] ^ points[j]))]
+            left.append(nearest)
+            right.append(j)
+            part[part == part[nearest]] = part[j]
+            i = i[part[i] != part[j]]
+    return np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
 
 
 def candidate_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,12 +344,13 @@ def candidate_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     held: list[np.ndarray] | None = None
 
     def links(kind, key, ids, value) -> pa.RecordBatch:
-        points = value.view(np.uint64)
         new = np.ones(len(kind), dtype=bool)
         new[1:] = (kind[1:] != kind[:-1]) | (key[1:] != key[:-1])
+        group = np.cumsum(new) - 1
+        order = np.lexsort((ids, group))
+        ids, points = ids[order], value[order].view(np.uint64)
         start = np.flatnonzero(new)
         size = np.diff(np.append(start, len(kind)))
-        group = np.cumsum(new) - 1
         small = size[group] <= 8
         left, right = [], []
         for step in range(1, 8):
@@ -352,8 +358,15 @@ def candidate_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             i = i[near(points[i], points[i + step])]
             left.append(i)
             right.append(i + step)
+        i, j = np.concatenate(left), np.concatenate(right)
+        # Groups with a circle of links keep a tree of them.
+        circle = np.bincount(group[i], minlength=len(size)) > 1
+        mine = np.flatnonzero(circle[group[i]])
+        whole = ~circle[group[i]]
+        whole[mine[forest_of(i[mine], j[mine], np.bitwise_count(points[i[mine]] ^ points[j[mine]]))]] = True
+        left, right = [i[whole]], [j[whole]]
         for s, n in zip(start[size > 8].tolist(), size[size > 8].tolist()):
-            i, j = pairs_or_forest(points[s:s + n])
+            i, j = dense_links(points[s:s + n])
             left.append(i + s)
             right.append(j + s)
         a, b = ids[np.concatenate(left)], ids[np.concatenate(right)]
