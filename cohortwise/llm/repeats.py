@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 from typing import NamedTuple
 
 import numpy as np
@@ -32,6 +33,10 @@ HOT = 200
 HELD = 500_000
 #: Order of the rows of one name.
 MARK, RUN, COVER, OPEN = range(4)
+#: Verdict on a hot name of a document at the last length: its windows of that name are repeats.
+GONE = 4
+#: ``at`` of a run that stands for all windows of a hot name in a document, at the last length.
+ALL = -1
 #: Stands for a missing id: larger than any other.
 NO_ID = 2**63 - 1
 ROWS = "name long, kind int, whole long, doc long, tie long, at long"
@@ -168,10 +173,10 @@ def spread_by(tie: np.ndarray) -> np.ndarray:
     return mix(tie.view(np.uint64), np.zeros(len(tie), dtype=np.uint64))
 
 
-def kept_rows(kind: int, rows: Columns) -> Columns:
-    """Runs that are settled: they travel by document."""
+def kept_rows(kind: int, rows: Columns, last: bool = False) -> Columns:
+    """Runs that travel by document, with their name in ``whole`` at the last length."""
     return columns(
-        name=spread_by(rows["tie"]), kind=kind, whole=np.zeros(len(rows["tie"]), dtype=np.int64),
+        name=spread_by(rows["tie"]), kind=kind, whole=rows["name"] if last else np.zeros(len(rows["tie"]), dtype=np.int64),
         doc=rows["doc"], tie=rows["tie"], at=rows["at"],
     )
 
@@ -186,8 +191,12 @@ def covers(tie: np.ndarray, doc: np.ndarray, first: np.ndarray, last: np.ndarray
     )
 
 
-def within_task(rows: Columns) -> Columns:
-    """What a task can settle on its own: the smallest document of each run stays."""
+def within_task(rows: Columns, last: bool = False) -> Columns:
+    """What a task can settle on its own: the smallest document of each run stays.
+
+    At the last length no later one decides on a hot name, so one row for it and a document
+    asks for the verdict, and the windows wait with the document.
+    """
     rows = taken(rows, np.lexsort((rows["doc"], rows["whole"], rows["name"])))
     name, whole, doc = rows["name"], rows["whole"], rows["doc"]
     new = changes(name, whole)
@@ -203,8 +212,16 @@ def within_task(rows: Columns) -> Columns:
     fresh = changes(rows["name"]) if len(rows["name"]) else np.zeros(0, dtype=bool)
     group = np.cumsum(fresh) - 1
     hot = np.bincount(group)[group] > HOT if len(group) else fresh
-    mark = taken(rows, np.flatnonzero(fresh & hot))
     run = taken(rows, ~hot)
+    if last:
+        rows = taken(rows, hot)
+        rows = taken(rows, np.lexsort((rows["tie"], rows["name"])))
+        ask = taken(rows, changes(rows["name"], rows["tie"]))
+        return joined([
+            done, kept_rows(OPEN, rows, last), columns(**{**ask, "kind": RUN, "at": ALL}),
+            columns(**{**run, "kind": RUN}),
+        ])
+    mark = taken(rows, np.flatnonzero(fresh & hot))
     none = np.zeros(len(mark["name"]), dtype=np.int64)
     return joined([
         done, kept_rows(OPEN, taken(rows, hot)),
@@ -230,14 +247,21 @@ def find(chunks: Iterator[Chunk], k: int) -> Iterator[pa.RecordBatch]:
         held.append(runs(chunk, k))
         size += len(held[-1]["name"])
         if size >= LOCAL_RUNS:
-            yield as_batch(within_task(joined(held)), ROWS)
+            yield as_batch(within_task(joined(held), k == SPAN), ROWS)
             held, size = [], 0
     if size:
-        yield as_batch(within_task(joined(held)), ROWS)
+        yield as_batch(within_task(joined(held), k == SPAN), ROWS)
 
 
-def settle(rows: Columns, hot: bool = False) -> Columns:
-    """Repeats and open runs among all rows of some names, sorted by name, kind, whole, doc."""
+def settle(
+    rows: Columns, hot: bool = False, last: bool = False, least: int | None = None,
+) -> Columns:
+    """Repeats and open runs among all rows of some names, sorted by name, kind, whole, doc.
+
+    At the last length nothing stays open but the windows of hot names, which wait for the
+    verdict: an OPEN row has the name in place of the end, a GONE row in place of the start.
+    ``least`` is the smallest document of a name of which these rows are a later part.
+    """
     kind, at = rows["kind"], rows["at"]
     by_name = changes(rows["name"])
     group = np.cumsum(by_name) - 1
@@ -247,18 +271,31 @@ def settle(rows: Columns, hot: bool = False) -> Columns:
     smallest = np.zeros(len(kind), dtype=np.int64)
     if len(start):
         smallest = rows["doc"][start][np.maximum(np.cumsum(new) - 1, 0)]
+    if least is not None:
+        smallest = np.full(len(kind), least)
     later = run & (rows["doc"] > smallest)
-    several = np.bincount(group, new) > 1
-    several |= np.bincount(group, kind == MARK) > 0
-    still = run & ~later & (several[group] | hot) | (kind == OPEN)
     passed = kind == COVER
     first = at >> 8
+    waiting = kind == OPEN
+    asked = later & (at == ALL) if last else np.zeros(len(kind), dtype=bool)
+    later &= ~asked
     parts = [
         columns(tie=rows["tie"][w], doc=rows["doc"][w], kind=COVER, first=a[w], last=b[w])
         for w, a, b in (
             (later, first, first + (at & 255) + SPAN), (passed, rows["whole"], at),
         )
     ]
+    if last:
+        parts += [
+            columns(tie=rows["tie"][w], doc=rows["doc"][w], kind=k, first=a[w], last=b[w])
+            for k, w, a, b in (
+                (OPEN, waiting, first, rows["whole"]), (GONE, asked, rows["name"], at),
+            )
+        ]
+        return joined(parts)
+    several = np.bincount(group, new) > 1
+    several |= np.bincount(group, kind == MARK) > 0
+    still = run & ~later & (several[group] | hot) | waiting
     parts.append(columns(
         tie=rows["tie"][still], doc=rows["doc"][still], kind=OPEN, first=first[still],
         last=(first + (at & 255) + 1)[still],
@@ -266,10 +303,15 @@ def settle(rows: Columns, hot: bool = False) -> Columns:
     return joined(parts)
 
 
-def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Settle sorted rows name by name; a name over ``HELD`` rows is left open in parts."""
+def rank(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterator[pa.RecordBatch]:
+    """Settle sorted rows name by name; a name over ``HELD`` rows comes in parts.
+
+    The parts are left open, or at the last length share the smallest document, which is in
+    the first part with runs: all runs of a name are equal there.
+    """
     held: Columns | None = None
     hot: int | None = None
+    least: int | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -280,21 +322,47 @@ def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = taken(rows, slice(cut, None))
         if hot is not None and cut:
             size = int(np.searchsorted(more["name"], hot, side="right"))
-            yield as_batch(settle(taken(more, slice(0, size)), hot=True), PLACES)
-            more, hot = taken(more, slice(size, None)), None
+            yield as_batch(settle(taken(more, slice(0, size)), True, last, least), PLACES)
+            more, hot, least = taken(more, slice(size, None)), None, None
         if len(more["name"]):
-            yield as_batch(settle(more), PLACES)
+            yield as_batch(settle(more, last=last), PLACES)
         if len(held["name"]) > HELD:
+            if hot is not None and held["name"][0] != hot:
+                least = None
             hot = int(held["name"][0])
-            yield as_batch(settle(held, hot=True), PLACES)
+            yield as_batch(settle(held, True, last, least), PLACES)
+            runs_held = np.flatnonzero(held["kind"] == RUN)
+            if last and least is None and len(runs_held):
+                least = int(held["doc"][runs_held[0]])
             held = None
     if held is not None and len(held["name"]):
-        yield as_batch(settle(held, hot=held["name"][0] == hot), PLACES)
+        same = held["name"][0] == hot
+        yield as_batch(settle(held, same, last, least if same else None), PLACES)
+
+
+def judged(rows: Columns) -> Columns:
+    """Covers of the last length: open windows whose name has a verdict in their document join them."""
+    gone, waiting = (taken(rows, rows["kind"] == k) for k in (GONE, OPEN))
+    asked = np.rec.fromarrays([gone["tie"], gone["first"]], names="tie,name")
+    windows = np.rec.fromarrays([waiting["tie"], waiting["last"]], names="tie,name")
+    repeated = taken(waiting, np.isin(windows, asked))
+    return joined([
+        taken(rows, rows["kind"] == COVER),
+        {**repeated, "kind": np.full(len(repeated["tie"]), COVER), "last": repeated["first"] + SPAN},
+    ])
 
 
-def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def gather(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterator[pa.RecordBatch]:
     """One row per document from rows sorted by tie: merged covers and open windows, as binary."""
     def rows_of(rows: Columns) -> pa.RecordBatch:
+        if last:
+            rows = judged(rows)
+            rows = taken(rows, np.argsort(rows["tie"], kind="stable"))
+        if not len(rows["tie"]):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([], k) for k in (pa.int64(), pa.int64(), pa.binary(), pa.binary())],
+                ["tie", "doc", "covers", "opens"],
+            )
         start = np.flatnonzero(changes(rows["tie"]))
         ties, docs = rows["tie"][start], rows["doc"][start]
         blobs = []
@@ -327,18 +395,18 @@ def pairs(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, dtype=np.int64).reshape(-1, 2)
 
 
-def settled(found: DataFrame) -> DataFrame:
+def settled(found: DataFrame, last: bool = False) -> DataFrame:
     """tie, doc, covers, opens of each document with any, from rows of :func:`find`.
 
     Spark sorts the names; a name's rows are settled where they meet and the outcome goes to
-    the document's task.
+    the document's task. ``last`` is for rows of length ``SPAN``, after which none is open.
     """
     n = tasks(found.sparkSession)
     ranked = found.repartition(n, "name").sortWithinPartitions(
         "name", "kind", "whole", "doc"
-    ).mapInArrow(rank, PLACES)
+    ).mapInArrow(partial(rank, last=last), PLACES)
     return ranked.repartition(n, "tie").sortWithinPartitions("tie").mapInArrow(
-        gather, "tie long, doc long, covers binary, opens binary"
+        partial(gather, last=last), "tie long, doc long, covers binary, opens binary"
     )
 
 

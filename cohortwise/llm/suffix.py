@@ -120,5 +120,5 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     places = repeats.settled(repeats.first_pass(texts, units, LENGTHS[0]))
     for k in LENGTHS[1:]:
         # A level's shuffle files go before the next one writes its own.
-        places = repeats.settled(longer_prefixes(texts, kept(places), k))
+        places = repeats.settled(longer_prefixes(texts, kept(places), k), last=k == LENGTHS[-1])
     return remainders(texts, places)

@@ -70,6 +70,21 @@ def test_limits_change_nothing(spark, monkeypatch, name, value):
     assert rows(suffix.substring_dedup(docs)) == sorted(plain(texts), key=repr)
 
 
+@pytest.mark.parametrize("hot, held", [(200, 500_000), (2, 500_000), (1, 3), (200, 3)])
+def test_hot_names_of_other_tasks(spark, monkeypatch, hot, held):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "HELD", held)
+    texts = [(i, "a" * n) for i, n in enumerate((300, 60, 280, 700, 51, 90, 400, 55))]
+    texts += [(9, "ab" * 300), (9, "ab" * 320), (8, "ab" * 40), (None, "ab" * 500), (30, "b" * 400), (31, "b" * 70)]
+    texts += [(i, "ab" * 250 + "xyz " * (i - 39)) for i in range(40, 50)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.createDataFrame(spark.sparkContext.parallelize(texts[::-1], 8), "doc_id long, text string")
+        assert rows(suffix.substring_dedup(docs)) == sorted(plain(texts), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix.substring_dedup(docs).count() == 0
