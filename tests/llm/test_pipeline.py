@@ -1,5 +1,7 @@
 """The pipeline's stages on their own input, and the registration of the queries."""
 
+import random
+
 import pytest
 
 import __spark_entry__
@@ -102,6 +104,31 @@ def test_similar_group_of_copies(spark):
     assert {r.component_id for r in got} == {0, 99} and sum(r.kept for r in got) == 2
 
 
+def test_similar_is_exact_on_both_sides(spark):
+    rng = random.Random(8)
+    texts = []
+    for base in range(40):
+        words = [f"b{base}w{i}" for i in range(rng.choice((10, 12, 60, 200, 1500)))]
+        texts.append(words)
+        for _ in range(8):
+            changed = list(words)
+            for _ in range(rng.randint(1, max(1, len(words) // 40))):
+                changed[rng.randrange(len(words))] = f"x{rng.random()}"
+            texts.append(changed)
+    # Six shingles that share five: 0.714.
+    texts += [[f"s{i}" for i in range(10)], [f"s{i}" for i in range(9)] + ["other"], [], []]
+    texts = [" ".join(t) for t in texts]
+    sets = [shingles(t) for t in texts]
+    smallest = list(range(len(texts)))
+    near = [[j for j, y in enumerate(sets) if len(x & y) >= 0.8 * len(x | y)] for x in sets]
+    while (lower := [min(smallest[j] for j in own) for own in near]) != smallest:
+        smallest = lower
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(texts)), 5), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar(docs).collect()}
+    assert got == dict(enumerate(smallest))
+    assert 60 < len(set(smallest)) < 330
+
+
 def test_every_query_is_registered():
     names = set(__spark_entry__.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
