@@ -54,25 +54,60 @@ def kept(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEANUP, before)
 
 
-def place(docs: DataFrame) -> Column:
-    """A number for each row that stays the same however the input is split, also on retries.
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    Rows of files are named by file and position. Tables without files, as in tests, are
-    numbered by partition; a table that is computed should be stored first.
-    """
+
+def own_columns(docs: DataFrame) -> list[Column]:
+    """The columns of a table by name, dots and other signs included."""
+    return [F.col(quoted(c)) for c in docs.columns]
+
+
+def unused(docs: DataFrame, stem: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def of_files(docs: DataFrame) -> bool:
     try:
-        docs.select("_metadata.row_index")
+        docs.metadataColumn("_metadata")
     except AnalysisException:
+        return False
+    return True
+
+
+def addressed(docs: DataFrame) -> DataFrame:
+    """A table whose rows :func:`place` can name: one of files as it is, others computed once."""
+    return docs if of_files(docs) else kept(docs)
+
+
+def place(docs: DataFrame) -> Column:
+    """A number for each row of an :func:`addressed` table, the same on retries.
+
+    Rows of files are named by file and position, however the input is split. A table computed
+    once lies in the shared folder in fixed parts, and its rows are numbered by part.
+    """
+    if not of_files(docs):
         return F.monotonically_increasing_id()
-    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    row = docs.metadataColumn("_metadata")
+    return F.xxhash64(row["file_path"], row["row_index"])
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder as Parquet and read it again."""
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """A table written to the shared folder as Parquet and read again, and its path."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete what :func:`stored` wrote."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def tasks(spark: SparkSession) -> int:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwise.llm.common import kept, place
+from cohortwise.llm.common import addressed, kept, place
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -168,6 +168,7 @@ def exact_dedup(
     each group is kept. A null id loses to any other; a group of null ids has a null keep_id and still
     keeps one row. An empty table gives no rows. Other columns of ``docs`` play no part.
     """
+    docs = addressed(docs)
     digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
     if historical is None:
         span = docs.agg(F.min(doc_id).alias("a"), F.max(doc_id).alias("b")).first()

@@ -25,8 +25,6 @@ SMOOTHING = 0.5
 ROUNDS = 20
 #: Neighbouring trigrams share characters; so many of them count as one observation.
 OVERLAP = 3
-#: Languages that enter the mixture: the likeliest ones taken alone.
-SHORTLIST = 8
 UNKNOWN = "und"
 #: ASCII bytes that are no letter read as a space.
 LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -98,9 +96,6 @@ def infer(text: str | None, names: list[str], table: np.ndarray) -> tuple[str, f
         return UNKNOWN, 0.0
     counts = counts[used].astype(np.float64)
     logs = table[:, used].astype(np.float64)
-    alone = logs @ counts
-    short = np.sort(np.argsort(-alone, kind="stable")[:SHORTLIST])
-    logs = logs[short]
     # A common factor in a trigram's probabilities changes no choice and avoids underflow.
     p = np.exp(logs - logs.max(axis=0)).T
     weights, _ = proportions(p, counts)
@@ -115,7 +110,7 @@ def infer(text: str | None, names: list[str], table: np.ndarray) -> tuple[str, f
             break
         best, chosen, share = value, mine, found
     top = max(range(len(chosen)), key=lambda i: (share[i], -chosen[i]))
-    return names[short[chosen[top]]], float(min(1.0, share[top]))
+    return names[chosen[top]], float(min(1.0, share[top]))
 
 
 def identify(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from cohortwise.llm.common import place, tasks
+from cohortwise.llm.common import addressed, place, tasks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -412,6 +412,7 @@ def settled(found: DataFrame, last: bool = False) -> DataFrame:
 
 def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """tie (place of the row), doc (its rank: the id, null last), doc_id and data, the bytes."""
+    docs = addressed(docs)
     return docs.select(
         place(docs).alias("tie"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),

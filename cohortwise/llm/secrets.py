@@ -10,8 +10,12 @@ allow-list of harmless shapes suppresses what only looks random.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cohortwise.llm.common import own_columns, quoted, unused
+
 # The kinds in their order and their patterns.
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = (
@@ -38,27 +42,73 @@ CLASSES = (
 #: Harmless shapes: UUIDs, paths and hyphenated words that end in a number, dates, repeats.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^/?([A-Za-z]+[/_-])+[A-Za-z]*[0-9]{0,4}$",
+    r"^/?(?:[A-Za-z]+[/_-])++[A-Za-z]*[0-9]{0,4}$",
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[A-Za-z0-9-]*$",
     r"(?i)example|placeholder|changeme|dummy",
     r"^(.{1,4})\1+.{0,3}$",
 )
-SPAN = "array<struct<start:int,end:int,value:string>>"
+SPAN = "struct<start:int,end:int,value:string>"
+#: Stands in the place of a secret.
+MARK = "<secret>"
+#: Elements of an array that are gathered at a time, and code points of a block of text.
+BLOCK = 256
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once; inside a lambda an outer value would be
+    computed again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def scanned(
+    items: Column, zero: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str,
+) -> Column:
+    """What ``step(state, item)`` puts out beside the next state, for every item in turn.
+
+    Appending copies an array, so outputs are gathered in blocks, and the blocks in a list.
+    """
+    def block(state: Column, part: Column) -> Column:
+        def one(done: Column, item: Column) -> Column:
+            after, out = step(done["s"], item)
+            gathered = F.array_append(done["out"], out).cast(f"array<{kind}>")
+            return F.struct(after.alias("s"), gathered.alias("out"))
+
+        start = F.struct(state.alias("s"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.aggregate(part, start, one)
+
+    def every(all_: Column) -> Column:
+        start = F.struct(zero.alias("s"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+
+        def more(done: Column, at: Column) -> Column:
+            return let(block(done["s"], F.slice(all_, at, BLOCK)), lambda x: F.struct(
+                x["s"].alias("s"),
+                F.array_append(done["out"], x["out"]).cast(f"array<array<{kind}>>").alias("out"),
+            ))
+
+        blocks = F.sequence(F.lit(1), F.size(all_), F.lit(BLOCK))
+        return F.when(F.size(all_) > 0, F.aggregate(blocks, start, more, lambda x: F.flatten(x["out"]))).otherwise(
+            F.array().cast(f"array<{kind}>")
+        )
 
+    return let(items, every)
 
-def spans(text: Column, pattern: str, hits: Column) -> Column:
-    """Start and end in code points, and the matched string, of every match in ``hits``."""
-    gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(done: Column, i: Column) -> Column:
-        begin = done["at"] + F.length(F.get(gaps, i))
-        end = begin + F.length(F.get(hits, i))
-        found = F.struct(begin.alias("start"), end.alias("end"), F.get(hits, i).alias("value"))
-        return F.struct(end.alias("at"), F.array_append(done["out"], found).cast(SPAN).alias("out"))
+def spans(text: Column, pattern: str, group: int = 0) -> Column:
+    """Start and end in code points of every match, and the string of its ``group``."""
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = hits if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
-    places = F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), start, step, lambda x: x["out"])
-    return F.when(F.size(hits) > 0, places).otherwise(F.array().cast(SPAN))
+    def step(at: Column, item: Column) -> tuple[Column, Column]:
+        begin = at + F.length(item["gap"])
+        end = begin + F.coalesce(F.length(item["hit"]), F.lit(0))
+        return end, F.struct(begin.alias("start"), end.alias("end"), item["value"].alias("value"))
+
+    # The gap after the last match has none beside it.
+    items = F.arrays_zip(F.split(text, pattern, -1), hits, values)
+    found = scanned(
+        items.cast("array<struct<gap:string,hit:string,value:string>>"), F.lit(0), step, SPAN
+    )
+    return F.filter(found, lambda s: s["value"].isNotNull())
 
 
 def counted(c: Column) -> Column:
@@ -71,14 +121,12 @@ def highest_entropy(value: Column, window: int = WINDOW) -> Column:
 
     The state is the count of each of the 128 characters and the sum of ``counted`` over them.
     """
-    codes = F.transform(F.split(value, ""), F.ascii)
     start = F.struct(
         F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("best")
     )
 
-    def step(a: Column, i: Column) -> Column:
-        enter = F.get(codes, i)
-        leave = F.when(i >= window, F.get(codes, i - window)).otherwise(F.lit(-1))
+    def step(a: Column, x: Column) -> Column:
+        enter, leave, i = x["enter"], x["leave"], x["i"]
         n_in, n_out = F.get(a["n"], enter), F.get(a["n"], leave)
         moved = a["s"] + F.when(enter == leave, F.lit(0.0)).otherwise(
             counted(n_in + 1) - counted(n_in)
@@ -92,7 +140,16 @@ def highest_entropy(value: Column, window: int = WINDOW) -> Column:
             counts.alias("n"), moved.alias("s"), best.otherwise(a["best"]).alias("best")
         )
 
-    return F.aggregate(F.sequence(F.lit(0), F.length(value) - 1), start, step, lambda a: a["best"])
+    def slide(codes: Column) -> Column:
+        # Each character beside the one that leaves the window as it enters; -1 for none.
+        before = F.concat(F.array_repeat(F.lit(-1), window), codes)
+        moves = F.arrays_zip(
+            codes, F.slice(before, F.lit(1), F.size(codes)), F.sequence(F.lit(0), F.size(codes) - 1)
+        )
+        moves = moves.cast("array<struct<enter:int,leave:int,i:int>>")
+        return F.aggregate(moves, start, step, lambda a: a["best"])
+
+    return let(F.transform(F.split(value, ""), F.ascii), slide)
 
 
 def suspicious(value: Column) -> Column:
@@ -121,68 +178,70 @@ def joined(found: Column) -> Column:
     )), ",")
 
 
-def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``_found``: its spans as (start, order, end, kind).
+def found_in(text: Column) -> Column:
+    """Spans of a text as (start, order, end, kind)."""
+    body = F.coalesce(text, F.lit(""))
+    assigned = F.filter(spans(body, ASSIGN, 1), lambda s: F.length(s["value"]) >= LEAST_VALUE)
+    runs = F.filter(spans(body, CANDIDATE), lambda s: suspicious(s["value"]))
+    return F.concat(
+        named(assigned, "assign"), named(spans(body, ACCESS), "access"), named(spans(body, HEX), "hex"),
+        named(runs, "entropy"),
+    )
+
+
+def find_secrets(docs: DataFrame, text: str = "text", into: str = "found") -> DataFrame:
+    """All columns of ``docs`` and ``into``, an array of its spans (start, order, end, kind).
 
     Null text is the empty text and has no spans. Ties in start are ordered by kind. Works row
-    by row, so repeated rows, empty tables, null ids and any other column pass through. Names
-    that begin with ``_`` are used inside.
+    by row, so repeated rows, empty tables, null ids and any other column pass through; only
+    ``into`` must not be the name of a column, else ValueError.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
-    hits = docs.select("*", body.alias("_body")).select(
-        "*",
-        F.regexp_extract_all("_body", F.lit(ASSIGN), F.lit(0)).alias("_assign"),
-        F.regexp_extract_all("_body", F.lit(ASSIGN), F.lit(1)).alias("_values"),
-        F.regexp_extract_all("_body", F.lit(ACCESS), F.lit(0)).alias("_access"),
-        F.regexp_extract_all("_body", F.lit(HEX), F.lit(0)).alias("_hex"),
-        F.regexp_extract_all("_body", F.lit(CANDIDATE), F.lit(0)).alias("_runs"),
-    )
-    col = F.col
-    assigned = F.filter(
-        spans(col("_body"), ASSIGN, col("_assign")),
-        lambda s, i: F.length(F.get(col("_values"), i)) >= LEAST_VALUE,
-    )
-    runs = F.filter(
-        spans(col("_body"), CANDIDATE, col("_runs")), lambda s: suspicious(s["value"])
-    )
-    found = F.concat(
-        named(assigned, "assign"),
-        named(spans(col("_body"), ACCESS, col("_access")), "access"),
-        named(spans(col("_body"), HEX, col("_hex")), "hex"),
-        named(runs, "entropy"),
-    )
-    return hits.select(*[F.col(f"`{c}`") for c in docs.columns], found.alias("_found"))
+    if into.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"a column is named {into}")
+    return docs.select(*own_columns(docs), found_in(F.col(quoted(text))).alias(into))
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, counts of the base kinds, base_sha256, spans and n_entropy."""
-    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    found = find_secrets(chosen).select("doc_id", "_found")
-    count = lambda kind: F.size(F.filter("_found", lambda s: s["kind"] == kind)).cast("long")
-    base = F.filter("_found", lambda s: s["kind"] != "entropy")
+    found = docs.select(F.col(quoted(doc_id)).alias("doc_id"), found_in(F.col(quoted(text))).alias("found"))
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("found", lambda s: s["kind"] != "entropy")
     return found.select(
         "doc_id", *[count(kind).alias(f"n_{kind}") for kind in KINDS],
-        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("_found")).alias("spans"),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"),
     )
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "<secret>") -> DataFrame:
-    """Every span replaced by ``mark``, overlapping spans by one; clean rows are untouched."""
-    marked = find_secrets(docs, text)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(done: Column, s: Column) -> Column:
-        between = F.substring(F.col(text), done["at"] + 1, s["start"] - done["at"])
-        later = s["start"] >= done["at"]
-        fresh = F.when(later & ((s["start"] > done["at"]) | (done["at"] == 0)),
-                       F.concat(done["out"], between, F.lit(mark)))
-        return F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"), fresh.otherwise(done["out"]).alias("out")
-        )
-
-    def last(done: Column) -> Column:
-        return F.concat(done["out"], F.substring(F.col(text), done["at"] + 1, F.length(text)))
-
-    clean = F.aggregate(F.array_sort("_found"), start, step, last)
-    changed = F.when(F.size("_found") > 0, clean).otherwise(F.col(text))
-    return marked.withColumn(text, changed).drop("_found")
+def blanked(text: Column, found: Column, mark: str) -> Column:
+    """A text with spans replaced. Ranges are read from blocks of the text: a range of the
+    text itself would be counted from its start every time."""
+    def between(blocks: Column, start: Column, end: Column) -> Column:
+        first, last = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+        parts = F.transform(F.sequence(first, last), lambda i: F.substring(
+            F.get(blocks, i), F.greatest(start - i * BLOCK, F.lit(0)) + 1,
+            end - F.greatest(start, i * BLOCK),
+        ))
+        return F.when(end > start, F.array_join(parts, "")).otherwise(F.lit(""))
+
+    def cleaned(blocks: Column) -> Column:
+        def step(at: Column, s: Column) -> tuple[Column, Column]:
+            fresh = (s["start"] > at) | (at == 0)
+            piece = F.concat(between(blocks, at, s["start"]), F.lit(mark))
+            return F.greatest(at, s["end"]), F.when((s["start"] >= at) & fresh, piece).otherwise("")
+
+        rest = between(blocks, F.array_max(F.transform(found, lambda s: s["end"])), F.length(text))
+        return F.concat(F.array_join(scanned(F.array_sort(found), F.lit(0), step, "string"), ""), rest)
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.when(F.size(found) > 0, let(blocks, cleaned)).otherwise(text)
+
+
+def redact(docs: DataFrame, text: str = "text", mark: str = MARK) -> DataFrame:
+    """Every span replaced by ``mark``, overlapping and touching spans by one; clean rows and
+    all other columns, whatever their names, are untouched."""
+    found = unused(docs, "found")
+    marked = find_secrets(docs, text, found)
+    clean = blanked(F.col(quoted(text)), F.col(found), mark)
+    return marked.select(*[
+        clean.alias(c) if c == text else F.col(quoted(c)) for c in docs.columns
+    ])

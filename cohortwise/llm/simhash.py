@@ -9,19 +9,16 @@ bucket, distances are compared and a spanning forest of the links is kept, never
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwise.llm.common import kept, place, tasks
+from cohortwise.llm.common import addressed, kept, place, tasks
 from cohortwise.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -89,6 +86,7 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int, seed: in
                 [batch.column(0), batch.column(1), pa.array(found, pa.int64())], schema=schema
             )
 
+    docs = addressed(docs)
     chosen = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         place(docs).alias("tie"), F.col(text).alias("text"),
@@ -228,243 +226,3 @@ def near_dedup(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
         (F.col("tie") == F.col("chosen")).alias("kept"), "tie",
     )
-
-
-#: Counters of the sketch that orders shingles, and about how many documents it counts.
-COUNTERS, COUNTED = 2**20, 100_000
-SLICES = 16
-#: Bits of a document's map of shingle parities.
-PARITY = 1024
-PAIR, MEMBER = 0, 1
-BUCKETS = "kind int, key long, a long, b long, n int"
-
-
-def shingles(text: str, shingle: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; none without words."""
-    words = text.encode().lower().split()
-    grams = {b" ".join(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, grams), dtype=np.uint64, count=len(grams))
-    return np.unique(hashed) if words else hashed[:0]
-
-
-def rarity(texts: DataFrame, shingle: int) -> np.ndarray:
-    """Order of shingles: bits of the count in a sample. It decides on cost, never on results.
-
-    Frequent shingles come last, so that they stay out of the prefixes.
-    """
-    share = max(1, texts.count() // COUNTED)
-    sample = texts.where(F.pmod(F.xxhash64("tie"), F.lit(share)) == 0).select("text")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, dtype=np.int32)
-        for batch in batches:
-            for t in batch.column(0):
-                found = shingles(t.as_py() or "", shingle) & np.uint64(COUNTERS - 1)
-                np.add.at(total, found.astype(np.int64), 1)
-        if total.any():
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.arange(SLICES, dtype=np.int32)),
-                pa.array([x.tobytes() for x in np.split(total, SLICES)], pa.binary()),
-            ], ["slice", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                total[i] = total.get(i, 0) + np.frombuffer(blob.as_py(), dtype=np.int32)
-        if total:
-            yield pa.RecordBatch.from_arrays([
-                pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary()),
-            ], ["slice", "counts"])
-
-    kind = "slice int, counts binary"
-    out = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.int32)
-    for row in sample.mapInArrow(count, kind).repartition(SLICES, "slice").mapInArrow(add, kind).collect():
-        out[row["slice"]] += np.frombuffer(row["counts"], dtype=np.int32)
-    return np.ceil(np.log2(out.ravel() + 1.0)).astype(np.uint8)
-
-
-def prefix(grams: np.ndarray, levels: np.ndarray, similarity: float) -> np.ndarray:
-    """The rarest shingles: sets at the similarity share at least one of these."""
-    size = len(grams) - math.ceil(similarity * len(grams) - 1e-9) + 1
-    level = levels[(grams & np.uint64(COUNTERS - 1)).astype(np.int64)]
-    return grams[np.lexsort((grams, level))[:size]]
-
-
-def parities(grams: np.ndarray) -> bytes:
-    """Whether an odd number of shingles falls on each bit: maps differ in no more bits than sets."""
-    odd = np.bincount((grams >> np.uint64(40)).astype(np.int64) % PARITY, minlength=PARITY) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
-
-
-def stars(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Rows (key, n, id) sorted in this order to pairs of members with their bucket's first.
-
-    Buckets of one go; the members of others are passed on. No bucket is held as a whole.
-    """
-    begun: tuple[int, int, int] | None = None
-    held: list[np.ndarray] | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = [np.asarray(c).astype(np.int64) for c in batch.columns]
-        if held is not None:
-            rows = [np.concatenate(x) for x in zip(held, rows)]
-        key, n, ids = rows
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        start = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        first_n, first_id = n[start][group], ids[start][group]
-        size = np.bincount(group)
-        goes_on = begun is not None and key[0] == begun[0]
-        if goes_on:
-            first_n[group == 0], first_id[group == 0] = begun[1:]
-        many = size[group] > 1
-        if goes_on:
-            many[group == 0] = True
-        yield from emitted(key[many], n[many], ids[many], first_n[many], first_id[many], similarity)
-        # A last row alone in its bucket so far waits for the next batch.
-        if many[-1]:
-            begun, held = (int(key[-1]), int(first_n[-1]), int(first_id[-1])), None
-        else:
-            begun, held = None, [x[-1:] for x in rows]
-
-
-def emitted(key, n, ids, first_n, first_id, similarity: float) -> Iterator[pa.RecordBatch]:
-    if not len(key):
-        return
-    pair = (ids != first_id) & (first_n >= similarity * n - 1e-9)
-    for kind, k, a, b, m in (
-        (PAIR, key[pair], ids[pair], first_id[pair], n[pair]), (MEMBER, key, ids, ids, n),
-    ):
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(k), kind, dtype=np.int32)), pa.array(k),
-            pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(m.astype(np.int32)),
-        ], ["kind", "key", "a", "b", "n"])
-
-
-def crossings(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Rows (key, label, id, n, map) sorted by key and label to pairs of different labels.
-
-    Left out are pairs only whose sizes or maps rule the similarity out.
-    """
-    def pairs(key: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        label, ids, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(3))
-        maps = np.frombuffer(b"".join(r[3] for r in rows), dtype="<u8").reshape(len(rows), -1)
-        ends = np.append(np.flatnonzero(label[1:] != label[:-1]) + 1, len(rows))[
-            np.concatenate(([0], np.cumsum(label[1:] != label[:-1])))
-        ]
-        for i in range(len(rows)):
-            j = np.arange(ends[i], len(rows))
-            if not len(j):
-                break
-            most = (n[i] + n[j]) * (1 - similarity) / (1 + similarity) + 1e-6
-            j = j[(np.abs(n[j] - n[i]) <= most)]
-            most = (n[i] + n[j]) * (1 - similarity) / (1 + similarity) + 1e-6
-            j = j[np.bitwise_count(maps[j] ^ maps[i]).sum(axis=1, dtype=np.int64) <= most]
-            if len(j):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(ids[j], ids[i])), pa.array(np.maximum(ids[j], ids[i]))], ["a", "b"]
-                )
-
-    rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
-    for key, own in groupby(rows, key=lambda r: r[0]):
-        yield from pairs(key, [r[1:] for r in own])
-
-
-def similar(
-    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, doc_id: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, component_id, kept, and tie.
-
-    Near copies in the sense of shingles: documents are linked exactly if the Jaccard similarity
-    of their sets of word shingles is at least ``similarity``. Such sets share one of the
-    shingles of their prefixes, so every pair meets in a bucket. First each bucket's members are
-    compared with its first one; then, in buckets with several components left, all pairs of
-    different components are. Every link is confirmed on whole sets. Texts without words form
-    one group. Other rules are those of :func:`near_dedup`. Shingles and sets are told apart
-    by 64-bit hashes.
-    """
-    spark = docs.sparkSession
-    texts = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), place(docs).alias("tie"), F.col(text).alias("text"),
-    )
-    levels = rarity(texts, shingle)
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingles(t.as_py() or "", shingle) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1),
-                pa.array([xxhash.xxh3_64_intdigest(g.tobytes()) - 2**63 for g in found], pa.int64()),
-                pa.array([len(g) for g in found], pa.int32()),
-                pa.array([prefix(g, levels, similarity).tobytes() if len(g) else b"" for g in found], pa.binary()),
-            ], ["doc_id", "tie", "id", "n", "prefix"])
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blobs = batch.column(2).to_pylist()
-            sizes = [len(b) // 8 for b in blobs]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.frombuffer(b"".join(blobs), dtype=np.int64)),
-                pa.array(np.repeat(np.asarray(batch.column(1)), sizes)),
-                pa.array(np.repeat(np.asarray(batch.column(0)), sizes)),
-            ], ["key", "n", "id"])
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingles(t.as_py() or "", shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([g.tobytes() for g in found], pa.binary()),
-                pa.array([parities(g) for g in found], pa.binary()),
-            ], ["id", "grams", "map"])
-
-    base = kept(texts.mapInArrow(describe, "doc_id long, tie long, id long, n int, prefix binary"))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("first")
-    points = kept(base.groupBy("id").agg(first, F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    rows = points.where("n > 0").select("id", "n", "prefix").mapInArrow(spread, "key long, n int, id long")
-    buckets = kept(rows.repartition(tasks(spark), "key").sortWithinPartitions("key", "n", "id").mapInArrow(
-        lambda batches: stars(batches, similarity), BUCKETS
-    ))
-    members = buckets.where(F.col("kind") == MEMBER).select("key", F.col("a").alias("id"), "n")
-    needed = members.select("id").distinct().join(points, "id").select("id", F.col("first.tie").alias("tie"))
-    sets = kept(texts.select("tie", "text").join(needed.hint("shuffle_hash"), "tie").select(
-        "id", "text"
-    ).mapInArrow(whole, "id long, grams binary, map binary"))
-
-    @F.pandas_udf("boolean")
-    def close(x: pd.Series, y: pd.Series) -> pd.Series:
-        def jaccard(a: bytes, b: bytes) -> float:
-            a, b = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            return common / (len(a) + len(b) - common)
-        return pd.Series([jaccard(a, b) >= similarity for a, b in zip(x, y)], dtype=bool)
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        one = sets.select(F.col("id").alias("a"), F.col("grams").alias("x"))
-        two = sets.select(F.col("id").alias("b"), F.col("grams").alias("y"))
-        return kept(pairs.distinct().join(one, "a").join(two, "b").where(close("x", "y")).select("a", "b"))
-
-    links = confirmed(buckets.where(F.col("kind") == PAIR).select("a", "b"))
-    labels = components(links)
-    labelled = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = labelled.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")
-    ).where("low <> high").select("key")
-    open_rows = labelled.join(mixed, "key").join(sets.select("id", "map"), "id").select(
-        "key", "label", "id", F.col("n").cast("long").alias("n"), "map"
-    )
-    crossing = open_rows.repartition(tasks(spark), "key").sortWithinPartitions("key", "label").mapInArrow(
-        lambda batches: crossings(batches, similarity), "a long, b long"
-    )
-    labels = components(links.union(confirmed(crossing)))
-    named = points.join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("label"), "first")
-    smallest = named.groupBy("label").agg(F.min("first").alias("first"))
-    classes = named.select("id", "label").join(smallest, "label").select(
-        "id", F.col("first.doc_id").alias("component_id"), F.col("first.tie").alias("chosen")
-    )
-    return base.drop("prefix").join(classes, "id").select(
-        "doc_id", "component_id", (F.col("tie") == F.col("chosen")).alias("kept"), "tie"
-    )

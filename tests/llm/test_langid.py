@@ -1,5 +1,7 @@
 """Language ID on held-out documents, and the mixture on made-up proportions."""
 
+import math
+
 import numpy as np
 
 from cohortwise.llm import langid, queries
@@ -24,6 +26,60 @@ def test_mixture_proportions():
     assert np.abs(weights - [0.2, 0, 0.8]).max() < 0.03
 
 
+def plain_infer(text, names, table):
+    """The rules of ``infer`` with loops: all languages, mixtures by EM, penalised choice."""
+    grams = {}
+    for g in langid.trigrams(text).tolist():
+        grams[g] = grams.get(g, 0) + 1
+    total = sum(grams.values())
+
+    def mixture(chosen):
+        w = [1 / len(chosen)] * len(chosen)
+        likes = {g: [math.exp(float(table[k, g]) - max(float(x) for x in table[:, g])) for k in chosen] for g in grams}
+        for _ in range(langid.ROUNDS if len(chosen) > 1 else 0):
+            new = [0.0] * len(w)
+            for g, n in grams.items():
+                whole = sum(a * b for a, b in zip(w, likes[g]))
+                for k in range(len(w)):
+                    new[k] += n * w[k] * likes[g][k] / whole / total
+            far, w = max(abs(a - b) for a, b in zip(w, new)), new
+            if far < 1e-4:
+                break
+        return w, sum(n * math.log(sum(a * b for a, b in zip(w, likes[g]))) for g, n in grams.items())
+
+    order = sorted(range(len(names)), key=lambda k: (-mixture(list(range(len(names))))[0][k], k))
+    best = None
+    for size in range(1, len(order) + 1):
+        w, like = mixture(order[:size])
+        value = like / langid.OVERLAP - size * (0.5 * math.log(total / langid.OVERLAP + 1) + 1)
+        if best is not None and value <= best[0]:
+            break
+        best = value, max(zip(w, (-k for k in order[:size])))
+    return names[-best[1][1]], min(1.0, best[1][0])
+
+
+def test_against_plain_loops_with_twelve_languages():
+    rng = np.random.default_rng(3)
+    names = [f"l{i:02d}" for i in range(12)]
+    # Ten languages share the alphabet of the first ten letters, two have letters of their own.
+    letters = [list("abcdefghij")] * 10 + [list("klmnop"), list("qrstuv")]
+    weights = [rng.dirichlet(np.ones(len(x))) for x in letters]
+    words = lambda k, n: " ".join("".join(rng.choice(letters[k], 5, p=weights[k])) for _ in range(n))
+    table = np.full((12, langid.BUCKETS), langid.SMOOTHING)
+    for k in range(12):
+        table[k] += np.bincount(langid.trigrams(words(k, 3000)), minlength=langid.BUCKETS)
+    table = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    for mixed in (words(0, 200), words(3, 150) + " " + words(11, 40), words(10, 90) + " " + words(2, 60), words(5, 1)):
+        name, share = langid.infer(mixed, names, table)
+        want, part = plain_infer(mixed, names, table)
+        assert name == want and abs(share - part) < 1e-6
+    text = words(3, 150) + " " + words(11, 40)
+    counts = np.bincount(langid.trigrams(text), minlength=langid.BUCKETS)
+    alone = np.argsort(-(table @ counts)).tolist()
+    assert alone.index(11) >= 8
+    assert langid.infer(text, names, table)[1] < 0.9  # the ninth or later one takes its share
+
+
 def test_set_of_languages(spark):
     names, table = langid.learn(
         spark.read.parquet(f"{FOLDER}/documents.parquet").limit(2000), "lang", "text"

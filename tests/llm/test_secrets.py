@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -78,6 +80,46 @@ def test_against_plain_rules(spark):
         assert (row.n_assign, row.n_access, row.n_hex, row.base_sha256, row.spans) == expected(text)
 
 
+def plain_redaction(text, found):
+    out, at = [], 0
+    for start, end in sorted((a, b) for _, a, b in found):
+        if start > at or start == at == 0:
+            out += [text[at:start], "<secret>"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_long_texts_take_linear_time(spark):
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = [
+        "a-" * 200_000 + "1b", "/" + "ab_" * 200_000 + "1234",
+        " ".join(f"{i:016x}" for i in range(100_000)),
+        "".join(rng.choice(letters) for _ in range(100_000)),
+        "é𝒳" * 200_000 + " token=abcdefghijkl " + "x" * 300_000, "ab12" * 50_000,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6).cache()
+    begun = time.time()
+    got = {r.doc_id: r.spans for r in secrets.report(docs).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert time.time() - begun < 90
+    for i, text in enumerate(texts):
+        found = base_spans(text) + ([] if i == 3 else entropy_spans(text))
+        if i == 3:
+            found.append(("entropy", 0, len(text)))
+        found = sorted(found, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+        assert got[i] == as_text(found)
+        assert clean[i] == plain_redaction(text, found)
+
+
+def test_redaction_of_overlapping_spans(spark):
+    texts = [t or "" for t in TEXTS] + ["𝒳" * 300 + " secret=0123456789abcdef0123456789abcdef " + "é" * 600 + " token=abcdefghijklmnop"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in secrets.redact(docs).collect():
+        text = texts[row.doc_id]
+        assert row.text == plain_redaction(text, base_spans(text) + entropy_spans(text))
+
+
 def test_query_reads_whole_table(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
     want = {r.doc_id: expected(r.text) for r in docs}
