@@ -6,24 +6,30 @@ dropped by its operator's own decision.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortwise.llm import exact, packing, quality, secrets, simhash
-from cohortwise.llm.common import documents, place, stored
+from cohortwise.llm.common import (
+    addressed, discard, documents, own_columns, place, quoted, stored, unused,
+)
 
 #: Fixed value: a document goes if its score is below this.
 LEAST_QUALITY = 0.5
 
 
-def without(docs: DataFrame, decisions: DataFrame) -> DataFrame:
+def without(docs: DataFrame, decide: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``docs`` without the rows that a decision per row drops; ``tie`` names a row's place.
 
-    The few dropped places are the build side, so the texts are not sorted.
+    The dropped places, one number each, are the build side, so the texts are not sorted.
     """
-    dropped = decisions.where(~F.col("kept")).select(F.col("tie").alias("_tie"))
-    rows = docs.select("*", place(docs).alias("_tie"))
-    return rows.join(dropped.hint("shuffle_hash"), "_tie", "left_anti").select(*docs.columns)
+    docs = addressed(docs)
+    tie = unused(docs, "tie")
+    dropped = decide(docs).where(~F.col("kept")).select(F.col("tie").alias(tie))
+    rows = docs.select("*", place(docs).alias(tie))
+    return rows.join(dropped.hint("shuffle_hash"), tie, "left_anti").select(*own_columns(docs))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,21 +39,25 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the row with the largest id of equal texts."""
-    return without(docs, exact.exact_dedup(docs))
+    return without(docs, exact.exact_dedup)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of near copies: words in fives, similarity 0.8."""
-    return without(docs, simhash.similar(docs))
+    """Keep the smallest id of each group of near copies: fingerprints of 4-word shingles that
+    4 or fewer differing bits connect."""
+    return without(docs, lambda rows: simhash.near_dedup(rows, radius=4, shingle=4))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Blank out secrets; documents without any pass unchanged."""
-    before = F.col("_before")
-    length = F.when(F.col("text").eqNullSafe(before), F.col("n_chars")).otherwise(F.length("text"))
-    return secrets.redact(docs.withColumn("_before", F.col("text"))).withColumn(
-        "n_chars", length.cast("long")
-    ).select(*docs.columns)
+    """Blank out secrets, with ``n_chars`` to match; documents without any pass unchanged."""
+    found = unused(docs, "found")
+    clean = secrets.blanked(F.col("text"), F.col(found), secrets.MARK)
+    rows = secrets.find_secrets(docs, "text", found).withColumn(found, F.struct(
+        clean.alias("text"), (F.size(found) > 0).alias("changed"),
+    ))
+    size = F.when(F.col(found)["changed"], F.length(F.col(found)["text"])).otherwise(F.col("n_chars"))
+    new = {"text": F.col(found)["text"], "n_chars": size.cast("long")}
+    return rows.select(*[new[c].alias(c) if c in new else F.col(quoted(c)) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +79,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each reads what the one before it stored."""
-    docs = documents(spark, sf_dir)
+    docs, path = documents(spark, sf_dir), None
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        before = path
+        docs, path = stored(stage(spark, docs, sf_dir))
+        if before:
+            discard(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)
