@@ -6,6 +6,7 @@ import sys
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -117,3 +118,26 @@ def tasks(spark: SparkSession) -> int:
 def fold(doc_id: str) -> Column:
     """crc32 of the id as text modulo 3; fold 1 is held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3, F.lit(0))
+
+
+def bit_map(keys: DataFrame, column: str, bits: int) -> bytes:
+    """A map of ``2 ** bits`` bits with those set that the 64-bit numbers in a column fall on.
+
+    Its size is fixed, so it may go to every task: a clear bit rules a key out, a set one does
+    not prove it. Spark sets the bits; at most ``2 ** bits / 64`` words reach the driver.
+    """
+    spot = F.pmod(F.col(column), F.lit(2**bits))
+    words = keys.where(F.col(column).isNotNull()).select(
+        F.shiftright(spot, 6).alias("word"), F.expr("1L").alias("one"), (spot % 64).cast("int").alias("bit"),
+    ).select("word", F.expr("shiftleft(one, bit)").alias("mask"))
+    found = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(max(1, 2**bits // 64), dtype=np.int64)
+    out[found["word"].to_numpy()] = found["mask"].to_numpy()
+    return out.tobytes()
+
+
+def in_map(values: np.ndarray, map_: bytes) -> np.ndarray:
+    """Whether each unsigned 64-bit number falls on a set bit of a :func:`bit_map`."""
+    words = np.frombuffer(map_, dtype=np.uint64)
+    spot = values & np.uint64(len(words) * 64 - 1)
+    return (words[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)
