@@ -26,7 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPAN = 50
 #: Units hashed at a time, and runs compared within a task before anything is shuffled.
-CHUNK, LOCAL_RUNS = 1_500_000, 800_000
+CHUNK, LOCAL_RUNS = 250_000, 800_000
 #: A name with more runs in one task than this is hot: its runs skip the name's group.
 HOT = 200
 #: Rows of one name held by a task; a longer group is decided window by window.

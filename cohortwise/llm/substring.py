@@ -89,8 +89,8 @@ def sequences(texts: DataFrame, places: DataFrame) -> DataFrame:
         out = [r for r in rows if r[1] != SEQUENCE or r[0] not in hot]
         out += [(name, MARK, 0, 0, 0, 0, b"") for name in hot]
         out += single_windows([r for r in rows if r[1] == SEQUENCE and r[0] in hot])
-        for at in range(0, len(out), 20_000):
-            yield as_batch(out[at:at + 20_000])
+        for at in range(0, len(out), 10_000):
+            yield as_batch(out[at:at + 10_000])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[Row] = []
@@ -121,7 +121,7 @@ def sequences(texts: DataFrame, places: DataFrame) -> DataFrame:
             for tie in seen - set(chunk.ties.tolist()):
                 del words[tie]
             seen = set(chunk.ties.tolist())
-            if len(rows) > 30_000:
+            if len(rows) > 10_000:
                 yield from deal(rows + settled)
                 rows, settled[:] = [], []
         if rows or settled:
