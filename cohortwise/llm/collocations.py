@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import sys
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
@@ -31,8 +31,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 SCALE, PART_OF = 1_000_000, 50
 UNKNOWN = "und"
-#: Words counted at a time in a task.
-CHUNK = 1_500_000
+#: Words read before they are counted, and distinct phrases and words held by a task.
+CHUNK, HELD, VOCABULARY = 250_000, 1_000_000, 400_000
+#: A phrase of up to three words is one number: so many bits a word.
+BITS = 21
 #: Bits of the maps of expanded prefixes and of open pairs; a map is a quarter of a megabyte.
 MAP_BITS = 21
 #: A round's threshold lets this many times the wanted pairs score; the factor grows by itself.
@@ -45,14 +47,52 @@ PIECES = bytes(10 if b in SEPARATORS else 32 if b == 9 else b for b in range(256
 BREAK = b"\n"
 
 
-class Chunk:
-    """Words of documents as numbers, by language; 0 stands between pieces."""
+class Held:
+    """Counts of phrases of one language and length: sorted numbers, and runs to be merged."""
 
     def __init__(self) -> None:
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.fresh = 0
+
+    def add(self, codes: np.ndarray) -> None:
+        found = np.unique(codes, return_counts=True)
+        self.runs.append(found)
+        self.fresh += len(found[0])
+        if self.fresh > max(100_000, len(self.runs[0][0]) // 2):
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.runs) > 1:
+            codes, n = (np.concatenate(x) for x in zip(*self.runs))
+            order = np.argsort(codes, kind="stable")
+            codes, n = codes[order], n[order]
+            first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+            self.runs = [(codes[first], np.add.reduceat(n, first))]
+        self.fresh = 0
+        return self.runs[0]
+
+    def size(self) -> int:
+        return sum(len(codes) for codes, _ in self.runs)
+
+
+class Task:
+    """Words of documents as numbers, by language, and the counts of their phrases.
+
+    ``phrases`` gives the phrases of a stream of numbers, in which 0 stands between pieces, as
+    (number of words, their numbers packed into one). Counts leave when too many are held.
+    """
+
+    def __init__(self, phrases: Callable[["Task", str, np.ndarray], Iterator[tuple[int, np.ndarray]]]) -> None:
+        self.phrases = phrases
+        self.clear()
+
+    def clear(self) -> None:
         self.numbers: dict[bytes, int] = defaultdict(count().__next__)
         self.numbers[BREAK]
         self.parts: dict[str, list[np.ndarray]] = {}
         self.size = 0
+        self.held: dict[tuple[str, int], Held] = defaultdict(Held)
+        self.hashes = np.zeros(0, dtype=np.uint64)
 
     def add(self, lang: str, text: str) -> None:
         # A break on both sides parts documents.
@@ -61,86 +101,80 @@ class Chunk:
         self.parts.setdefault(lang, []).append(np.array(words, dtype=np.int64))
         self.size += len(words)
 
-    def vocabulary(self) -> pa.Array:
-        return pa.array(list(self.numbers), pa.binary())
+    def hashed(self) -> np.ndarray:
+        """A 64-bit hash of every word met so far, as Spark's ``xxhash64`` gives it."""
+        if len(self.hashes) < len(self.numbers):
+            new = list(self.numbers)[len(self.hashes):]
+            more = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in new), dtype=np.uint64, count=len(new))
+            self.hashes = np.concatenate([self.hashes, more])
+        return self.hashes
 
-    def streams(self) -> Iterator[tuple[str, np.ndarray]]:
+    def tally(self) -> None:
         for lang, parts in self.parts.items():
-            yield lang, np.concatenate(parts)
-
-
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    """Chunks of the columns lang and text."""
-    chunk = Chunk()
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            chunk.add(lang, text.as_py())
-            if chunk.size >= CHUNK:
-                yield chunk
-                chunk = Chunk()
-    if chunk.size:
-        yield chunk
-
-
-def counted(lang: str, words: int, phrases: pa.Array, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(n), 100_000):
-        part = phrases.slice(at, 100_000).cast(pa.string())
-        yield pa.RecordBatch.from_arrays([
-            pa.array([lang] * len(part), pa.string()), pa.array(np.full(len(part), words, np.int32)), part,
-            pa.array(n[at:at + 100_000].astype(np.int64)),
-        ], ["lang", "words", "phrase", "n"])
-
-
-def joined(words: pa.Array, *numbers: np.ndarray) -> pa.Array:
-    return pc.binary_join_element_wise(*[words.take(pa.array(x)) for x in numbers], b" ")
-
-
-def pairs_of(stream: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs inside pieces, and a number for each pair."""
-    at = np.flatnonzero((stream[:-1] > 0) & (stream[1:] > 0))
-    return at, stream[at] * size + stream[at + 1]
-
-
-def count_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words and pairs of each chunk."""
-    for chunk in chunks(batches):
-        words = chunk.vocabulary()
-        for lang, stream in chunk.streams():
-            single = np.bincount(stream, minlength=len(words))
-            single[0] = 0
-            used = np.flatnonzero(single)
-            yield from counted(lang, 1, words.take(pa.array(used)), single[used])
-            codes, n = np.unique(pairs_of(stream, len(words))[1], return_counts=True)
-            yield from counted(lang, 2, joined(words, codes // len(words), codes % len(words)), n)
-
-
-def key_of(lang: Column, phrase: Column) -> Column:
-    return F.xxhash64(F.concat(lang, F.lit("\n"), phrase))
-
-
-def count_grown(
-    batches: Iterator[pa.RecordBatch], prefixes: bytes, ends: bytes,
-) -> Iterator[pa.RecordBatch]:
-    """Counts of the triples that start with an expanded prefix or end in an open pair."""
-    for chunk in chunks(batches):
-        words = chunk.vocabulary()
-        for lang, stream in chunk.streams():
-            at, codes = pairs_of(stream, len(words))
-            codes, which = np.unique(codes, return_inverse=True)
-            head = lang.encode() + b"\n"
-            keys = np.fromiter(
-                (xxhash.xxh64_intdigest(head + p, 42)
-                 for p in joined(words, codes // len(words), codes % len(words)).to_pylist()),
-                dtype=np.uint64, count=len(codes),
-            )
-            # Neighbouring pairs are a triple.
-            first = np.flatnonzero(at[1:] == at[:-1] + 1)
-            wanted = in_map(keys, prefixes)[which[first]] | in_map(keys, ends)[which[first + 1]]
-            first = first[wanted]
-            last = stream[at[first + 1] + 1]
-            triples, n = np.unique(which[first] * len(words) + last, return_counts=True)
-            head, last = codes[triples // len(words)], triples % len(words)
-            yield from counted(lang, 3, joined(words, head // len(words), head % len(words), last), n)
+            for words, codes in self.phrases(self, lang, np.concatenate(parts)):
+                if len(codes):
+                    self.held[lang, words].add(codes)
+        self.parts, self.size = {}, 0
+
+    def full(self) -> bool:
+        return len(self.numbers) > VOCABULARY or sum(h.size() for h in self.held.values()) > HELD
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        vocabulary = pa.array(list(self.numbers), pa.binary())
+        for (lang, words), held in self.held.items():
+            codes, n = held.merge()
+            for at in range(0, len(codes), 50_000):
+                part = codes[at:at + 50_000]
+                numbers = [part >> (BITS * k) & (2**BITS - 1) for k in reversed(range(words))]
+                phrase = pc.binary_join_element_wise(*[vocabulary.take(pa.array(x)) for x in numbers], b" ")
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * len(part), pa.string()), pa.array(np.full(len(part), words, np.int32)),
+                    phrase.cast(pa.string()), pa.array(n[at:at + 50_000].astype(np.int64)),
+                ], ["lang", "words", "phrase", "n"])
+        self.clear()
+
+    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of the columns lang and text."""
+        for batch in batches:
+            for lang, text in zip(batch.column(0), batch.column(1)):
+                self.add(lang.as_py(), text.as_py())
+                if self.size >= CHUNK or len(self.numbers) > VOCABULARY:
+                    self.tally()
+                    if self.full():
+                        yield from self.rows()
+        self.tally()
+        yield from self.rows()
+
+
+def short_phrases(task: Task, lang: str, stream: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Words and pairs."""
+    yield 1, stream[stream > 0]
+    first, second = stream[:-1], stream[1:]
+    inside = (first > 0) & (second > 0)
+    yield 2, first[inside] << BITS | second[inside]
+
+
+def key_of(lang: Column, first: Column, second: Column) -> Column:
+    """The number by which a pair is found in a bit map; :func:`grown_phrases` has the same."""
+    return F.xxhash64(lang).bitwiseXOR(F.xxhash64(first)).bitwiseXOR(F.shiftrightunsigned(F.xxhash64(second), 1))
+
+
+def grown_phrases(prefixes: bytes, ends: bytes) -> Callable:
+    """Triples that start with an expanded prefix or end in an open pair."""
+    def phrases(task: Task, lang: str, stream: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        first, second = stream[:-1], stream[1:]
+        inside = (first > 0) & (second > 0)
+        hashes = task.hashed()
+        keys = hashes[first] ^ (hashes[second] >> np.uint64(1)) ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), 42))
+        wanted = in_map(keys[:-1], prefixes) | in_map(keys[1:], ends)
+        at = np.flatnonzero(inside[:-1] & inside[1:] & wanted)
+        yield 3, stream[at] << (2 * BITS) | stream[at + 1] << BITS | stream[at + 2]
+
+    return phrases
+
+
+def count_phrases(phrases: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return lambda batches: Task(phrases).run(batches)
 
 
 def summed(rows: DataFrame, least: int | None = None) -> DataFrame:
@@ -192,7 +226,7 @@ def collocations(
         F.coalesce(F.col(quoted(lang)).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.col(quoted(text)).alias("text"),
     ).where(F.col("text") != "")
-    short = kept(summed(texts.mapInArrow(count_short, COUNTS)))
+    short = kept(summed(texts.mapInArrow(count_phrases(short_phrases), COUNTS)))
     totals = short.where("words = 1").groupBy("lang").agg(F.sum("n").alias("n"))
     single = short.where(f"words = 1 AND n >= {least}").select("lang", "phrase", "n")
     double = short.where(f"words = 2 AND n >= {least}").select("lang", "phrase", F.col("n").alias("a"))
@@ -206,7 +240,7 @@ def collocations(
         "lang", "phrase", "a", "l", "r", floored(score("a", "l", "r")).alias("score"),
         floored(F.struct((F.col("a").cast("decimal(19,0)") * F.lit(SCALE).cast("decimal(7,0)")).alias("top"),
                          F.col("l").cast("decimal(19,0)").alias("low"))).alias("bound"),
-        key_of(F.col("lang"), F.col("phrase")).alias("key"),
+        key_of(F.col("lang"), F.col("first"), F.col("last")).alias("key"),
     ))
     count_of = pairs.select("lang", F.col("phrase").alias("two"), F.col("a").alias("n"))
     wide, done, open_ = WIDTH, None, pairs
@@ -217,7 +251,7 @@ def collocations(
         ends = bit_map(frontier.where("score >= threshold"), "key", MAP_BITS)
         grown = texts.join(cuts.select("lang"), "lang", "left_semi") if done is not None else texts
         triples = kept(summed(grown.select("lang", "text").mapInArrow(
-            lambda batches, p=prefixes, e=ends: count_grown(batches, p, e), COUNTS
+            count_phrases(grown_phrases(prefixes, ends)), COUNTS
         ), least))
         split = triples.select(
             "lang", "phrase", F.col("n").alias("a"), part(1).alias("first"), part(3).alias("last"),

@@ -42,10 +42,11 @@ def found(df, *args):
     return sorted(map(tuple, collocations.collocations(df, *args).collect()))
 
 
-@pytest.mark.parametrize("width, limit, least, chunk", [(4, 2000, 10, 1_500_000), (1, 40, 3, 5000)])
-def test_against_plain_counting(spark, monkeypatch, width, limit, least, chunk):
+@pytest.mark.parametrize("width, limit, least, chunk, held", [(4, 2000, 10, 250_000, 1_000_000), (1, 40, 3, 5000, 9000)])
+def test_against_plain_counting(spark, monkeypatch, width, limit, least, chunk, held):
     monkeypatch.setattr(collocations, "WIDTH", width)
     monkeypatch.setattr(collocations, "CHUNK", chunk)
+    monkeypatch.setattr(collocations, "HELD", held)
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     want = plain([(r.lang, r.text) for r in docs.select("lang", "text").collect()], limit, least)
     assert found(docs, limit, least) == want and len(want) > 150
