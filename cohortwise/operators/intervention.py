@@ -33,7 +33,7 @@ def long_series(mart: DataFrame, day: str, metrics: Sequence[str], keys: Sequenc
     return wide.unpivot([*keys, "date"], list(metrics), "metric", "value")
 
 
-def _verdict() -> Column:
+def verdict() -> Column:
     return (
         F.when((F.col("ci_low") <= 0) & (F.col("ci_high") >= 0), UNCLEAR)
         .when(F.col("effect") > 0, GROWTH)
@@ -85,7 +85,7 @@ def mean_effect(
         .withColumn("ci_low", F.col("effect") - F.col("_margin"))
         .withColumn("ci_high", F.col("effect") + F.col("_margin"))
         .drop("_margin")
-        .withColumn("result", _verdict())
+        .withColumn("result", verdict())
     )
 
 
@@ -221,4 +221,4 @@ def level_effect(forecast: DataFrame, keys: Sequence[str] = ("metric",)) -> Data
         F.first("effect").alias("effect"),
         F.first("ci_low").alias("ci_low"),
         F.first("ci_high").alias("ci_high"),
-    ).withColumn("result", _verdict())
+    ).withColumn("result", verdict())

@@ -81,6 +81,13 @@ def activity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def spending(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases as money spent in the game."""
+    return events(spark, folder).where(F.col("event_type") == "purchase").select(
+        F.col("ts").alias("time"), "user_id", "value"
+    )
+
+
 def services(spark: SparkSession, folder: str) -> DataFrame:
     """Views and clicks belong to the feed, purchases above 100 to the messenger."""
     kind = F.col("event_type")

@@ -632,6 +632,33 @@ SELECT count(*) AS rollbacks, round(avg(depth), 4) AS mean_depth, round(count(re
   {", ".join(f"round(count(*) FILTER (WHERE time + INTERVAL {n} DAY <= e AND (next_time IS NULL OR next_time > time + INTERVAL {n} DAY)) / nullif(count(*) FILTER (WHERE time + INTERVAL {n} DAY <= e), 0), 4) AS churn_{n}d" for n in (1, 3, 7))},
   round(quantile_cont(depth, 0.95), 4) AS p95_depth, round(count(*) / (SELECT count(prev) FROM w), 4) AS frequency,
   round((SELECT sum(level - prev) FROM w) / (SELECT count(DISTINCT (user_id, CAST(time AS DATE))) FROM w), 4) AS net_progress_per_day FROM l"""
+CHAINS = f"""WITH {ORDERED}, w AS (
+  SELECT *, lag(level) OVER o AS prev, row_number() OVER o AS rn,
+         max(level) OVER (PARTITION BY user_id ORDER BY time, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
+  FROM activity WINDOW o AS (PARTITION BY user_id ORDER BY time, event_id)),
+f AS (SELECT *, coalesce(level < prev, false) AS drop, coalesce(level >= best, true) AS peak,
+  sum(CASE WHEN coalesce(level >= best, true) THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY rn) AS g FROM w),
+g AS (SELECT user_id, g, min(rn) AS begins, max(rn) AS ends, min(rn) FILTER (WHERE drop) AS opens, max(max(g)) OVER (PARTITION BY user_id) AS last
+  FROM f GROUP BY user_id, g),
+c AS (SELECT *, g < last AS won, ends - opens + (g < last)::INT AS tries, ends + 1 AS r FROM g WHERE opens IS NOT NULL),
+d AS (SELECT c.*, (SELECT min(f.rn) FROM f WHERE f.user_id = c.user_id AND f.rn > c.r AND f.drop) AS lost FROM c),
+e AS (SELECT d.*, won AND EXISTS (SELECT 1 FROM f WHERE f.user_id = d.user_id AND f.rn >= d.r AND f.rn < coalesce(d.lost, 1e9) AND f.level >= 95) AS done FROM d)
+"""
+ORACLE["retry_chains"] = f"""{CHAINS}, u AS (SELECT user_id, count(*) - 1 AS n, max(level) - min_by(level, rn) AS gained FROM f GROUP BY user_id)
+SELECT (SELECT count(*) FROM u) AS users, count(*) AS episodes, count(*) FILTER (WHERE tries > 0) AS retried, count(*) FILTER (WHERE won) AS recovered,
+  count(*) FILTER (WHERE done) AS completed, count(*) FILTER (WHERE NOT won) AS stuck_users, max(tries) AS longest_chain,
+  (SELECT CAST(sum(n) AS BIGINT) FROM u) AS attempts, round(count(*) FILTER (WHERE tries > 0) / count(*), 6) AS retry_share,
+  round(count(*) FILTER (WHERE won) / count(*) FILTER (WHERE tries > 0), 6) AS recovery_share,
+  round(count(*) FILTER (WHERE done) / count(*) FILTER (WHERE won), 6) AS completion_share,
+  round(sum(tries) FILTER (WHERE won) / count(*) FILTER (WHERE won), 6) AS attempts_to_recover,
+  round((SELECT sum(n) / sum(gained) FROM u), 6) AS attempts_per_level FROM e"""
+ORACLE["spend_after_rollback"] = f"""{CHAINS}, b AS (SELECT user_id, rn, time, (SELECT min(n.rn) FROM f n WHERE n.user_id = f.user_id AND n.rn > f.rn AND n.peak) IS NOT NULL AS won FROM f WHERE drop),
+s AS (SELECT b.user_id, b.rn, any_value(won) AS won, count(p.value) AS n, coalesce(sum(p.value), 0) AS spent FROM b LEFT JOIN events p
+  ON p.user_id = b.user_id AND p.event_type = 'purchase' AND p.ts > b.time AND p.ts <= b.time + INTERVAL 24 HOUR GROUP BY b.user_id, b.rn)
+SELECT count(*) AS rollbacks, count(*) FILTER (WHERE n > 0) AS paying_rollbacks, round(count(*) FILTER (WHERE n > 0) / count(*), 4) AS paying_share,
+  round(sum(n) / count(*), 4) AS purchases_per_rollback, round(sum(spent) / count(*), 4) AS spent_per_rollback,
+  round(count(*) FILTER (WHERE n > 0 AND won) / count(*) FILTER (WHERE n > 0), 4) AS recovered_share_paying,
+  round(count(*) FILTER (WHERE n = 0 AND won) / count(*) FILTER (WHERE n = 0), 4) AS recovered_share_others FROM s"""
 DID_METRICS = {"value": "value", "events": "events"}
 ORACLE["diff_in_diff"] = f"""WITH u AS (SELECT user_id, ts >= TIMESTAMP '{POST[0]} 00:00:00' AS post, sum(value) AS value, count(*) AS events,
   CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS testgroup FROM events GROUP BY ALL),

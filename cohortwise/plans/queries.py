@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructType
 from cohortwise.functions.columns import hash_bucket
 from cohortwise.operators import (
     bootstrap, charts, contingency, ctr, effects, engagement, experiment, intervention, marts,
-    quality, rank_tests, retention, segments,
+    progress, quality, rank_tests, retention, segments, structural,
 )
 from cohortwise.plans import inputs
 from cohortwise.session import configure, materialised
@@ -661,6 +661,18 @@ def intervention_daily(spark, folder):
     return tidy(forecast.select("event_type", "metric", "date", "actual", "predicted", "low", "high"), 4)
 
 
+@query("intervention_structural")
+def intervention_structural(spark, folder):
+    """Level, fading slope and weekly season; posterior draws, so there is no SQL."""
+    forecast = structural.structural_forecast(_mart_series(spark, folder), PRE, POST)
+    return tidy(structural.structural_effect(forecast), 4)
+
+
+@query("intervention_components")
+def intervention_components(spark, folder):
+    return tidy(structural.structural_components(_mart_series(spark, folder), (PRE[0], POST[1])), 4)
+
+
 # ---- chart data ----------------------------------------------------------------------------
 
 
@@ -744,6 +756,17 @@ def rollback(spark, folder):
     return tidy(engagement.rollback_metrics(inputs.activity(spark, folder), "level"), 4)
 
 
+@query("retry_chains")
+def retry_chains(spark, folder):
+    return tidy(progress.retry_chains(inputs.activity(spark, folder), "level", 95))
+
+
+@query("spend_after_rollback")
+def spend_after_rollback(spark, folder):
+    spend = inputs.spending(spark, folder)
+    return tidy(progress.spend_after_rollback(inputs.activity(spark, folder), "level", spend), 4)
+
+
 def _period_users(spark, folder) -> DataFrame:
     """Revenue per user before and after the start of the later period."""
     post = F.col("ts") >= F.lit(POST[0]).cast("timestamp_ntz")

@@ -25,7 +25,9 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE) == set(QUERIES)
+    # Posterior draws have no SQL; test_structural holds them against dense algebra.
+    assert set(QUERIES) - set(ORACLE) == {"intervention_structural", "intervention_components"}
+    assert set(ORACLE) <= set(QUERIES)
 
 
 def test_period_reaches_the_scan(spark):
