@@ -5,8 +5,9 @@ by batch: after h hashes with k matches the similarity has a Beta(k + 1, h - k +
 (uniform prior), and a pair is given up as soon as the posterior probability of reaching the
 similarity falls below the miss probability. What survives all batches is verified exactly, on
 whole sets. Documents with equal sets are one node. A bucket first compares its members with
-its first one and their neighbours; only where several components are left, pairs of different
-components are compared, in blocks of bounded size.
+its first one and their neighbours. Where several components are left, members of the smaller
+ones are compared with all others, in blocks of bounded size: first for the best partner of
+each, which joins nearly all of a family, at last for every partner in another component.
 """
 
 from __future__ import annotations
@@ -34,6 +35,12 @@ BATCH = 32
 MISS = 1e-6
 #: Members of a block when the components of a bucket are compared; verified sets a part.
 BLOCK, PART = 256, 2048
+#: Rounds between components: bands that take part, and partners told for each member (or all).
+ROUNDS = ((4, 1), (4, 1), (BANDS, None))
+#: Bits of the map of shingle parities: two maps differ in no more bits than their sets do.
+PARITY = 2048
+#: A sketch is 32-bit words: signature, map, and size of the set.
+SKETCH = HASHES + PARITY // 32 + 1
 #: Bits of the map of documents whose sets are needed; two megabytes.
 MAP_BITS = 24
 #: Shingles hashed at a time.
@@ -65,6 +72,12 @@ def signature(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
+def sketch(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> bytes:
+    odd = np.bincount((grams >> np.uint64(40)).astype(np.int64) % PARITY, minlength=PARITY) & 1
+    map_ = np.packbits(odd.astype(np.uint8)).tobytes()
+    return signature(grams, a, b).tobytes() + map_ + np.uint32(len(grams)).tobytes()
+
+
 def least_matches(similarity: float, miss: float) -> list[tuple[int, int]]:
     """After each batch: hashes compared, and the matches below which a pair is given up.
 
@@ -83,22 +96,39 @@ def least_matches(similarity: float, miss: float) -> list[tuple[int, int]]:
     return out
 
 
-def survives(x: np.ndarray, y: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
-    """Pairs of signature rows that no batch gives up."""
+def matched(x: np.ndarray, y: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
+    """Matching hashes of pairs of signature rows; -1 for pairs that a batch gives up."""
     alive = np.arange(len(x))
     matches = np.zeros(len(x), dtype=np.int64)
     for h, least in steps:
         part = slice(h - BATCH, h)
         matches[alive] += (x[alive, part] == y[alive, part]).sum(axis=1)
         alive = alive[matches[alive] >= least]
-    out = np.zeros(len(x), dtype=bool)
-    out[alive] = True
+    out = np.full(len(x), -1, dtype=np.int64)
+    out[alive] = matches[alive]
+    return out
+
+
+def compared(x: np.ndarray, y: np.ndarray, steps: list[tuple[int, int]], similarity: float) -> np.ndarray:
+    """:func:`matched` of sketches, and -1 also where sizes or parity maps rule the pair out.
+
+    Sets of sizes n and m at the similarity differ in at most (n + m)(1 - s) / (1 + s) shingles,
+    so these two tests give up no link.
+    """
+    n, m = x[:, -1].astype(np.int64), y[:, -1].astype(np.int64)
+    out = np.full(len(x), -1, dtype=np.int64)
+    fits = np.flatnonzero(np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9)
+    out[fits] = matched(x[fits], y[fits], steps)
+    left = np.flatnonzero(out >= 0)
+    apart = np.bitwise_count(x[left, HASHES:-1] ^ y[left, HASHES:-1]).sum(axis=1, dtype=np.int64)
+    far = apart > (n + m)[left] * (1 - similarity) / (1 + similarity) + 1e-6
+    out[left[far]] = -1
     return out
 
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
     """A 64-bit name for each band of each row."""
-    rows = signatures.reshape(len(signatures), BANDS, ROWS_A_BAND).astype(np.uint64)
+    rows = signatures[:, :HASHES].reshape(len(signatures), BANDS, ROWS_A_BAND).astype(np.uint64)
     out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2])
     for k in range(ROWS_A_BAND):
         out = (out ^ rows[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
@@ -107,21 +137,20 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def as_rows(blobs: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs.to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
+    return np.frombuffer(b"".join(blobs.to_pylist()), dtype=np.uint32).reshape(-1, SKETCH)
 
 
 def meetings(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Rows (key, order, id, n) sorted by key and order to rows (key, id, n, seq, a, b).
+    """Rows (key, order, id, n, band) sorted by key and order to rows (key, id, band, a, b).
 
-    Every member gets its number in its bucket, and a and b name its bucket's first member and
-    its predecessor where their sizes allow the similarity. A bucket's last row and first row
-    are all that is held.
+    a and b name the bucket's first member and the member before, where their sizes allow the
+    similarity. A bucket's last row and first row are all that is held.
     """
     first = previous = None  # key, seq, id, n
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, _, ids, n = (np.asarray(c).astype(np.int64) for c in batch.columns)
+        key, _, ids, n, band = (np.asarray(c).astype(np.int64) for c in batch.columns)
         new = np.ones(len(key), dtype=bool)
         new[1:] = key[1:] != key[:-1]
         goes_on = previous is not None and key[0] == previous[0]
@@ -140,42 +169,44 @@ def meetings(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
             return pa.array(other, mask=~ok)
 
         yield pa.RecordBatch.from_arrays([
-            pa.array(key), pa.array(ids), pa.array(n), pa.array(seq),
+            pa.array(key), pa.array(ids), pa.array(band),
             fits(begun, begun_n, seq > 0), fits(before, before_n, seq > 1),
-        ], ["key", "id", "n", "seq", "a", "b"])
+        ], ["key", "id", "band", "a", "b"])
         first = (key[-1], 0, int(begun[-1]), int(begun_n[-1])) if seq[-1] else (key[-1], 0, int(ids[-1]), int(n[-1]))
         previous = (key[-1], int(seq[-1]), int(ids[-1]), int(n[-1]))
 
 
-def pruned(batches: Iterator[pa.RecordBatch], steps: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, x, y) with signatures x and y to the pairs that survive."""
+def pruned(
+    batches: Iterator[pa.RecordBatch], steps: list[tuple[int, int]], similarity: float,
+) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, x, y) with sketches x and y to the pairs that survive."""
     for batch in batches:
         if batch.num_rows:
-            alive = survives(as_rows(batch.column(2)), as_rows(batch.column(3)), steps)
+            alive = compared(as_rows(batch.column(2)), as_rows(batch.column(3)), steps, similarity) >= 0
             yield pa.RecordBatch.from_arrays(
                 [c.filter(pa.array(alive)) for c in batch.columns[:2]], ["a", "b"]
             )
 
 
 def crossings(
-    batches: Iterator[pa.RecordBatch], similarity: float, steps: list[tuple[int, int]],
+    batches: Iterator[pa.RecordBatch], similarity: float, steps: list[tuple[int, int]], best: int | None,
 ) -> Iterator[pa.RecordBatch]:
-    """Rows (key, low, high, own, id, n, label, sig), sorted by the first four, to surviving pairs.
+    """Rows (key, block, part, minor, id, label, sketch), sorted by the first three, to pairs.
 
-    A group is two blocks of a bucket, ``low`` and ``high`` (or one with itself); pairs are of
-    different labels and lie across the blocks. A group holds at most two blocks.
+    A group is a block of a bucket and a part of the members outside its largest component;
+    these are compared with the block's members of other labels. ``best`` partners of each are
+    told, or all that survive. Only a group is held.
     """
     def group(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        own, ids, n, label = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(3, 7))
-        sig = np.frombuffer(b"".join(r[7] for r in rows), dtype=np.uint32).reshape(-1, HASHES)
-        low, high = rows[0][1], rows[0][2]
-        left = np.flatnonzero(own == low)
-        right = left if low == high else np.flatnonzero(own == high)
-        for i in left:
-            j = right[right > i]
-            j = j[label[j] != label[i]]
-            j = j[np.minimum(n[j], n[i]) >= similarity * np.maximum(n[j], n[i]) - 1e-9]
-            j = j[survives(sig[j], np.broadcast_to(sig[i], (len(j), HASHES)), steps)]
+        minor = np.array([r[3] for r in rows], dtype=bool)
+        ids, label = (np.array([r[i] for r in rows], dtype=np.int64) for i in (4, 5))
+        sketches = np.frombuffer(b"".join(r[6] for r in rows), dtype=np.uint32).reshape(-1, SKETCH)
+        others = np.flatnonzero(~minor)
+        for i in np.flatnonzero(minor):
+            j = others[label[others] != label[i]]
+            found = compared(np.broadcast_to(sketches[i], (len(j), SKETCH)), sketches[j], steps, similarity)
+            order = np.argsort(-found, kind="stable")[:best]
+            j = j[order[found[order] >= 0]]
             if len(j):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])),
@@ -192,6 +223,38 @@ def crossings(
         yield from group(held)
 
 
+def between_components(
+    met: DataFrame, labels: DataFrame, points: DataFrame, bands: int, similarity: float,
+    steps: list[tuple[int, int]], best: int | None,
+) -> DataFrame:
+    """Surviving pairs (a, b) of different labels that share a bucket of the first ``bands`` bands.
+
+    Members of a bucket's largest component travel once for each part of the others, those once
+    for each block, so a bucket of one family costs its size. Blocks and parts are dealt by hash.
+    """
+    named = met.where(F.col("band") < bands).select("key", "id").join(labels, "id", "left").select(
+        "key", "id", F.coalesce("label", "id").alias("label")
+    )
+    sizes = named.groupBy("key", "label").agg(F.count("*").alias("m")).groupBy("key").agg(
+        F.max_by("label", F.struct("m", "label")).alias("largest"), F.sum("m").alias("size"), F.max("m").alias("most"),
+    ).where("size > most").select(
+        "key", "largest", F.ceil(F.col("size") / BLOCK).alias("blocks"),
+        F.ceil((F.col("size") - F.col("most")) / BLOCK).alias("parts"),
+    )
+    every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    open_ = named.join(sizes, "key").join(points.select("id", "sig"), "id")
+    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts"))
+    members = open_.select("key", block.alias("block"), F.explode(every("parts")).alias("part"), F.lit(False).alias("minor"), "id", "label", "sig")
+    minors = open_.where("label <> largest").select(
+        "key", F.explode(every("blocks")).alias("block"), part.alias("part"), F.lit(True).alias("minor"), "id", "label", "sig"
+    )
+    dealt = members.union(minors).repartition(tasks(met.sparkSession), "key", "block", "part")
+    return dealt.sortWithinPartitions("key", "block", "part").mapInArrow(
+        lambda batches: crossings(batches, similarity, steps, best), "a long, b long"
+    ).distinct()
+
+
 def verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows (a, part, b, grams) sorted so that a's own set, with b null, comes first: links."""
     centre: tuple[int, int] | None = None
@@ -245,7 +308,7 @@ def near_dedup(
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array([len(g) for g in sets], pa.int64()),
                 pa.array([int(x[0]) for x in names], pa.int64()), pa.array([int(x[1]) for x in names], pa.int64()),
-                pa.array([signature(g, a, b).tobytes() if len(g) else b"" for g in sets], pa.binary()),
+                pa.array([sketch(g, a, b) if len(g) else b"" for g in sets], pa.binary()),
             ], ["doc_id", "tie", "n", "h1", "h2", "sig"])
 
     base = kept(texts.mapInArrow(describe, "doc_id long, tie long, n long, h1 long, h2 long, sig binary"))
@@ -260,41 +323,35 @@ def near_dedup(
             if batch.num_rows:
                 keys = band_keys(as_rows(batch.column(2))).view(np.int64)
                 repeat = lambda c: pa.array(np.repeat(np.asarray(c), BANDS))
+                band = pa.array(np.tile(np.arange(BANDS), batch.num_rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), repeat(batch.column(0)), repeat(batch.column(1))], ["key", "id", "n"]
+                    [pa.array(keys.ravel()), repeat(batch.column(0)), repeat(batch.column(1)), band],
+                    ["key", "id", "n", "band"],
                 )
 
-    rows = points.select("id", "n", "sig").mapInArrow(banded, "key long, id long, n long")
+    rows = points.select("id", "n", "sig").mapInArrow(banded, "key long, id long, n long, band long")
     # One order everywhere, so that a group of near copies has the same first member in its buckets.
-    rows = rows.select("key", F.xxhash64("id").alias("order"), "id", "n")
+    rows = rows.select("key", F.xxhash64("id").alias("order"), "id", "n", "band")
     met = kept(rows.repartition(tasks(spark), "key").sortWithinPartitions("key", "order", "id").mapInArrow(
-        lambda batches: meetings(batches, similarity), "key long, id long, n long, seq long, a long, b long"
+        lambda batches: meetings(batches, similarity), "key long, id long, band long, a long, b long"
     ))
     ordered = lambda x: F.struct(F.least(x, "id").alias("a"), F.greatest(x, "id").alias("b"))
     pairs = met.where("a IS NOT NULL").select(ordered("a").alias("p")).union(
         met.where("b IS NOT NULL").select(ordered("b").alias("p"))
     ).select("p.a", "p.b").where("a <> b").distinct()
     sig = lambda end, name: points.select(F.col("id").alias(end), F.col("sig").alias(name))
-    alive = kept(pairs.join(sig("a", "x"), "a").join(sig("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(
-        lambda batches: pruned(batches, steps), "a long, b long"
+    tested = kept(pairs.join(sig("a", "x"), "a").join(sig("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(
+        lambda batches: pruned(batches, steps, similarity), "a long, b long"
     ))
-    links = exact_links(texts, alive, shingle, percent)
+    links = exact_links(texts, tested, shingle, percent)
     labels = components(links)
-    named = met.select("key", "id", "n", "seq").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = named.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
-    ).where("low <> high AND size > 2").select("key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    open_ = named.join(mixed, "key").withColumn("own", F.floor(F.col("seq") / BLOCK))
-    spread = open_.join(points.select("id", "sig"), "id").select(
-        "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"), "own", "id", "n", "label", "sig"
-    ).select(
-        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "n", "label", "sig"
-    )
-    crossed = spread.repartition(tasks(spark), "key", "low", "high").sortWithinPartitions("key", "low", "high", "own").mapInArrow(
-        lambda batches: crossings(batches, similarity, steps), "a long, b long"
-    )
-    crossed = kept(crossed.distinct().join(alive, ["a", "b"], "left_anti"))
-    labels = components(links.union(exact_links(texts, crossed, shingle, percent)))
+    for bands, best in ROUNDS:
+        crossed = between_components(met, labels, points, bands, similarity, steps, best)
+        crossed = kept(crossed.join(tested, ["a", "b"], "left_anti"))
+        if crossed.isEmpty():
+            continue
+        tested, links = tested.union(crossed), links.union(exact_links(texts, crossed, shingle, percent))
+        labels = components(links)
     classes = points.join(labels, "id", "left").select(
         "h1", "h2", F.coalesce("label", "id").alias("label"), "first"
     )

@@ -91,10 +91,27 @@ def test_posterior_bounds():
         assert (draws >= 0.8).mean() < 2e-3
     x = rng.integers(0, 2**32, (3, minhash.HASHES), dtype=np.uint32)
     y = x.copy()
-    y[1, ::3] += 1  # two thirds agree
+    y[1, ::4] += 1  # three quarters agree
     y[2] += 1
-    assert minhash.survives(x, y, minhash.least_matches(0.8, 1e-6)).tolist() == [True, True, False]
-    assert minhash.survives(x, x, minhash.least_matches(0.8, 1e-6)).all()
+    assert minhash.matched(x, y, minhash.least_matches(0.8, 1e-6)).tolist() == [160, 120, -1]
+
+
+def test_no_link_is_ruled_out_by_size_or_parity():
+    a, b = minhash.multipliers()
+    rng = np.random.default_rng(4)
+    ruled_out = 0
+    for n in (5, 40, 150, 400, 3000):
+        for share in (0.5, 0.7, 0.76, 0.8, 0.82, 0.9):
+            pool = rng.integers(0, 2**63, 2 * n, dtype=np.uint64)
+            common = round(2 * n * share / (1 + share))
+            x, y = np.sort(pool[:n]), np.sort(np.concatenate([pool[:common], pool[n:2 * n - common]]))
+            both = [np.frombuffer(minhash.sketch(g, a, b), dtype=np.uint32)[None] for g in (x, y)]
+            every = [(h, 0) for h in range(32, 161, 32)]
+            got = minhash.compared(*both, every, 0.8)[0]
+            if common >= 0.8 * (len(x) + len(y) - common):
+                assert got >= 0
+            ruled_out += got < 0
+    assert ruled_out >= 8
 
 
 def test_signatures_estimate_similarity():
