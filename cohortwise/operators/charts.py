@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortwise.functions.columns import flag_sum, ratio
 from cohortwise.operators.ordering import exact_quantiles, running_counts
+from cohortwise.session import materialised
 
 
 def histogram(df: DataFrame, group: str, value: str, bins: int) -> DataFrame:
@@ -52,15 +53,15 @@ def box_numbers(df: DataFrame, group: str, value: str) -> DataFrame:
 
     The quartiles are one row per group; the second pass joins them to the values.
     """
-    quartiles = exact_quantiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    # Equal values are counted once; everything else reads these counts.
+    counts = materialised(df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("n")))
+    quartiles = exact_quantiles(counts, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, weight="n")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fenced = quartiles.select(
         group, "q1", "median", "q3", (F.col("q1") - reach).alias("_low"), (F.col("q3") + reach).alias("_high")
     )
     v = F.col(value)
     inside = (v >= F.col("_low")) & (v <= F.col("_high"))
-    # Equal values are counted once before the join, so a group never travels row by row.
-    counts = df.where(v.isNotNull()).groupBy(group, value).agg(F.count("*").alias("n"))
     return counts.join(fenced, group).groupBy(group, "q1", "median", "q3").agg(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),

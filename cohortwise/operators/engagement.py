@@ -15,6 +15,7 @@ from cohortwise.operators.ordering import exact_quantiles
 from cohortwise.operators.timeline import (
     CHUNK, carried, highest_before, lowest_after, next_time, previous, with_slice,
 )
+from cohortwise.session import materialised
 
 
 def event_reach(events: DataFrame, seen: str, started: str, month: int = 30) -> DataFrame:
@@ -50,7 +51,7 @@ def first_participation(events: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def _ordered(events: DataFrame, steps: Sequence[str], slices: int | None) -> DataFrame:
+def _ordered(events: DataFrame, steps: Sequence[str], slices: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Per user and time slice the events of the steps as sorted (time, step number).
 
     A list is no longer than a slice, whatever a user does. Of equal times the earlier step
@@ -58,33 +59,40 @@ def _ordered(events: DataFrame, steps: Sequence[str], slices: int | None) -> Dat
     """
     number = F.coalesce(*[F.when(F.col("event_type") == s, F.lit(i)) for i, s in enumerate(steps)])
     known = events.where(F.col("event_type").isin(list(steps)) & F.col("time").isNotNull())
-    cut = with_slice(known.select("user_id", "time", number.alias("step")), "time", slices)
-    return cut.groupBy("user_id", CHUNK).agg(
+    cut = with_slice(known.select("user_id", *by, "time", number.alias("step")), "time", slices)
+    return cut.groupBy("user_id", *by, CHUNK).agg(
         F.array_sort(F.collect_list(F.struct("time", "step"))).alias("events")
     )
 
 
-def funnel(events: DataFrame, steps: Sequence[str], slices: int | None = None) -> DataFrame:
+def funnel(
+    events: DataFrame, steps: Sequence[str], slices: int | None = None, by: Sequence[str] = (),
+    reward: str | None = None,
+) -> DataFrame:
     """Users per step, conversion from the step before and from the start, and drop-off.
 
-    A step is reached at its first event at or after the time the step before it was reached.
+    ``by`` names columns that do not change within a user, such as a channel; there is a funnel
+    for each of their values. ``reward`` adds the share of the users of the first step who
+    finish and have an event of that type at or after the last step. A step is reached at its first event at or after the time the step before it was reached.
     Every slice of a user's time maps the steps done before it to the steps done after it;
     the maps of a user, one per slice, are then applied in order.
     """
-    count = len(steps)
-    if len(set(steps)) < count:
+    count, by = len(steps), list(by)
+    if len({*steps, *([reward] if reward else [])}) < count + bool(reward):
         raise ValueError("steps of a funnel are distinct")
+    if reward:
+        return _rewarded(events, steps, reward, slices, by)
     entered = F.sequence(F.lit(0), F.lit(count))
     done = F.aggregate(
         "events", entered,
         lambda state, e: F.transform(state, lambda s: s + (s == e["step"]).cast("int")),
     )
-    maps = _ordered(events, steps, slices).select("user_id", CHUNK, done.alias("map"))
-    ordered = maps.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct(CHUNK, "map"))).alias("maps"))
+    maps = _ordered(events, steps, slices, by).select("user_id", *by, CHUNK, done.alias("map"))
+    ordered = maps.groupBy("user_id", *by).agg(F.array_sort(F.collect_list(F.struct(CHUNK, "map"))).alias("maps"))
     reached = ordered.select(
-        F.aggregate("maps", F.lit(0), lambda s, m: F.element_at(m["map"], s + 1)).alias("reached")
+        *by, F.aggregate("maps", F.lit(0), lambda s, m: F.element_at(m["map"], s + 1)).alias("reached")
     )
-    counts = reached.agg(*[F.count_if(F.col("reached") > i).alias(f"c{i}") for i in range(count)])
+    counts = reached.groupBy(*by).agg(*[F.count_if(F.col("reached") > i).alias(f"c{i}") for i in range(count)])
     rows = F.array(
         *[
             F.struct(
@@ -98,7 +106,19 @@ def funnel(events: DataFrame, steps: Sequence[str], slices: int | None = None) -
             for i, name in enumerate(steps)
         ]
     )
-    return counts.select(F.inline(rows))
+    return counts.select(*by, F.inline(rows))
+
+
+def _rewarded(
+    events: DataFrame, steps: Sequence[str], reward: str, slices: int | None, by: list[str],
+) -> DataFrame:
+    """The funnel with the reward as a step of its own, told as a share beside every step."""
+    whole = funnel(events, [*steps, reward], slices, by)
+    last = whole.where(F.col("step") == len(steps) + 1).select(*by, F.col("from_start").alias("reward_share"))
+    steps_ = whole.where(F.col("step") <= len(steps))
+    # One row per segment.
+    joined = steps_.join(last, by) if by else steps_.withColumn("reward_share", last.select("reward_share").scalar())
+    return joined.select(*by, "step", "name", "users", "from_previous", "from_start", "dropped", "reward_share")
 
 
 def time_to_step(
@@ -149,13 +169,14 @@ def time_to_step(
     users = parts.groupBy("user_id").agg(F.array_sort(F.collect_list("part")).alias("parts")).select(
         F.aggregate("parts", nothing, read).alias("u")
     ).where(F.col("u.goal").isNotNull())
-    per_user = users.select(
+    # Read for the means, the cut points and both medians.
+    per_user = materialised(users.select(
         (F.timestamp_diff("MICROSECOND", F.col("u.t0"), F.col("u.goal")) / F.lit(1e6)).alias("seconds"),
         F.col("u.attempts").alias("attempts"),
-    )
-    # Counts per distinct value, so the medians need no cut points.
+    ))
+    # Nearly every user has a time of their own, so times are ranked in slices.
     medians = [
-        exact_quantiles(per_user, [], c, {"median": 0.5}, slices=1).scalar().alias(f"median_{c}")
+        exact_quantiles(per_user, [], c, {"median": 0.5}, slices=slices).scalar().alias(f"median_{c}")
         for c in ("seconds", "attempts")
     ]
     return per_user.agg(

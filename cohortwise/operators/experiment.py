@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortwise.functions.columns import flag_sum, ratio, recode, round_half_even
 from cohortwise.operators.ordering import exact_quantiles
+from cohortwise.session import materialised
 from cohortwise.sources import schemas
 from cohortwise.sources.readers import read_by_position, read_delimited
 
@@ -187,17 +188,20 @@ def payer_statistics(users: DataFrame, group: str, revenue: str) -> DataFrame:
 
 def price_by(transactions: DataFrame, keys: Sequence[str], user: str = "uid", revenue: str = "revenue") -> DataFrame:
     """Purchases, distinct buyers, median and mean price per key."""
-    keyed = transactions.dropna(subset=list(keys))
-    # Per buyer first, so that the distinct count needs no second copy of the rows.
-    buyers = keyed.groupBy(*keys, user).agg(
-        F.count("*").alias("n"), F.sum(revenue).alias("s"), F.count(revenue).alias("k")
+    # Rows of one buyer and price are counted once; the source is read for nothing else.
+    prices = materialised(
+        transactions.dropna(subset=list(keys)).groupBy(*keys, user, revenue).agg(F.count("*").alias("n"))
+    )
+    buyers = prices.groupBy(*keys, user).agg(
+        F.sum("n").alias("n"), F.sum(F.col(revenue) * F.col("n")).alias("s"),
+        F.sum(F.when(F.col(revenue).isNotNull(), F.col("n"))).alias("k"),
     )
     reduced = buyers.groupBy(*keys).agg(
         F.sum("n").alias("purchases"),
         F.count(user).alias("buyers"),
         ratio(F.sum("s"), F.sum("k")).alias("mean_revenue"),
     )
-    medians = exact_quantiles(keyed, keys, revenue, {"median_revenue": 0.5})
+    medians = exact_quantiles(prices, keys, revenue, {"median_revenue": 0.5}, weight="n")
     return reduced.join(medians, list(keys), "left")
 
 

@@ -20,6 +20,26 @@ def new_entities(events: DataFrame, entity: str, ts: str, name: str = "new_posts
     return first.groupBy(F.to_date("_first").alias("date")).agg(F.count("*").alias(name))
 
 
+def daily_users(actions: DataFrame, like: str = "like", view: str = "view") -> DataFrame:
+    """Per day: dau, likes and views, counted per user first."""
+    users = actions.groupBy(F.to_date("time").alias("date"), "user_id").agg(
+        flag_sum(F.col("action") == like).alias("likes"),
+        flag_sum(F.col("action") == view).alias("views"),
+    )
+    return users.groupBy("date").agg(
+        F.count("user_id").alias("dau"),
+        F.sum("likes").alias("likes"),
+        F.sum("views").alias("views"),
+    )
+
+
+def posts_by_day(actions: DataFrame, view: str = "view") -> DataFrame:
+    """One row per day and post: whether it was viewed."""
+    return actions.where(F.col("post_id").isNotNull()).groupBy(F.to_date("time").alias("date"), "post_id").agg(
+        F.max((F.col("action") == view).cast("int")).alias("viewed")
+    )
+
+
 def daily_mart(
     actions: DataFrame, before: str | None = None, like: str = "like", view: str = "view"
 ) -> DataFrame:
@@ -30,21 +50,10 @@ def daily_mart(
     distinct count. ``before`` drops an incomplete last day.
     """
     kept = actions if before is None else actions.where(F.col("time") < F.lit(before).cast("timestamp_ntz"))
-    day = F.to_date("time").alias("date")
-    users = kept.groupBy(day, "user_id").agg(
-        flag_sum(F.col("action") == like).alias("likes"),
-        flag_sum(F.col("action") == view).alias("views"),
-    )
-    daily = users.groupBy("date").agg(
-        F.count("user_id").alias("dau"),
-        F.sum("likes").alias("likes"),
-        F.sum("views").alias("views"),
-    )
+    daily = daily_users(kept, like, view)
     # The post pass answers both post questions: viewed on the day, and first day ever.
     # A post has at most one row per day here, so its window is as long as the calendar.
-    posts = kept.where(F.col("post_id").isNotNull()).groupBy(day, "post_id").agg(
-        F.max((F.col("action") == view).cast("int")).alias("viewed")
-    )
+    posts = posts_by_day(kept, view)
     first_day = F.min("date").over(W.partitionBy("post_id"))
     by_day = posts.withColumn("is_new", F.col("date") == first_day).groupBy("date").agg(
         F.coalesce(F.sum("viewed"), F.lit(0)).alias("unique_viewed_posts"),

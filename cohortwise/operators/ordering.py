@@ -43,10 +43,11 @@ def sliced(df: DataFrame, value: str, points: Sequence[float]) -> DataFrame:
 
 def running_counts(
     df: DataFrame, keys: Sequence[str], value: str,
-    extra: Mapping[str, Column] | None = None, slices: int | None = None,
+    extra: Mapping[str, Column] | None = None, slices: int | None = None, weight: str | None = None,
 ) -> DataFrame:
     """Per key and distinct value: ``n`` rows, ``running`` rows up to it, ``total`` rows.
 
+    ``weight`` names a column of row counts where rows are counted already.
     ``extra`` adds aggregates per distinct value. Null keys and missing values are left out.
     One slice is for values known to have few distinct ones: it needs no cutting.
     """
@@ -58,7 +59,7 @@ def running_counts(
     present = df.where(known)
     names = [*keys, value, "n", "running", "total", *(extra or {})]
     counts = present.groupBy(*keys, value).agg(
-        F.count("*").alias("n"), *[column.alias(name) for name, column in (extra or {}).items()]
+        (F.sum(weight) if weight else F.count("*")).alias("n"), *[column.alias(name) for name, column in (extra or {}).items()]
     )
     if slices == 1:
         upto = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -107,7 +108,7 @@ def at_index(value: str, q: float) -> Column:
 
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float],
-    by_index: bool = False, slices: int | None = None,
+    by_index: bool = False, slices: int | None = None, weight: str | None = None,
 ) -> DataFrame:
     """Exact quantiles per key, one named column each.
 
@@ -115,7 +116,7 @@ def exact_quantiles(
     Without keys the result is one row.
     """
     rule = at_index if by_index else interpolated
-    counted = running_counts(df, keys, value, slices=slices)
+    counted = running_counts(df, keys, value, slices=slices, weight=weight)
     columns = [rule(value, q).alias(name) for name, q in quantiles.items()]
     return counted.groupBy(*keys).agg(*columns)
 

@@ -198,3 +198,70 @@ def require_zero(checks: DataFrame, columns: Sequence[str]) -> None:
     if failed:
         listing = ", ".join(f"{name} = {value}" for name, value in failed.items())
         raise ValueError(f"data checks failed: {listing}")
+
+
+#: How sure the order of ids must be: correlation of ids and dates, and its lead.
+ALIKE, LEAD = 0.9, 0.05
+DAY_FIRST, MONTH_FIRST, UNDECIDED = "day first", "month first", "undecided"
+
+
+def _date_of(text: Column, day: int, month: int) -> Column:
+    """Date of ``a.b.yyyy`` text (also ``/`` or ``-``); null where it is none."""
+    part = lambda k: F.lpad(F.regexp_extract(text, r"^\s*(\d{1,2})[./-](\d{1,2})[./-](\d{4})", k), 2, "0")
+    year = F.regexp_extract(text, r"^\s*\d{1,2}[./-]\d{1,2}[./-](\d{4})", 1)
+    return F.try_to_date(F.concat_ws("-", year, part(month), part(day)), "yyyy-MM-dd")
+
+
+def date_orders(rows: DataFrame, file: str, text: str, number: str) -> DataFrame:
+    """Whether day or month comes first, per file, from what the dates and their numbers say.
+
+    A number over 12 in one place proves the order. A file with proofs of one kind has that
+    order; a file with proofs of both is undecided. Without a proof, dates that rise with the
+    payment numbers under one order alone decide: their correlation is at least ``ALIKE`` and
+    leads the other's by ``LEAD``. Files are one aggregate each; the result has one row a file.
+    Null files form no group.
+    """
+    day_first, month_first = _date_of(F.col(text), 1, 2), _date_of(F.col(text), 2, 1)
+    read = rows.where(F.col(file).isNotNull()).select(
+        F.col(file).alias("file"), F.col(number).cast("double").alias("number"),
+        day_first.alias("d"), month_first.alias("m"), F.col(text).isNotNull().alias("told"),
+    )
+    days = lambda c: F.when(F.col("d").isNotNull() & F.col("m").isNotNull(), F.unix_date(c)).cast("double")
+    found = read.groupBy("file").agg(
+        F.count_if("told").alias("dates"), F.count_if(F.col("d").isNull() & F.col("m").isNull() & F.col("told")).alias("unreadable"),
+        F.count_if(F.col("d").isNotNull() & F.col("m").isNull()).alias("day_proofs"),
+        F.count_if(F.col("d").isNull() & F.col("m").isNotNull()).alias("month_proofs"),
+        F.corr("number", days("d")).alias("day_fit"), F.corr("number", days("m")).alias("month_fit"),
+    )
+    proof = lambda c: F.col(f"{c}_proofs") > 0
+    fits = lambda a, b: (F.col(a) >= ALIKE) & (F.col(a) >= F.coalesce(F.col(b), F.lit(-1.0)) + LEAD)
+    none = ~proof("day") & ~proof("month")
+    order = (
+        F.when(proof("day") & ~proof("month"), DAY_FIRST).when(proof("month") & ~proof("day"), MONTH_FIRST)
+        .when(none & fits("day_fit", "month_fit"), DAY_FIRST).when(none & fits("month_fit", "day_fit"), MONTH_FIRST)
+        .otherwise(UNDECIDED)
+    )
+    return found.withColumn("order", order)
+
+
+def dated(rows: DataFrame, orders: DataFrame, file: str, text: str, into: str = "date") -> DataFrame:
+    """Adds the date under the file's order. Of an undecided file only dates that read the same
+    under both orders are told; all others stay null, to be counted, not guessed."""
+    d, m = _date_of(F.col(text), 1, 2), _date_of(F.col(text), 2, 1)
+    # One row per file.
+    joined = rows.join(orders.select(F.col("file").alias(file), F.col("order").alias("_order")), file, "left")
+    value = (
+        F.when(F.col("_order") == DAY_FIRST, d).when(F.col("_order") == MONTH_FIRST, m).otherwise(F.when(d == m, d))
+    )
+    return joined.withColumn(into, value).select(*rows.columns, into)
+
+
+def date_order_report(rows: DataFrame, file: str, text: str, number: str) -> DataFrame:
+    """Per file: its order, what decided it, and how many dates could be told."""
+    orders = date_orders(rows, file, text, number)
+    told = dated(rows, orders, file, text, "_date").where(F.col(file).isNotNull()).groupBy(F.col(file).alias("file")).agg(
+        F.count("_date").alias("told")
+    )
+    return orders.join(told, "file").select(
+        "file", "order", "dates", "told", "unreadable", "day_proofs", "month_proofs", "day_fit", "month_fit"
+    )

@@ -88,6 +88,24 @@ def spending(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dated_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as payments of five files that write dates as text in their own ways.
+
+    0 and 1 have one order each, 2 and 3 the same with early days of the month alone, of which
+    3 has numbers that follow no date, and 4 mixes both.
+    """
+    orders = table(spark, folder, "orders")
+    kind, day = F.pmod("o_custkey", F.lit(5)), F.dayofmonth("o_orderdate")
+    month_first = (kind == 1) | (kind == 4) & (F.pmod("o_orderkey", F.lit(2)) == 0)
+    text = F.when(month_first, F.date_format("o_orderdate", "MM/dd/yyyy")).otherwise(F.date_format("o_orderdate", "dd.MM.yyyy"))
+    early = ~kind.isin(2, 3) | (day <= 12)
+    number = F.when(kind == 3, F.col("o_orderkey")).otherwise(F.unix_date(F.to_date("o_orderdate")))
+    return orders.select(
+        F.concat(F.lit("file_"), kind.cast("string")).alias("file"), number.cast("long").alias("payment_id"),
+        F.when(early, text).alias("paid_at"),
+    )
+
+
 def services(spark: SparkSession, folder: str) -> DataFrame:
     """Views and clicks belong to the feed, purchases above 100 to the messenger."""
     kind = F.col("event_type")

@@ -659,6 +659,70 @@ SELECT count(*) AS rollbacks, count(*) FILTER (WHERE n > 0) AS paying_rollbacks,
   round(sum(n) / count(*), 4) AS purchases_per_rollback, round(sum(spent) / count(*), 4) AS spent_per_rollback,
   round(count(*) FILTER (WHERE n > 0 AND won) / count(*) FILTER (WHERE n > 0), 4) AS recovered_share_paying,
   round(count(*) FILTER (WHERE n = 0 AND won) / count(*) FILTER (WHERE n = 0), 4) AS recovered_share_others FROM s"""
+LIVES = """WITH l AS (SELECT user_id, CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS arm, min(CAST(ts AS DATE)) AS born, max(CAST(ts AS DATE)) AS last
+  FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-27' GROUP BY ALL),
+lives AS (SELECT *, DATE '2024-01-27' - last > 2 AS gone, DATE '2024-01-27' - born AS seen,
+  CASE WHEN DATE '2024-01-27' - last > 2 THEN last - born ELSE DATE '2024-01-27' - born END AS age FROM l),
+sets AS (SELECT arm, age, count(*) FILTER (WHERE gone) AS leavers, count(*) FILTER (WHERE NOT gone) AS censored,
+  (SELECT count(*) FROM lives x WHERE x.arm = lives.arm AND x.age >= lives.age) AS at_risk FROM lives GROUP BY arm, age)"""
+ORACLE["survival"] = f"""{LIVES}, p AS (SELECT a.*, (SELECT product(1 - b.leavers / b.at_risk) FROM sets b WHERE b.arm = a.arm AND b.age <= a.age) AS s,
+  (SELECT coalesce(sum(b.leavers / (b.at_risk * (b.at_risk - b.leavers))) FILTER (WHERE b.leavers < b.at_risk), 0) FROM sets b WHERE b.arm = a.arm AND b.age <= a.age) AS v FROM sets a)
+SELECT arm, CAST(age AS BIGINT) AS age, at_risk, leavers, censored, round(s, 6) AS survival, round(s * sqrt(v), 6) AS se FROM p"""
+ORACLE["log_rank"] = f"""{LIVES}, ages AS (SELECT DISTINCT age FROM lives),
+r AS (SELECT ages.age, count(*) FILTER (WHERE arm = 'a' AND gone AND l.age = ages.age) AS dc, count(*) FILTER (WHERE arm = 'b' AND gone AND l.age = ages.age) AS dt,
+  count(*) FILTER (WHERE arm = 'a') AS nc, count(*) FILTER (WHERE arm = 'b') AS nt FROM ages JOIN lives l ON l.age >= ages.age GROUP BY 1),
+s AS (SELECT CAST(sum(dt) AS BIGINT) AS observed, sum((dc + dt) * nt / (nc + nt)) AS expected,
+  sum(CASE WHEN nc + nt > 1 THEN (dc + dt) * (nt / (nc + nt)) * (nc / (nc + nt)) * (nc + nt - dc - dt) / (nc + nt - 1) ELSE 0 END) AS variance FROM r)
+SELECT observed, round(expected, 6) AS expected, round(variance, 6) AS variance, round((observed - expected) / sqrt(variance), 6) AS z,
+  round({normal_tails('((observed - expected) / sqrt(variance))')}, 6) AS p_value FROM s"""
+ORACLE["lifetime_value"] = f"""{LIVES}, h AS (SELECT unnest([0, 7, 14, 25]) AS day), g AS (SELECT unnest(range(0, 26)) AS age),
+w AS (SELECT arm, g.age, count(*) AS users, count(*) FILTER (WHERE seen >= g.age) AS observed FROM lives CROSS JOIN g GROUP BY ALL),
+v AS (SELECT l.user_id, l.arm, h.day, coalesce(sum(e.value * w.users / w.observed), 0) AS v FROM lives l CROSS JOIN h
+  LEFT JOIN events e ON e.user_id = l.user_id AND e.event_type = 'purchase' AND CAST(e.ts AS DATE) - l.born BETWEEN 0 AND least(h.day, l.seen)
+  LEFT JOIN w ON w.arm = l.arm AND w.age = CAST(e.ts AS DATE) - l.born GROUP BY ALL)
+SELECT v.arm, CAST(v.day AS BIGINT) AS day, count(*) AS users, any_value(w.observed) AS observed,
+  CASE WHEN any_value(w.observed) > 0 THEN round(avg(v), 4) END AS ltv, CASE WHEN any_value(w.observed) > 0 THEN round(stddev_samp(v) / sqrt(count(*)), 4) END AS se
+FROM v JOIN w ON w.arm = v.arm AND w.age = v.day GROUP BY v.arm, v.day"""
+ORACLE["stratified_assignment"] = f"""WITH {EXPERIMENT}, u AS (SELECT uid, country, gender,
+  row_number() OVER (PARTITION BY country, gender ORDER BY md5('7|' || uid::VARCHAR), uid) - 1 AS r FROM experiment)
+SELECT uid, country, gender, CASE WHEN r % 3 < 2 THEN 'control' ELSE 'test' END AS arm FROM u"""
+TAILS = f"""WITH {EXPERIMENT}, x AS (SELECT "group" AS g, coalesce(total_revenue, 0) AS x FROM experiment),
+r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY x DESC) AS rank FROM x WHERE x > 0), k AS (SELECT unnest([0, 1, 5, 10, 50, 100]) AS k),
+t AS (SELECT g, count(*) AS users, sum(x) AS total, count(*) FILTER (WHERE x > 0) AS payers FROM x GROUP BY g),
+c AS (SELECT t.*, k, coalesce((SELECT sum(x) FROM r WHERE r.g = t.g AND rank <= k), 0) AS gone,
+  (SELECT sum(ln(r.x / n.x)) FROM r, r n WHERE r.g = t.g AND n.g = t.g AND n.rank = k + 1 AND r.rank <= k) AS logs FROM t CROSS JOIN k)"""
+ORACLE["tail_check"] = f"""{TAILS} SELECT g AS "group", CAST(k AS BIGINT) AS removed, users, payers,
+  CASE WHEN payers >= k THEN round(gone / total, 6) END AS removed_share, CASE WHEN payers >= k THEN round((total - gone) / (users - k), 6) END AS mean_left,
+  CASE WHEN payers > k AND k > 0 THEN round(k / nullif(logs, 0), 6) END AS hill_index FROM c"""
+ORACLE["tail_effect"] = f"""{TAILS}, m AS (SELECT k, max((total - gone) / (users - k)) FILTER (WHERE g = 'control_1' AND payers >= k) AS a,
+  max((total - gone) / (users - k)) FILTER (WHERE g = 'test' AND payers >= k) AS b FROM c GROUP BY k)
+SELECT CAST(k AS BIGINT) AS removed, round(a, 6) AS mean_control, round(b, 6) AS mean_test, round(b - a, 6) AS effect, round((b - a) / a * 100, 6) AS effect_pct FROM m"""
+ORACLE["funnel_by"] = """WITH u AS (SELECT DISTINCT user_id, CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS arm FROM events),
+a AS (SELECT user_id, min(ts) AS t FROM events WHERE event_type = 'view' GROUP BY 1),
+b AS (SELECT e.user_id, min(ts) AS t FROM events e JOIN a USING (user_id) WHERE event_type = 'click' AND ts >= a.t GROUP BY 1),
+c AS (SELECT e.user_id, min(ts) AS t FROM events e JOIN b USING (user_id) WHERE event_type = 'purchase' AND ts >= b.t GROUP BY 1),
+d AS (SELECT e.user_id, min(ts) AS t FROM events e JOIN c USING (user_id) WHERE event_type = 'signup' AND ts >= c.t GROUP BY 1),
+n AS (SELECT arm, count(a.user_id) AS n1, count(b.user_id) AS n2, count(c.user_id) AS n3, count(d.user_id) AS n4
+  FROM u LEFT JOIN a USING (user_id) LEFT JOIN b USING (user_id) LEFT JOIN c USING (user_id) LEFT JOIN d USING (user_id) GROUP BY arm)
+SELECT arm, CAST(1 AS BIGINT) AS step, 'view' AS name, n1 AS users, CAST(1 AS DOUBLE) AS from_previous, CAST(1 AS DOUBLE) AS from_start, CAST(0 AS BIGINT) AS dropped, round(n4 / n1, 6) AS reward_share FROM n
+UNION ALL SELECT arm, 2, 'click', n2, round(n2 / n1, 6), round(n2 / n1, 6), n1 - n2, round(n4 / n1, 6) FROM n
+UNION ALL SELECT arm, 3, 'purchase', n3, round(n3 / n2, 6), round(n3 / n1, 6), n2 - n3, round(n4 / n1, 6) FROM n"""
+ORACLE["daily_mart_incremental"] = ORACLE["daily_mart"]
+ORACLE["dq_date_order"] = """WITH r AS (SELECT o_custkey % 5 AS k, CASE WHEN o_custkey % 5 = 3 THEN o_orderkey ELSE CAST(o_orderdate AS DATE) - DATE '1970-01-01' END AS number,
+  CAST(o_orderdate AS DATE) AS t, o_custkey % 5 = 1 OR (o_custkey % 5 = 4 AND o_orderkey % 2 = 0) AS swapped FROM orders),
+s AS (SELECT 'file_' || k AS file, number, k, CASE WHEN swapped THEN month(t) ELSE day(t) END AS a, CASE WHEN swapped THEN day(t) ELSE month(t) END AS b, year(t) AS y
+  FROM r WHERE k NOT IN (2, 3) OR day(t) <= 12),
+p AS (SELECT *, TRY_CAST(y || '-' || lpad(b::VARCHAR, 2, '0') || '-' || lpad(a::VARCHAR, 2, '0') AS DATE) AS d,
+  TRY_CAST(y || '-' || lpad(a::VARCHAR, 2, '0') || '-' || lpad(b::VARCHAR, 2, '0') AS DATE) AS m FROM s),
+f AS (SELECT file, count(*) AS dates, count(*) FILTER (WHERE d IS NULL AND m IS NULL) AS unreadable, count(*) FILTER (WHERE d IS NOT NULL AND m IS NULL) AS day_proofs,
+  count(*) FILTER (WHERE d IS NULL AND m IS NOT NULL) AS month_proofs,
+  corr(number, d - DATE '1970-01-01') FILTER (WHERE d IS NOT NULL AND m IS NOT NULL) AS df, corr(number, m - DATE '1970-01-01') FILTER (WHERE d IS NOT NULL AND m IS NOT NULL) AS mf,
+  count(d) AS n_d, count(m) AS n_m, count(*) FILTER (WHERE d = m) AS n_same FROM p GROUP BY file),
+o AS (SELECT *, CASE WHEN day_proofs > 0 AND month_proofs = 0 THEN 'day first' WHEN month_proofs > 0 AND day_proofs = 0 THEN 'month first'
+  WHEN day_proofs + month_proofs = 0 AND df >= 0.9 AND df >= mf + 0.05 THEN 'day first' WHEN day_proofs + month_proofs = 0 AND mf >= 0.9 AND mf >= df + 0.05 THEN 'month first'
+  ELSE 'undecided' END AS ord FROM f)
+SELECT file, ord AS "order", dates, CASE ord WHEN 'day first' THEN n_d WHEN 'month first' THEN n_m ELSE n_same END AS told, unreadable, day_proofs, month_proofs,
+  round(df, 6) AS day_fit, round(mf, 6) AS month_fit FROM o"""
 DID_METRICS = {"value": "value", "events": "events"}
 ORACLE["diff_in_diff"] = f"""WITH u AS (SELECT user_id, ts >= TIMESTAMP '{POST[0]} 00:00:00' AS post, sum(value) AS value, count(*) AS events,
   CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS testgroup FROM events GROUP BY ALL),

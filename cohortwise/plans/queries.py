@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -10,11 +11,11 @@ from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from cohortwise.functions.columns import hash_bucket
 from cohortwise.operators import (
-    bootstrap, charts, contingency, ctr, effects, engagement, experiment, intervention, marts,
-    progress, quality, rank_tests, retention, segments, structural,
+    assignment, bootstrap, charts, contingency, ctr, effects, engagement, experiment, incremental, intervention, lifetime, marts,
+    progress, quality, rank_tests, retention, segments, structural, tails,
 )
 from cohortwise.plans import inputs
-from cohortwise.session import configure, materialised
+from cohortwise.session import configure, materialised, shared_folder
 from cohortwise.sources.readers import parse_delimited, tag_union
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -767,6 +768,68 @@ def spend_after_rollback(spark, folder):
     return tidy(progress.spend_after_rollback(inputs.activity(spark, folder), "level", spend), 4)
 
 
+@query("daily_mart_incremental")
+def daily_mart_incremental(spark, folder):
+    """The mart built in three updates, the second one twice; the same rows as ``daily_mart``."""
+    feed = inputs.feed(spark, folder)
+    place = f"{shared_folder(spark)}/mart-{uuid.uuid4().hex}"
+    for start, end in (("2024-01-01", "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-11", "2024-01-20"), ("2024-01-21", "2024-01-31")):
+        incremental.update_daily_mart(feed, f"{place}/mart", f"{place}/state", start, end)
+    return tidy(spark.read.parquet(f"{place}/mart"))
+
+
+@query("dq_date_order")
+def dq_date_order(spark, folder):
+    return tidy(quality.date_order_report(inputs.dated_files(spark, folder), "file", "paid_at", "payment_id"))
+
+
+def _lives(spark, folder) -> DataFrame:
+    """Lives of users in two arms; a user silent for two days has left."""
+    events = inputs.activity(spark, folder).withColumn("arm", F.when(F.pmod("user_id", F.lit(2)) == 0, "a").otherwise("b"))
+    return lifetime.lifetimes(events, ["arm"], "2024-01-27", 2)
+
+
+@query("survival")
+def survival(spark, folder):
+    return tidy(lifetime.survival(_lives(spark, folder), ["arm"]))
+
+
+@query("log_rank")
+def log_rank(spark, folder):
+    return tidy(lifetime.log_rank(_lives(spark, folder), "arm", "a", "b"))
+
+
+@query("lifetime_value")
+def lifetime_value(spark, folder):
+    return tidy(lifetime.lifetime_value(_lives(spark, folder), inputs.spending(spark, folder), [0, 7, 14, 25], ["arm"]), 4)
+
+
+@query("stratified_assignment")
+def stratified_assignment(spark, folder):
+    """Customers dealt 2 : 1 to two arms inside country and segment."""
+    users = inputs.experiment_users(spark, folder).select("uid", "country", "gender")
+    return assignment.stratified_assignment(users, ["country", "gender"], {"control": 2, "test": 1}, "uid", "7")
+
+
+@query("tail_check")
+def tail_check(spark, folder):
+    users = inputs.experiment_users(spark, folder)
+    return tidy(tails.tail_check(users, "group", "total_revenue"))
+
+
+@query("tail_effect")
+def tail_effect(spark, folder):
+    checks = tails.tail_check(inputs.experiment_users(spark, folder), "group", "total_revenue")
+    return tidy(tails.tail_effect(checks, "group", "control_1", "test"))
+
+
+@query("funnel_by")
+def funnel_by(spark, folder):
+    """Funnels of two arms with a signup as the reward."""
+    events = inputs.activity(spark, folder).withColumn("arm", F.when(F.pmod("user_id", F.lit(2)) == 0, "a").otherwise("b"))
+    return tidy(engagement.funnel(events, FUNNEL, by=["arm"], reward="signup"))
+
+
 def _period_users(spark, folder) -> DataFrame:
     """Revenue per user before and after the start of the later period."""
     post = F.col("ts") >= F.lit(POST[0]).cast("timestamp_ntz")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -39,6 +41,22 @@ def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8) -> Sp
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: the one named by ``spark.checkpoint.dir``.
+
+    Only a local session without the setting gets one chosen here.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="cohortwise-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
 def materialised(df: DataFrame) -> DataFrame:
     """Compute a reduced table once for the several jobs that read it.
 
