@@ -723,6 +723,16 @@ o AS (SELECT *, CASE WHEN day_proofs > 0 AND month_proofs = 0 THEN 'day first' W
   ELSE 'undecided' END AS ord FROM f)
 SELECT file, ord AS "order", dates, CASE ord WHEN 'day first' THEN n_d WHEN 'month first' THEN n_m ELSE n_same END AS told, unreadable, day_proofs, month_proofs,
   round(df, 6) AS day_fit, round(mf, 6) AS month_fit FROM o"""
+ORACLE["mann_whitney_exact"] = f"""WITH RECURSIVE {EXPERIMENT}, x AS (SELECT country, gender, "group" = 'control_1' AS f, total_revenue AS v FROM experiment
+  WHERE "group" IN ('control_1', 'test')),
+r AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY country, gender, v) - 1) / 2 AS m, row_number() OVER w AS i FROM x WINDOW w AS (PARTITION BY country, gender ORDER BY v)),
+t AS (SELECT country, gender, count(*) AS n, count(*) FILTER (WHERE f) AS n0, sum(m) FILTER (WHERE f) AS s0, sum(m) AS s FROM r GROUP BY ALL),
+d AS (SELECT country, gender, 0 AS i, 0 AS k, CAST(0 AS DOUBLE) AS s, CAST(1 AS DOUBLE) AS ways FROM t WHERE n <= 200
+  UNION ALL SELECT d.country, d.gender, r.i, k + c, d.s + c * m, sum(ways) FROM d JOIN r ON r.country = d.country AND r.gender = d.gender AND r.i = d.i + 1
+  CROSS JOIN (SELECT unnest([0, 1]) AS c) GROUP BY ALL),
+p AS (SELECT t.country, t.gender, sum(ways) FILTER (WHERE abs(d.s * n - n0 * t.s) >= abs(s0 * n - n0 * t.s) - 1e-6) / sum(ways) AS p
+  FROM d JOIN t ON t.country = d.country AND t.gender = d.gender AND d.i = t.n AND d.k = t.n0 WHERE n0 BETWEEN 1 AND n - 1 GROUP BY ALL)
+SELECT t.country, t.gender, n0 AS n_0, n - n0 AS n_1, CASE WHEN n0 BETWEEN 1 AND n - 1 THEN round(s0 - n0 * (n0 + 1) / 2, 6) END AS u, round(p, 6) AS p_value FROM t LEFT JOIN p ON p.country = t.country AND p.gender = t.gender"""
 DID_METRICS = {"value": "value", "events": "events"}
 ORACLE["diff_in_diff"] = f"""WITH u AS (SELECT user_id, ts >= TIMESTAMP '{POST[0]} 00:00:00' AS post, sum(value) AS value, count(*) AS events,
   CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS testgroup FROM events GROUP BY ALL),

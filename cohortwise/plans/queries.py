@@ -16,7 +16,7 @@ from cohortwise.operators import (
 )
 from cohortwise.plans import inputs
 from cohortwise.session import configure, materialised, shared_folder
-from cohortwise.sources.readers import parse_delimited, tag_union
+from cohortwise.sources.readers import read_delimited, tag_union
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,16 +88,17 @@ def exp_union(spark, folder):
 
 @query("src_csv")
 def src_csv(spark, folder):
-    """Orders written as delimited lines and parsed back with a fixed schema."""
-    orders = inputs.table(spark, folder, "orders")
-    line = F.concat_ws(
-        ";", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-        F.date_format("o_orderdate", "yyyy-MM-dd"),
+    """Orders written as delimited files and read back with a fixed schema."""
+    orders = inputs.table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("price"), F.to_date("o_orderdate").alias("order_date"),
     )
+    place = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}"
+    orders.write.csv(place, sep=";", header=True)
     schema = StructType.fromDDL(
         "order_id long, customer_id long, status string, price double, order_date date"
     )
-    return tidy(orders.select(parse_delimited(line, schema).alias("row")).select("row.*"), 2)
+    return tidy(read_delimited(spark, place, schema), 2)
 
 
 @query("ab_product")
@@ -533,6 +534,13 @@ def mann_whitney(spark, folder):
     return tidy(rank_tests.mann_whitney_test(_ctr_ranks(spark, folder)), 6, ties=0, rank_sum_0=1, rank_sum_1=1, u=1)
 
 
+@query("mann_whitney_exact")
+def mann_whitney_exact(spark, folder):
+    """Revenue of two arms inside country and segment, exact at these sample sizes."""
+    people = inputs.experiment_users(spark, folder).select("country", "gender", "group", F.col("total_revenue").alias("value"))
+    return tidy(rank_tests.mann_whitney_exact(people, "group", ["control_1", "test"], ["country", "gender"]))
+
+
 @query("balance")
 def balance(spark, folder):
     people = kept_people(spark, folder)
