@@ -63,3 +63,42 @@ def test_empty_table(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.score_quality(docs, labels).count() == 0
     assert quality.accepted(docs, labels).count() == 0
+
+
+def rows_of(spark, stats, label, parts=5):
+    rows = [([float(x) for x in s], float(y)) for s, y in zip(stats, label)]
+    return spark.createDataFrame(rows, "stats array<float>, label double").repartition(parts)
+
+
+def test_ridge_and_calibration_against_plain_numpy(spark):
+    rng = np.random.default_rng(11)
+    stats = rng.standard_normal((900, quality.STATISTICS)).astype(np.float32)
+    label = (stats[:, 0] * stats[:, 1] + 0.3 * rng.standard_normal(900) > 0).astype(float)
+    rows = rows_of(spark, stats, label)
+    n, positive, model = quality.spread(rows)
+    wide = stats.astype(float)
+    assert (n, positive) == (900, label.sum())
+    assert np.allclose(model.mean, wide.mean(axis=0)) and np.allclose(model.deviation, wide.std(axis=0) + 1e-6)
+    # The normal equations of the whole table at once, by least squares on the stacked ridge rows.
+    z = model.features(wide)
+    size = z.shape[1]
+    penalty = np.full(size, np.sqrt(quality.RIDGE * 900 / quality.FEATURES))
+    penalty[-1] = np.sqrt(1e-9)
+    want = np.linalg.lstsq(np.vstack([z, np.diag(penalty)]), np.concatenate([label, np.zeros(size)]), rcond=None)[0]
+    model.weights = quality.solve(rows, model)
+    assert np.allclose(z @ model.weights, z @ want, atol=1e-6)
+    # The kernel that the features stand for: exp(-gamma d^2), up to the error of 256 of them.
+    near = np.abs(z[:50, :-1] @ z[:50, :-1].T)
+    assert np.allclose(np.diag(near), np.diag(near).mean(), rtol=0.25)
+    knots, values = quality.calibrate(rows, model)
+    raw = model.raw(wide)
+    at = np.clip((raw - quality.LOW) / (quality.HIGH - quality.LOW) * quality.BINS, 0, quality.BINS - 1).astype(int)
+    used = np.unique(at)
+    mean = np.array([label[at == b].mean() for b in used])
+    weight = np.array([(at == b).sum() for b in used])
+    # Isotonic regression by its minimax formula.
+    sums, sizes = np.concatenate(([0], np.cumsum(mean * weight))), np.concatenate(([0], np.cumsum(weight)))
+    fit = [max(min((sums[j + 1] - sums[i]) / (sizes[j + 1] - sizes[i]) for j in range(k, len(used))) for i in range(k + 1))
+           for k in range(len(used))]
+    blocks = np.unique(np.round(fit, 9))
+    assert np.allclose(np.unique(np.round(values, 9)), blocks, atol=1e-8) and (np.diff(values) > 0).all()
