@@ -358,41 +358,129 @@ def rollback_events(events: DataFrame, level: str, slices: int | None = None) ->
     )
 
 
+def level_lists(events: DataFrame, level: str, slices: int | None = None) -> DataFrame:
+    """Per user and time slice: its progress events in order, and what lies around them.
+
+    ``entry_last``, ``entry_time`` and ``entry_top`` are the last level, its time and the best
+    level before the slice, ``next_time`` the time of the first event after it. A list is no
+    longer than a slice, whatever a user does.
+    """
+    known = events.where(F.col(level).isNotNull() & F.col("time").isNotNull()).select(
+        "user_id", "time", "event_id", F.col(level).alias("level")
+    )
+    lists = with_slice(known, "time", slices).groupBy("user_id", CHUNK).agg(
+        F.array_sort(F.collect_list(F.struct("time", "event_id", "level"))).alias("events")
+    )
+    last, first = F.element_at("events", -1), F.get("events", F.lit(0))
+    summary = lists.select(
+        "user_id", CHUNK, last["level"].alias("last"), last["time"].alias("last_time"),
+        first["time"].alias("first_time"), F.array_max(F.transform("events", lambda e: e["level"])).alias("top"),
+    )
+    # One row per user and slice.
+    earlier = W.partitionBy("user_id").orderBy(CHUNK)
+    around = summary.select(
+        "user_id", CHUNK, F.lag("last").over(earlier).alias("entry_last"),
+        F.lag("last_time").over(earlier).alias("entry_time"), F.lead("first_time").over(earlier).alias("next_time"),
+        F.max("top").over(earlier.rowsBetween(W.unboundedPreceding, -1)).alias("entry_top"),
+    )
+    return lists.join(around, ["user_id", CHUNK])
+
+
+def _rollback_sums(lists: DataFrame, end: Column, horizons: Sequence[int]) -> DataFrame:
+    """Per user and slice: counts and sums of its rollbacks, those left open, and their depths.
+
+    Times are microseconds before ``end``. Of open rollbacks only their number and the sum of
+    their times are kept: the first event at the best level recovers all of them.
+    """
+    zero, nought = F.lit(0).cast("long"), F.lit(0.0)
+    rows = lists.withColumn("_end", end)
+    since = lambda t: F.timestamp_diff("MICROSECOND", F.col("_end"), t).cast("double")
+    later = F.concat(F.slice(F.transform("events", lambda e: e["time"]), 2, F.size("events")), F.array("next_time"))
+    pairs = F.zip_with("events", later, lambda e, n: F.struct(
+        e["time"].alias("time"), e["level"].alias("level"), n.alias("next"), since(e["time"]).alias("at")
+    ))
+    kind = lists.schema["events"].dataType.elementType
+    churn = [f"{c}{n}" for n in horizons for c in ("due", "silent")]
+    start = F.struct(
+        F.col("entry_last").cast(kind["level"].dataType).alias("last"), F.col("entry_time").alias("last_time"),
+        F.col("entry_top").cast(kind["level"].dataType).alias("top"), F.lit(None).cast("double").alias("peak"),
+        *[zero.alias(c) for c in ("lost", "open", "won", "changes", "days", *churn)],
+        *[nought.alias(c) for c in ("open_at", "wait", "change")],
+    )
+
+    def read(s: Column, e: Column) -> Column:
+        drop = F.coalesce(e["level"] < s["last"], F.lit(False))
+        peak = F.coalesce(e["level"] >= s["top"], F.lit(True))
+        one = lambda c: c.cast("long")
+        opens_day = s["last_time"].isNull() | (F.to_date(s["last_time"]) < F.to_date(e["time"]))
+        out = {
+            "last": e["level"], "last_time": e["time"], "top": F.greatest(s["top"], e["level"]),
+            "peak": F.coalesce(s["peak"], F.when(peak, e["at"])),
+            "lost": s["lost"] + one(drop),
+            "open": F.when(peak, zero).otherwise(s["open"] + one(drop)),
+            "won": s["won"] + F.when(peak, s["open"]).otherwise(zero),
+            "changes": s["changes"] + one(s["last"].isNotNull()),
+            "days": s["days"] + one(opens_day),
+        }
+        for n in horizons:
+            due = e["time"] + F.expr(f"interval {n} day")
+            seen = drop & (due <= F.col("_end"))
+            out[f"due{n}"] = s[f"due{n}"] + one(seen)
+            out[f"silent{n}"] = s[f"silent{n}"] + one(seen & (e["next"].isNull() | (e["next"] > due)))
+        out["open_at"] = F.when(peak, nought).otherwise(s["open_at"] + F.when(drop, e["at"]).otherwise(nought))
+        out["wait"] = s["wait"] + F.when(peak, s["open"] * e["at"] - s["open_at"]).otherwise(nought)
+        out["change"] = s["change"] + F.coalesce((e["level"] - s["last"]).cast("double"), nought)
+        return F.struct(*[c.alias(name) for name, c in out.items()])
+
+    levels = F.transform("events", lambda e: e["level"])
+    before = F.concat(F.array(F.col("entry_last").cast(kind["level"].dataType)), F.slice(levels, F.lit(1), F.size(levels) - 1))
+    depths = F.filter(F.zip_with(before, levels, lambda a, b: a - b), lambda d: d > 0)
+    return rows.select(
+        "user_id", CHUNK, F.aggregate(pairs, start, read).alias("f"), depths.alias("depths")
+    ).select("user_id", CHUNK, "f.*", "depths").drop("last", "last_time", "top")
+
+
 def rollback_metrics(
     events: DataFrame, level: str, horizons: Sequence[int] = (1, 3, 7), slices: int | None = None,
 ) -> DataFrame:
     """Frequency, mean and p95 depth, recovered share, time to recover, net progress, churn.
 
     Churn after N days counts rollbacks that can be observed for N days before the last
-    event of the table and are followed by no event within them.
+    event of the table and are followed by no event within them. Events are read in order once
+    per user and slice; a user's slices are then put together in order.
     """
     end = events.agg(F.max("time")).scalar()
-    change = F.col("level") - F.col("previous_level")
-    day = F.to_date("time")
-    steps = rollback_events(events, level, slices).withColumn("end", end).withColumn("change", change)
-    lost = F.coalesce(F.col("change") < 0, F.lit(False))
-    depth = F.when(lost, -F.col("change"))
-    wait = F.timestamp_diff("MICROSECOND", F.col("time"), F.col("recovered_at")) / F.lit(1e6)
-    # The first event of a user on a day marks an active user-day.
-    opens_day = F.col("previous_time").isNull() | (F.to_date("previous_time") < day)
-    churn = []
-    for n in horizons:
-        due = F.col("time") + F.expr(f"interval {n} day")
-        observable = lost & (due <= F.col("end"))
-        silent = F.col("next_time").isNull() | (F.col("next_time") > due)
-        churn.append(
-            ratio(F.count_if(observable & silent), F.count_if(observable)).alias(f"churn_{n}d")
+    sums = materialised(_rollback_sums(level_lists(events, level, slices), end, horizons))
+    churn = [f"{c}{n}" for n in horizons for c in ("due", "silent")]
+    parts = F.array_sort(F.collect_list(F.struct(CHUNK, "peak", "open", "open_at")))
+    added = ("lost", "won", "changes", "days", "wait", "change", *churn)
+    users = sums.groupBy("user_id").agg(parts.alias("parts"), *[F.sum(c).alias(c) for c in added])
+    start = F.struct(*[F.lit(0.0).alias(c) for c in ("open", "open_at", "won", "wait")])
+
+    def put(s: Column, p: Column) -> Column:
+        met = p["peak"].isNotNull()
+        keep = lambda c: F.when(met, 0.0).otherwise(s[c])
+        return F.struct(
+            (keep("open") + p["open"]).alias("open"), (keep("open_at") + p["open_at"]).alias("open_at"),
+            (s["won"] + F.when(met, s["open"]).otherwise(0.0)).alias("won"),
+            (s["wait"] + F.when(met, s["open"] * p["peak"] - s["open_at"]).otherwise(0.0)).alias("wait"),
         )
-    # Counted per distinct depth first, so no buffer holds all of them.
-    p95 = exact_quantiles(
-        steps.where(lost).select(depth.alias("depth")), [], "depth", {"p95": 0.95}, slices=1
-    ).scalar()
-    return steps.agg(
-        F.count_if(lost).alias("rollbacks"),
-        F.avg(depth).alias("mean_depth"),
-        ratio(F.count(F.when(lost, F.col("recovered_at"))), F.count_if(lost)).alias("recovered_share"),
-        F.avg(F.when(lost, wait)).alias("mean_seconds_to_recover"),
-        *churn,
-        ratio(F.count_if(lost), F.count("change")).alias("frequency"),
-        ratio(F.sum("change"), F.count_if(opens_day)).alias("net_progress_per_day"),
-    ).select("*", p95.cast("double").alias("p95_depth"))
+
+    totals = users.withColumn("u", F.aggregate("parts", start, put)).agg(
+        *[F.sum(c).alias(c) for c in added if c not in ("won", "wait")],
+        F.sum(F.col("won") + F.col("u.won")).alias("won"), F.sum(F.col("wait") + F.col("u.wait")).alias("wait"),
+    )
+    depth = sums.select(F.explode("depths").alias("depth"))
+    few = depth.groupBy("depth").agg(F.count("*").alias("n"))
+    # Depths are counted first, so no buffer holds all of them.
+    p95 = exact_quantiles(few, [], "depth", {"p95": 0.95}, slices=1, weight="n").scalar()
+    mean = depth.agg(F.avg("depth")).scalar()
+    return totals.select(
+        F.coalesce("lost", F.lit(0)).alias("rollbacks"), mean.alias("mean_depth"),
+        ratio(F.col("won"), F.col("lost")).alias("recovered_share"),
+        ratio(F.col("wait") / 1e6, F.col("won")).alias("mean_seconds_to_recover"),
+        *[ratio(F.col(f"silent{n}"), F.col(f"due{n}")).alias(f"churn_{n}d") for n in horizons],
+        ratio(F.col("lost"), F.col("changes")).alias("frequency"),
+        ratio(F.col("change"), F.col("days")).alias("net_progress_per_day"),
+        p95.cast("double").alias("p95_depth"),
+    )

@@ -10,35 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cohortwise.functions.columns import ratio
-from cohortwise.operators.engagement import rollback_events
-from cohortwise.operators.timeline import CHUNK, with_slice
+from cohortwise.operators.engagement import level_lists, rollback_events
+from cohortwise.operators.timeline import CHUNK
 
 #: Where a user stands: no chain, rolled back, tried again, won back but not at the goal.
 CLEAR, OPENED, RETRIED, RECOVERED = range(4)
 COUNTERS = ("episodes", "retried", "recovered", "completed")
 
 
-def _level_lists(events: DataFrame, level: str, slices: int | None) -> DataFrame:
-    """Per user and time slice: ordered events, and the last and best level before the slice."""
-    known = events.where(F.col(level).isNotNull() & F.col("time").isNotNull()).select(
-        "user_id", "time", "event_id", F.col(level).alias("level")
-    )
-    lists = with_slice(known, "time", slices).groupBy("user_id", CHUNK).agg(
-        F.array_sort(F.collect_list(F.struct("time", "event_id", "level"))).alias("events")
-    )
-    summary = lists.select(
-        "user_id", CHUNK, F.element_at("events", -1)["level"].alias("last"),
-        F.array_max(F.transform("events", lambda e: e["level"])).alias("top"),
-    )
-    # One row per user and slice.
-    earlier = W.partitionBy("user_id").orderBy(CHUNK)
-    before = summary.select(
-        "user_id", CHUNK, F.lag("last").over(earlier).alias("entry_last"),
-        F.max("top").over(earlier.rowsBetween(W.unboundedPreceding, -1)).alias("entry_top"),
-    )
-    return lists.join(before, ["user_id", CHUNK])
-
-
 def _entry(state: int) -> Column:
     """A slice that is entered in ``state``, before its first event."""
     zero = F.lit(0).cast("long")
@@ -77,7 +56,7 @@ def chain_maps(events: DataFrame, level: str, goal: Column | float, slices: int
 
     Also the first and best level and the number of events, for the progress of a user.
     """
-    lists = _level_lists(events, level, slices).withColumn("goal", goal if isinstance(goal, Column) else F.lit(goal))
+    lists = level_lists(events, level, slices).withColumn("goal", goal if isinstance(goal, Column) else F.lit(goal))
     kind = lists.schema["events"].dataType.elementType["level"].dataType
     entries = F.array(*[_entry(s) for s in (CLEAR, OPENED, RETRIED, RECOVERED)])
     start = F.struct(
