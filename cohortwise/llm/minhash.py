@@ -36,13 +36,14 @@ MISS = 1e-6
 #: Members of a block when the components of a bucket are compared; verified sets a part.
 BLOCK, PART = 256, 2048
 #: Rounds between components: bands that take part, and partners told for each member (or all).
-ROUNDS = ((4, 1), (4, 1), (BANDS, None))
+ROUNDS = ((4, 1), (BANDS, None))
 #: Bits of the map of shingle parities: two maps differ in no more bits than their sets do.
-PARITY = 2048
-#: A sketch is 32-bit words: signature, map, and size of the set.
-SKETCH = HASHES + PARITY // 32 + 1
-#: Bits of the map of documents whose sets are needed; two megabytes.
-MAP_BITS = 24
+PARITY = 1024
+#: A sketch is 32-bit words: signature (16 bits a hash), map, and size of the set.
+SIGNATURE = HASHES // 2
+SKETCH = SIGNATURE + PARITY // 32 + 1
+#: Bits of the map of documents whose sets are needed; half a megabyte.
+MAP_BITS = 22
 #: Shingles hashed at a time.
 SHINGLES = 4096
 
@@ -65,11 +66,11 @@ def shingle_set(text: str, shingle: int) -> np.ndarray:
 
 
 def signature(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest value of each hash over the set, in 32 bits."""
+    """Smallest value of each hash over the set, in 16 bits; chance matches only keep a pair."""
     out = np.full(HASHES, 2**64 - 1, dtype=np.uint64)
     for at in range(0, len(grams), SHINGLES):
         np.minimum(out, (grams[at:at + SHINGLES, None] * a + b).min(axis=0), out=out)
-    return (out >> np.uint64(32)).astype(np.uint32)
+    return (out >> np.uint64(48)).astype(np.uint16)
 
 
 def sketch(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> bytes:
@@ -109,6 +110,10 @@ def matched(x: np.ndarray, y: np.ndarray, steps: list[tuple[int, int]]) -> np.nd
     return out
 
 
+def signatures(sketches: np.ndarray) -> np.ndarray:
+    return sketches[:, :SIGNATURE].view(np.uint16)
+
+
 def compared(x: np.ndarray, y: np.ndarray, steps: list[tuple[int, int]], similarity: float) -> np.ndarray:
     """:func:`matched` of sketches, and -1 also where sizes or parity maps rule the pair out.
 
@@ -118,17 +123,17 @@ def compared(x: np.ndarray, y: np.ndarray, steps: list[tuple[int, int]], similar
     n, m = x[:, -1].astype(np.int64), y[:, -1].astype(np.int64)
     out = np.full(len(x), -1, dtype=np.int64)
     fits = np.flatnonzero(np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9)
-    out[fits] = matched(x[fits], y[fits], steps)
+    out[fits] = matched(signatures(x[fits]), signatures(y[fits]), steps)
     left = np.flatnonzero(out >= 0)
-    apart = np.bitwise_count(x[left, HASHES:-1] ^ y[left, HASHES:-1]).sum(axis=1, dtype=np.int64)
+    apart = np.bitwise_count(x[left, SIGNATURE:-1] ^ y[left, SIGNATURE:-1]).sum(axis=1, dtype=np.int64)
     far = apart > (n + m)[left] * (1 - similarity) / (1 + similarity) + 1e-6
     out[left[far]] = -1
     return out
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
+def band_keys(sketches: np.ndarray) -> np.ndarray:
     """A 64-bit name for each band of each row."""
-    rows = signatures[:, :HASHES].reshape(len(signatures), BANDS, ROWS_A_BAND).astype(np.uint64)
+    rows = signatures(sketches).reshape(len(sketches), BANDS, ROWS_A_BAND).astype(np.uint64)
     out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2])
     for k in range(ROWS_A_BAND):
         out = (out ^ rows[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
