@@ -8,7 +8,7 @@ group and day of age, however many users there are.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -97,6 +97,9 @@ def lifetime_value(
     no user of the group is observed for is null. Revenue before a user's first day or after
     the observation does not count; users without revenue stay in every mean.
     """
+    if not keys:
+        one = lifetime_value(lives.withColumn("_all", F.lit(1)), revenue, horizons, ["_all"], user)
+        return one.drop("_all")
     top = max(horizons)
     ages = lives.groupBy(*keys, F.least("seen", F.lit(top)).alias("age")).agg(F.count("*").alias("n"))
     grid = ages.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(top).cast("long"))).alias("age"))
@@ -124,7 +127,7 @@ def lifetime_value(
     sizes = weights.groupBy(*keys).agg(F.first("users").alias("users"), *[
         F.max(F.when(F.col("age") == h, F.col("observed"))).alias(f"o{h}") for h in horizons
     ])
-    joined = sizes.join(sums, list(keys), "left") if keys else sizes.join(sums)
+    joined = sizes.join(sums, list(keys), "left")
     value = lambda h, c: F.coalesce(F.col(f"{c}{h}"), F.lit(0.0))
     n = F.col("users").cast("double")
 
