@@ -5,7 +5,7 @@ by batch: after h hashes with k matches the similarity has a Beta(k + 1, h - k +
 (uniform prior), and a pair is given up as soon as the posterior probability of reaching the
 similarity falls below the miss probability. What survives all batches is verified exactly, on
 whole sets. Documents with equal sets are one node. A bucket first compares its members with
-its first one and their neighbours. Where several components are left, members of the smaller
+its first one. Where several components are left, members of the smaller
 ones are compared with all others, in blocks of bounded size: first for the best partner of
 each, which joins nearly all of a family, at last for every partner in another component.
 """
@@ -146,39 +146,27 @@ def as_rows(blobs: pa.Array) -> np.ndarray:
 
 
 def meetings(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Rows (key, order, id, n, band) sorted by key and order to rows (key, id, band, a, b).
+    """Rows (key, order, id, n, band) sorted by key and order to rows (key, id, band, a).
 
-    a and b name the bucket's first member and the member before, where their sizes allow the
-    similarity. A bucket's last row and first row are all that is held.
+    a names the bucket's first member, for members whose sizes allow the similarity with it.
+    A bucket's first member is all that is held.
     """
-    first = previous = None  # key, seq, id, n
+    begun: tuple[int, int, int] | None = None  # key, id, n
     for batch in batches:
         if not batch.num_rows:
             continue
         key, _, ids, n, band = (np.asarray(c).astype(np.int64) for c in batch.columns)
         new = np.ones(len(key), dtype=bool)
         new[1:] = key[1:] != key[:-1]
-        goes_on = previous is not None and key[0] == previous[0]
-        new[0] = not goes_on
-        at = np.arange(len(key))
-        start = np.maximum.accumulate(np.where(new, at, -1))
-        seq = np.where(start >= 0, at - start, at + (previous[1] + 1 if goes_on else 0))
-        begun = np.where(start >= 0, ids[start], first[2] if goes_on else 0)
-        begun_n = np.where(start >= 0, n[start], first[3] if goes_on else 0)
-        before, before_n = np.empty_like(ids), np.empty_like(n)
-        before[1:], before_n[1:] = ids[:-1], n[:-1]
-        before[0], before_n[0] = (previous[2], previous[3]) if goes_on else (0, 0)
-
-        def fits(other: np.ndarray, size: np.ndarray, seen: np.ndarray) -> pa.Array:
-            ok = (seq > 0) & seen & (np.minimum(size, n) >= similarity * np.maximum(size, n) - 1e-9)
-            return pa.array(other, mask=~ok)
-
-        yield pa.RecordBatch.from_arrays([
-            pa.array(key), pa.array(ids), pa.array(band),
-            fits(begun, begun_n, seq > 0), fits(before, before_n, seq > 1),
-        ], ["key", "id", "band", "a", "b"])
-        first = (key[-1], 0, int(begun[-1]), int(begun_n[-1])) if seq[-1] else (key[-1], 0, int(ids[-1]), int(n[-1]))
-        previous = (key[-1], int(seq[-1]), int(ids[-1]), int(n[-1]))
+        new[0] = begun is None or key[0] != begun[0]
+        start = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
+        first = np.where(start >= 0, ids[start], begun[1] if begun else 0)
+        size = np.where(start >= 0, n[start], begun[2] if begun else 0)
+        fits = ~new & (np.minimum(size, n) >= similarity * np.maximum(size, n) - 1e-9)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(ids), pa.array(band), pa.array(first, mask=~fits)], ["key", "id", "band", "a"]
+        )
+        begun = int(key[-1]), int(first[-1]), int(size[-1])
 
 
 def pruned(
@@ -338,12 +326,11 @@ def near_dedup(
     # One order everywhere, so that a group of near copies has the same first member in its buckets.
     rows = rows.select("key", F.xxhash64("id").alias("order"), "id", "n", "band")
     met = kept(rows.repartition(tasks(spark), "key").sortWithinPartitions("key", "order", "id").mapInArrow(
-        lambda batches: meetings(batches, similarity), "key long, id long, band long, a long, b long"
+        lambda batches: meetings(batches, similarity), "key long, id long, band long, a long"
     ))
-    ordered = lambda x: F.struct(F.least(x, "id").alias("a"), F.greatest(x, "id").alias("b"))
-    pairs = met.where("a IS NOT NULL").select(ordered("a").alias("p")).union(
-        met.where("b IS NOT NULL").select(ordered("b").alias("p"))
-    ).select("p.a", "p.b").where("a <> b").distinct()
+    pairs = met.where("a IS NOT NULL AND a <> id").select(
+        F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")
+    ).distinct()
     sig = lambda end, name: points.select(F.col("id").alias(end), F.col("sig").alias(name))
     tested = kept(pairs.join(sig("a", "x"), "a").join(sig("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(
         lambda batches: pruned(batches, steps, similarity), "a long, b long"
