@@ -149,9 +149,17 @@ def meetings(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
     """Rows (key, order, id, n, band) sorted by key and order to rows (key, id, band, a).
 
     a names the bucket's first member, for members whose sizes allow the similarity with it.
-    A bucket's first member is all that is held.
+    A member alone in its bucket meets nobody and is left out. A bucket's first member and the
+    row before are all that is held.
     """
+    def told(rows: list[np.ndarray]) -> pa.RecordBatch:
+        key, ids, band, first, fits = rows
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(ids), pa.array(band), pa.array(first, mask=~fits)], ["key", "id", "band", "a"]
+        )
+
     begun: tuple[int, int, int] | None = None  # key, id, n
+    held: list[np.ndarray] | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -163,10 +171,17 @@ def meetings(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
         first = np.where(start >= 0, ids[start], begun[1] if begun else 0)
         size = np.where(start >= 0, n[start], begun[2] if begun else 0)
         fits = ~new & (np.minimum(size, n) >= similarity * np.maximum(size, n) - 1e-9)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(ids), pa.array(band), pa.array(first, mask=~fits)], ["key", "id", "band", "a"]
-        )
         begun = int(key[-1]), int(first[-1]), int(size[-1])
+        rows = [key, ids, band, first, fits, new]
+        if held is not None:
+            rows = [np.concatenate(pair) for pair in zip(held, rows)]
+        new = rows.pop()
+        # The last row waits for the next one.
+        shared = np.flatnonzero(~new[:-1] | ~new[1:])
+        yield told([c[shared] for c in rows])
+        held = [*(c[-1:] for c in rows), new[-1:]]
+    if held is not None and not held.pop()[0]:
+        yield told(held)
 
 
 def pruned(

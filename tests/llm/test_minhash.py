@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, differences
 from pyspark.sql import functions as F
@@ -114,6 +115,25 @@ def test_no_link_is_ruled_out_by_size_or_parity():
     assert ruled_out >= 8
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 40])
+def test_members_alone_in_a_bucket_are_left_out(size):
+    rng = random.Random(size)
+    rows = sorted((rng.randrange(25), i, 100 + i, rng.choice((8, 10, 20)), i % 4) for i in range(40))
+    schema = pa.schema([(c, pa.int64()) for c in ("key", "order", "id", "n", "band")])
+    batches = [pa.RecordBatch.from_pylist(
+        [dict(zip(schema.names, r)) for r in rows[at:at + size]], schema=schema
+    ) for at in range(0, len(rows), size)]
+    got = [tuple(r.values()) for b in minhash.meetings(iter(batches), 0.8) for r in b.to_pylist()]
+    wanted = []
+    for key in sorted({r[0] for r in rows}):
+        bucket = [r for r in rows if r[0] == key]
+        first = bucket[0]
+        for place, (_, _, id_, n, band) in enumerate(bucket if len(bucket) > 1 else []):
+            near = place and min(n, first[3]) >= 0.8 * max(n, first[3])
+            wanted.append((key, id_, band, first[2] if near else None))
+    assert got == wanted
+
+
 def test_signatures_estimate_similarity():
     a, b = minhash.multipliers()
     rng = np.random.default_rng(3)
