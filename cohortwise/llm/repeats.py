@@ -54,9 +54,9 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def names(units: np.ndarray, k: int) -> np.ndarray:
-    """Name of the k units from each position, by doubling."""
-    out, length = units, 1
+def names(units: np.ndarray, k: int, second: bool = False) -> np.ndarray:
+    """Name of the k units from each position, by doubling; ``second`` gives another 64 bits."""
+    out, length = mix(units, ~units) if second else units, 1
     while length < k:
         step = min(length, k - length)
         out = mix(out[:len(out) - step], out[step:])
@@ -113,6 +113,7 @@ def runs(chunk: Chunk, k: int) -> Columns:
     """Runs of a chunk of fewer than 2**24 units: doc, tie, at, name, whole.
 
     ``at`` is the first window, within its document, times 256 plus the number of further ones.
+    At length ``SPAN`` a run is one window, and ``whole`` its second name: 128 bits decide.
     """
     starts = np.concatenate(([0], chunk.ends[:-1]))
     at, number = chunk.windows, chunk.number
@@ -138,8 +139,11 @@ def runs(chunk: Chunk, k: int) -> Columns:
             out = mix(short[place + step], out)
         return out
 
-    # The first and the last window of a run overlap, so they and their distance name all of it.
-    whole = mix(mix(long(first), long(last)), (last - first).astype(np.uint64))
+    if k == SPAN:
+        whole = names(chunk.units, k, second=True)[first]
+    else:
+        # The first and the last window of a run overlap, so they and their distance name all of it.
+        whole = mix(mix(long(first), long(last)), (last - first).astype(np.uint64))
     return columns(
         doc=chunk.docs[number], tie=chunk.ties[number],
         at=(first - starts[number] + chunk.shift) * 256 + (last - first), name=short[anchor], whole=whole,
@@ -173,10 +177,15 @@ def spread_by(tie: np.ndarray) -> np.ndarray:
     return mix(tie.view(np.uint64), np.zeros(len(tie), dtype=np.uint64))
 
 
+def of_both(rows: Columns) -> np.ndarray:
+    """One name for both names of a window, to tell apart the windows of one document."""
+    return mix(rows["name"].view(np.uint64), rows["whole"].view(np.uint64)).view(np.int64)
+
+
 def kept_rows(kind: int, rows: Columns, last: bool = False) -> Columns:
-    """Runs that travel by document, with their name in ``whole`` at the last length."""
+    """Runs that travel by document, with :func:`of_both` in ``whole`` at the last length."""
     return columns(
-        name=spread_by(rows["tie"]), kind=kind, whole=rows["name"] if last else np.zeros(len(rows["tie"]), dtype=np.int64),
+        name=spread_by(rows["tie"]), kind=kind, whole=of_both(rows) if last else np.zeros(len(rows["tie"]), dtype=np.int64),
         doc=rows["doc"], tie=rows["tie"], at=rows["at"],
     )
 
@@ -194,8 +203,8 @@ def covers(tie: np.ndarray, doc: np.ndarray, first: np.ndarray, last: np.ndarray
 def within_task(rows: Columns, last: bool = False) -> Columns:
     """What a task can settle on its own: the smallest document of each run stays.
 
-    At the last length no later one decides on a hot name, so one row for it and a document
-    asks for the verdict, and the windows wait with the document.
+    At the last length no later one decides on a hot name, so one row for each of its windows'
+    contents and a document asks for the verdict, and the windows wait with the document.
     """
     rows = taken(rows, np.lexsort((rows["doc"], rows["whole"], rows["name"])))
     name, whole, doc = rows["name"], rows["whole"], rows["doc"]
@@ -215,8 +224,8 @@ def within_task(rows: Columns, last: bool = False) -> Columns:
     run = taken(rows, ~hot)
     if last:
         rows = taken(rows, hot)
-        rows = taken(rows, np.lexsort((rows["tie"], rows["name"])))
-        ask = taken(rows, changes(rows["name"], rows["tie"]))
+        rows = taken(rows, np.lexsort((rows["tie"], rows["whole"], rows["name"])))
+        ask = taken(rows, changes(rows["name"], rows["whole"], rows["tie"]))
         return joined([
             done, kept_rows(OPEN, rows, last), columns(**{**ask, "kind": RUN, "at": ALL}),
             columns(**{**run, "kind": RUN}),
@@ -254,13 +263,14 @@ def find(chunks: Iterator[Chunk], k: int) -> Iterator[pa.RecordBatch]:
 
 
 def settle(
-    rows: Columns, hot: bool = False, last: bool = False, least: int | None = None,
+    rows: Columns, hot: bool = False, last: bool = False, least: tuple[int, int] | None = None,
 ) -> Columns:
     """Repeats and open runs among all rows of some names, sorted by name, kind, whole, doc.
 
     At the last length nothing stays open but the windows of hot names, which wait for the
-    verdict: an OPEN row has the name in place of the end, a GONE row in place of the start.
-    ``least`` is the smallest document of a name of which these rows are a later part.
+    verdict: an OPEN row has its :func:`of_both` in place of the end, a GONE row in place of the
+    start. Where these rows are a later part of a name, ``least`` is the ``whole`` that the part
+    before ended with, and its smallest document.
     """
     kind, at = rows["kind"], rows["at"]
     by_name = changes(rows["name"])
@@ -272,7 +282,7 @@ def settle(
     if len(start):
         smallest = rows["doc"][start][np.maximum(np.cumsum(new) - 1, 0)]
     if least is not None:
-        smallest = np.full(len(kind), least)
+        smallest[run & (rows["whole"] == least[0])] = least[1]
     later = run & (rows["doc"] > smallest)
     passed = kind == COVER
     first = at >> 8
@@ -289,7 +299,7 @@ def settle(
         parts += [
             columns(tie=rows["tie"][w], doc=rows["doc"][w], kind=k, first=a[w], last=b[w])
             for k, w, a, b in (
-                (OPEN, waiting, first, rows["whole"]), (GONE, asked, rows["name"], at),
+                (OPEN, waiting, first, rows["whole"]), (GONE, asked, of_both(rows), at),
             )
         ]
         return joined(parts)
@@ -306,12 +316,12 @@ def settle(
 def rank(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterator[pa.RecordBatch]:
     """Settle sorted rows name by name; a name over ``HELD`` rows comes in parts.
 
-    The parts are left open, or at the last length share the smallest document, which is in
-    the first part with runs: all runs of a name are equal there.
+    The parts are left open, or at the last length a part tells the next one the smallest
+    document of the content that it ends with.
     """
     held: Columns | None = None
     hot: int | None = None
-    least: int | None = None
+    least: tuple[int, int] | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -332,8 +342,10 @@ def rank(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterator[pa.R
             hot = int(held["name"][0])
             yield as_batch(settle(held, True, last, least), PLACES)
             runs_held = np.flatnonzero(held["kind"] == RUN)
-            if last and least is None and len(runs_held):
-                least = int(held["doc"][runs_held[0]])
+            if last and len(runs_held):
+                whole = held["whole"][runs_held]
+                if least is None or whole[-1] != least[0]:
+                    least = int(whole[-1]), int(held["doc"][runs_held[whole == whole[-1]][0]])
             held = None
     if held is not None and len(held["name"]):
         same = held["name"][0] == hot
@@ -341,7 +353,7 @@ def rank(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterator[pa.R
 
 
 def judged(rows: Columns) -> Columns:
-    """Covers of the last length: open windows whose name has a verdict in their document join them."""
+    """Covers of the last length: open windows whose content has a verdict in their document join them."""
     gone, waiting = (taken(rows, rows["kind"] == k) for k in (GONE, OPEN))
     asked = np.rec.fromarrays([gone["tie"], gone["first"]], names="tie,name")
     windows = np.rec.fromarrays([waiting["tie"], waiting["last"]], names="tie,name")

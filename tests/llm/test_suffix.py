@@ -85,6 +85,22 @@ def test_hot_names_of_other_tasks(spark, monkeypatch, hot, held):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+@pytest.mark.parametrize("hot, held", [(200, 500_000), (3, 500_000), (3, 40), (10**6, 40)])
+def test_colliding_names_remove_nothing(spark, monkeypatch, hot, held):
+    strong = repeats.names
+
+    def weak(units, k, second=False):
+        out = strong(units, k, second)
+        return out if second or k < repeats.SPAN else out & np.uint64(3 << 30)
+
+    monkeypatch.setattr(repeats, "names", weak)
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "HELD", held)
+    texts = odd_texts()
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    assert rows(suffix.substring_dedup(docs)) == sorted(plain(texts), key=repr)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix.substring_dedup(docs).count() == 0
