@@ -31,18 +31,16 @@ REPORT = (
 )
 
 
-def byte_names() -> np.ndarray:
-    return np.random.default_rng(50).integers(0, 2**64, 256, dtype=np.uint64)
+#: A name for each byte.
+BYTE_NAMES = np.random.default_rng(50).integers(0, 2**64, 256, dtype=np.uint64)
 
 
 def units(data: bytes) -> np.ndarray:
-    return byte_names()[np.frombuffer(data, dtype=np.uint8)]
+    return BYTE_NAMES[np.frombuffer(data, dtype=np.uint8)]
 
 
 def longer_prefixes(texts: DataFrame, places: DataFrame, k: int) -> DataFrame:
     """Rows of ``repeats.find`` for the windows still open, and the covers found so far."""
-    table = byte_names()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settled: list[tuple[int, int, np.ndarray]] = []
 
@@ -55,8 +53,7 @@ def longer_prefixes(texts: DataFrame, places: DataFrame, k: int) -> DataFrame:
                     ranges = repeats.pairs(opens.as_py())
                     if len(ranges):
                         windows = np.concatenate([np.arange(a, b) for a, b in ranges])
-                        bytes_ = np.frombuffer(data.as_py(), dtype=np.uint8)
-                        yield table[bytes_], tie, doc, windows
+                        yield units(data.as_py()), tie, doc, windows
 
         def passed() -> Iterator[pa.RecordBatch]:
             if settled:

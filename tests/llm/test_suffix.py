@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortwise.llm import queries, repeats, suffix
@@ -104,3 +105,89 @@ def test_colliding_names_remove_nothing(spark, monkeypatch, hot, held):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix.substring_dedup(docs).count() == 0
+
+
+def batch(rows):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(zip(*rows))],
+        [f.split()[0] for f in repeats.ROWS.split(", ")],
+    )
+
+
+def mixed_rows():
+    """Rows of :func:`repeats.find`, name by name, in any order within a name."""
+    rng = np.random.default_rng(8)
+    out = []
+    for name in range(-200, 200):
+        for i in range(rng.choice([1, 1, 1, 2, 5, 40])):
+            kind = rng.choice([repeats.MARK, repeats.COVER, repeats.OPEN] + [repeats.RUN] * 12)
+            whole, doc = (0, 0) if kind == repeats.MARK else rng.integers(0, 4, 2).tolist()
+            out.append((name, int(kind), whole, doc, 1000 * doc + i, int(rng.integers(0, 9)) << 8 | 3))
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 7, 100_000])
+def test_names_settle_in_any_order_of_their_rows(size):
+    rows = mixed_rows()
+    several = {r[0] for r in rows if r[1] == repeats.MARK}
+    wholes, smallest = {}, {}
+    for name, kind, whole, doc, _, _ in rows:
+        if kind == repeats.RUN:
+            wholes.setdefault(name, set()).add(whole)
+            smallest[name, whole] = min(doc, smallest.get((name, whole), doc))
+    want = []
+    for name, kind, whole, doc, tie, at in rows:
+        first, after = at >> 8, (at >> 8) + (at & 255)
+        if kind == repeats.COVER:
+            want.append((tie, doc, repeats.COVER, whole, at))
+        elif kind == repeats.RUN and doc > smallest[name, whole]:
+            want.append((tie, doc, repeats.COVER, first, after + repeats.SPAN))
+        elif kind == repeats.OPEN or kind == repeats.RUN and (len(wholes[name]) > 1 or name in several):
+            want.append((tie, doc, repeats.OPEN, first, after + 1))
+    got = repeats.rank(batch(rows[a:a + size]) for a in range(0, len(rows), size))
+    assert sorted(r for b in got for r in zip(*(c.to_pylist() for c in b.columns))) == sorted(want)
+
+
+def test_only_the_last_length_sorts_by_more_than_the_name(spark):
+    found = spark.createDataFrame([], repeats.ROWS)
+    for last in (False, True):
+        plan = repeats.settled(found, last)._jdf.queryExecution().analyzed().toString()
+        sorts = [line for line in plan.splitlines() if "Sort [" in line]
+        assert len(sorts) == 2
+        assert (sorts[1].count("ASC") == 1) != last, sorts
+
+
+def test_runs_of_a_task_stay_in_the_order_of_the_text():
+    rng = np.random.default_rng(3)
+    rows = repeats.columns(
+        name=rng.permutation(500), whole=np.zeros(500, dtype=np.int64), doc=np.arange(500), tie=np.arange(500),
+        at=np.zeros(500, dtype=np.int64),
+    )
+    rows["name"][[7, 400]] = 1000
+    out = repeats.within_task({k: v.copy() for k, v in rows.items()})
+    runs = out["kind"] == repeats.RUN
+    ties = out["tie"][runs]
+    assert sorted(ties.tolist()) == [i for i in range(500) if i != 400]
+    assert (np.diff(ties[ties != 7]) > 0).all()
+    assert out["tie"][out["kind"] == repeats.COVER].tolist() == [400]
+
+
+@pytest.mark.parametrize("k", suffix.LENGTHS)
+def test_only_units_of_open_windows_are_hashed(monkeypatch, k):
+    rng = np.random.default_rng(12)
+    docs = [suffix.units(rng.bytes(n)) for n in (4000, 50, 900, 2500)]
+    ranges = [[(0, 3), (3 + 50, 70), (300, 301), (3951, 3951)], [(0, 1)], [], [(1000, 1200), (1249, 1260), (2440, 2451)]]
+    windows = [np.concatenate([np.arange(a, b) for a, b in r]) if r else np.zeros(0, dtype=np.int64) for r in ranges]
+    items = [(d, 10 + i, 20 + i, w) for i, (d, w) in enumerate(zip(docs, windows)) if len(w)]
+    hashed, names = [], repeats.names
+    monkeypatch.setattr(repeats, "names", lambda units, *a, **b: hashed.append(len(units)) or names(units, *a, **b))
+    got = [repeats.runs(chunk, k) for chunk in repeats.chunked(items)]
+    assert len(got) == 1 and set(hashed) == {3 + 17 + 1 + 1 + 200 + 11 + 11 + 7 * 49}
+    want = []
+    for units, tie, doc, mine in items:
+        short = names(units, k)
+        low = np.array([w + np.argmin(short[w:w + 51 - k] & ~np.uint64(2**24 - 1)) for w in mine])
+        for w, anchor in zip(mine, low):
+            want.append((doc, tie, int(w), int(short[anchor].view(np.int64))))
+    rows = zip(*(got[0][c].tolist() for c in ("doc", "tie", "at", "name")))
+    assert [(d, t, (at >> 8) + i, n) for d, t, at, n in rows for i in range((at & 255) + 1)] == want
